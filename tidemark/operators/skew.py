@@ -4,36 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Rows one task should take for a single key before its rows are spread over several tasks.
-HOT_ROWS = 1_000_000
-# Only this many of the hottest keys are spread, which bounds what is broadcast. Any key beyond them
-# holds at most 1/1001 of the rows and is joined the ordinary way, so results never depend on it.
-HOT_KEYS = 1_000
 
-
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The hottest keys of `df` and over how many tasks to spread each; at most HOT_KEYS rows."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
-    top = counts.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
-    return top.select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_spread"))
-
-
-def salted_left_join(
-    left: DataFrame, right: DataFrame, on: list[str], spread_by: list[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def skewed_left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """`left` left-joined with `right`, which has at most one row per key.
 
-    Rows of a hot left key are spread by a hash of `spread_by`, and only the matching right row is
-    repeated, so no task gets much more than `hot_rows` rows of one key. Rows with a NULL key cannot
-    match and are not shuffled to one place either.
+    AQE splits a hot left partition over several tasks, but only where the shuffle is the join's own.
+    `right` usually comes out of an aggregate on the same columns and would be joined without a shuffle of
+    its own; joining on one struct of the key columns gives both sides theirs. The struct is never NULL,
+    so rows with a NULL key stay in the join (they match nothing) and are split like any other hot key.
     """
-    hot = F.broadcast(hot_keys(left.dropna(subset=on), on, hot_rows))
-    spread = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("_spread"), F.lit(1))).cast("int")
-    any_null = F.lit(False)
-    for key in on:
-        any_null = any_null | F.col(key).isNull()
-    salt = F.when(any_null, F.pmod(F.xxhash64(*spread_by), F.lit(1 << 30)).cast("int")).otherwise(spread)
-    salted_left = left.join(hot, on, "left").withColumn("_salt", salt).drop("_spread")
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_spread"), F.lit(1)) - 1)
-    salted_right = right.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_spread")
-    return salted_left.join(salted_right, [*on, "_salt"], "left").drop("_salt")
+    keyed_left = left.withColumn("_key", F.struct(*on))
+    keyed_right = right.select(F.struct(*on).alias("_key"), *[c for c in right.columns if c not in on])
+    return keyed_left.join(keyed_right, "_key", "left").drop("_key")

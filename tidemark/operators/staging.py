@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.contract import NATURAL_KEY, REQUIRED, SOURCE_COLUMNS, MAPPED_COLUMNS
 from tidemark.functions.casts import problem, try_iso_date, try_numeric, try_timestamp_utc, utc_day
 from tidemark.functions.values import column_value, map_values, readers
-from tidemark.operators.skew import HOT_ROWS, salted_left_join
+from tidemark.operators.skew import skewed_left_join
 
 LINEAGE = ["batch_file_id", "batch_no", "line_no"]
 
@@ -112,7 +112,7 @@ def order_keys(raw: DataFrame, ledger: DataFrame, width: int | None = None) -> D
 
 def refunds(
     raw: DataFrame, ledger: DataFrame, value_map: DataFrame, width: int | None = None,
-    known_orders: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+    known_orders: DataFrame | None = None,
 ) -> DataFrame:
     """Refunds with `is_orphan`: no order of the same tenant has the refund's order_id."""
     text = canonical_text(raw, ledger, value_map, "refunds", width).filter(F.col("refund_id").isNotNull())
@@ -123,13 +123,13 @@ def refunds(
         *LINEAGE,
     )
     keys = known_orders if known_orders is not None else order_keys(raw, ledger, width)
-    return flag_orphans(latest(typed, ["refund_id"]), keys, hot_rows)
+    return flag_orphans(latest(typed, ["refund_id"]), keys)
 
 
-def flag_orphans(refunds_: DataFrame, keys: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def flag_orphans(refunds_: DataFrame, keys: DataFrame) -> DataFrame:
+    """Many refunds may name one order (or none), so this is a join that must not collect them."""
     known = keys.select("tenant_id", "order_id", F.lit(True).alias("_known"))
-    joined = salted_left_join(refunds_, known, ["tenant_id", "order_id"], ["refund_id"], hot_rows)
-    return joined.select(
+    return skewed_left_join(refunds_, known, ["tenant_id", "order_id"]).select(
         "tenant_id", "refund_id", "refunded_at", "refund_date", "order_id", "amount", "reported_currency",
         F.col("_known").isNull().alias("is_orphan"), *LINEAGE,
     )
