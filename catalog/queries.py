@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog import deliveries as d
 from tidemark.contract import MARTS
 from tidemark.operators import coverage, health, marts, publishing, quality, staging
+from tidemark.session import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,13 +33,14 @@ def _staged(spark: SparkSession, sf_dir: str, source: str, ledger: DataFrame | N
     return staging.STAGING[source](d.RAW[source](spark, sf_dir), lg, vm, d.WIDTH)
 
 
-def _all_staged(spark: SparkSession, sf_dir: str, ledger: DataFrame | None = None) -> dict[str, DataFrame]:
-    return {s: _staged(spark, sf_dir, s, ledger) for s in staging.STAGING}
+def _cut_staged(spark: SparkSession, sf_dir: str, ledger: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All staging relations, each computed once for its several readers, as a report run does."""
+    return {s: cut(_staged(spark, sf_dir, s, ledger), s) for s in staging.STAGING}
 
 
-def _marts(spark: SparkSession, sf_dir: str, ledger: DataFrame | None = None, names: list[str] | None = None):
-    staged = _all_staged(spark, sf_dir, ledger)
-    return staged, marts.build(staged, d.tenants(spark), names)
+def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    staged = {feed.source: _staged(spark, sf_dir, feed.source) for feed in MARTS[name].feeds}
+    return marts.build(staged, d.tenants(spark), [name])[name]
 
 
 # --- staging -------------------------------------------------------------------------------------------
@@ -71,61 +73,59 @@ def staging_refunds(spark, sf_dir):
 
 @query
 def daily_revenue(spark, sf_dir):
-    _, built = _marts(spark, sf_dir, names=["daily_revenue"])
-    return _doubles(built["daily_revenue"], "gross", "refunds", "net", "orphan_refund_amount")
+    return _doubles(_mart(spark, sf_dir, "daily_revenue"), "gross", "refunds", "net", "orphan_refund_amount")
 
 
 @query
 def daily_ad_spend(spark, sf_dir):
-    _, built = _marts(spark, sf_dir, names=["daily_ad_spend"])
-    return _doubles(built["daily_ad_spend"], "spend")
+    return _doubles(_mart(spark, sf_dir, "daily_ad_spend"), "spend")
 
 
 @query
 def daily_email_engagement(spark, sf_dir):
-    _, built = _marts(spark, sf_dir, names=["daily_email_engagement"])
-    return built["daily_email_engagement"]
+    return _mart(spark, sf_dir, "daily_email_engagement")
 
 
 @query
 def daily_channel_performance(spark, sf_dir):
-    _, built = _marts(spark, sf_dir, names=["daily_channel_performance"])
-    return _doubles(built["daily_channel_performance"], "revenue", "spend", "roas")
+    return _doubles(_mart(spark, sf_dir, "daily_channel_performance"), "revenue", "spend", "roas")
 
 
 @query
 def reconciliation(spark, sf_dir):
     """Days on which the clients' own order totals differ from the mart (their totals ignore corrections)."""
-    _, built = _marts(spark, sf_dir, names=["daily_revenue"])
     theirs = d.table(spark, sf_dir, "orders").groupBy(
         d._tenant("o_orderkey"), F.col("o_orderdate").cast("date").alias("day")
     ).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(28,6)").alias("gross"))
-    return _doubles(marts.reconcile(built["daily_revenue"], theirs), "gross", "gross_reported", "difference")
+    return _doubles(marts.reconcile(_mart(spark, sf_dir, "daily_revenue"), theirs), "gross", "gross_reported", "difference")
 
 
 # --- data quality --------------------------------------------------------------------------------------
 
 
+def _checked(spark, sf_dir):
+    return quality.checked_all(d.raw(spark, sf_dir), d.ledger(spark), d.value_map(spark), d.WIDTH)
+
+
 @query
 def invalid_rows(spark, sf_dir):
-    return quality.invalid_rows(d.raw(spark, sf_dir), d.ledger(spark), d.value_map(spark), d.WIDTH)
+    return quality.invalid_rows(_checked(spark, sf_dir))
 
 
 @query
 def current_invalid_rows(spark, sf_dir):
-    return quality.current_invalid_rows(d.raw(spark, sf_dir), d.ledger(spark), d.value_map(spark), d.WIDTH)
+    return quality.current_invalid_rows(_checked(spark, sf_dir))
 
 
 @query
 def superseded_invalid_rows(spark, sf_dir):
-    args = (d.raw(spark, sf_dir), d.ledger(spark), d.value_map(spark), d.WIDTH)
-    return quality.superseded_counts(quality.invalid_rows(*args), quality.current_invalid_rows(*args))
+    lines = {s: cut(df, f"checked_{s}") for s, df in _checked(spark, sf_dir).items()}
+    return quality.superseded_counts(quality.invalid_rows(lines), quality.current_invalid_rows(lines))
 
 
 @query
 def invalid_row_findings(spark, sf_dir):
-    args = (d.raw(spark, sf_dir), d.ledger(spark), d.value_map(spark), d.WIDTH)
-    return health.invalid_row_findings(quality.current_invalid_rows(*args))
+    return health.invalid_row_findings(quality.current_invalid_rows(_checked(spark, sf_dir)))
 
 
 @query
@@ -161,22 +161,24 @@ def _run_files(spark, ledger: DataFrame, run_id: int) -> DataFrame:
 
 def _published(spark, sf_dir) -> DataFrame:
     """What the first run wrote: version 1 of every key."""
-    _, built = _marts(spark, sf_dir, _first_ledger(spark))
+    built = marts.build(_cut_staged(spark, sf_dir, _first_ledger(spark)), d.tenants(spark))
     return publishing.mart_keys(built).select(
         F.lit(1).cast("bigint").alias("run_id"), "mart", "day", "dims", F.lit(1).alias("version"), "metrics", "tenant_id")
 
 
 def _second_run(spark, sf_dir):
-    staged, built = _marts(spark, sf_dir, _second_ledger(spark))
-    done = publishing.classify(publishing.mart_keys(built), _published(spark, sf_dir), _windows(spark))
-    return staged, done
+    staged = _cut_staged(spark, sf_dir, _second_ledger(spark))
+    current = publishing.mart_keys(marts.build(staged, d.tenants(spark)))
+    published = cut(_published(spark, sf_dir), "published")
+    done = publishing.classify(current, published, _windows(spark))
+    return staged, published, cut(done, "classified")
 
 
 @query
 def incomplete_windows(spark, sf_dir):
     """Batches without a loaded file, per mart they leave open, with the live mart keys inside each window."""
     windows = coverage.mart_windows(_windows(spark))
-    _, built = _marts(spark, sf_dir, _second_ledger(spark))
+    built = marts.build(_cut_staged(spark, sf_dir, _second_ledger(spark)), d.tenants(spark))
     keys = publishing.mart_keys(built).select("tenant_id", "mart", "day", F.lit(1).alias("_key"))
     columns = ["tenant_id", "mart", "source", "batch_no", "path", "covers_from", "covers_to", "status"]
     days = coverage.window_days(windows)
@@ -185,37 +187,37 @@ def incomplete_windows(spark, sf_dir):
 
 @query
 def publish_versions(spark, sf_dir):
-    _, done = _second_run(spark, sf_dir)
+    _, _, done = _second_run(spark, sf_dir)
     return publishing.new_versions(done)
 
 
 @query
 def restatements(spark, sf_dir):
-    _, done = _second_run(spark, sf_dir)
+    _, _, done = _second_run(spark, sf_dir)
     return done.filter("action = 'restated'").select(*publishing.KEY, "from_version", "to_version", "before", "after")
 
 
 @query
 def tombstones(spark, sf_dir):
-    _, done = _second_run(spark, sf_dir)
+    _, _, done = _second_run(spark, sf_dir)
     return done.filter("action = 'tombstone'").select(*publishing.KEY, "from_version", "to_version", "before", "after")
 
 
 @query
 def withheld_keys(spark, sf_dir):
-    _, done = _second_run(spark, sf_dir)
+    _, _, done = _second_run(spark, sf_dir)
     return publishing.withheld_keys(done, _windows(spark))
 
 
 @query
 def publish_summary(spark, sf_dir):
-    _, done = _second_run(spark, sf_dir)
+    _, _, done = _second_run(spark, sf_dir)
     return publishing.summary(done)
 
 
 @query
 def caused_by(spark, sf_dir):
-    staged, done = _second_run(spark, sf_dir)
+    staged, _, done = _second_run(spark, sf_dir)
     loaded = _second_ledger(spark).filter("status = 'loaded'")
     found = publishing.causes(
         publishing.changed(done), publishing.lineage(staged), _run_files(spark, _first_ledger(spark), 1), loaded)
@@ -225,15 +227,14 @@ def caused_by(spark, sf_dir):
 @query
 def reported_metric(spark, sf_dir):
     """What clients see after both runs."""
-    _, done = _second_run(spark, sf_dir)
-    first = _published(spark, sf_dir)
+    _, first, done = _second_run(spark, sf_dir)
     second = publishing.new_versions(done).withColumn("run_id", F.lit(2).cast("bigint"))
     return publishing.reported_metric(first.unionByName(second))
 
 
 @query
 def lineage(spark, sf_dir):
-    return publishing.lineage(_all_staged(spark, sf_dir))
+    return publishing.lineage(_cut_staged(spark, sf_dir))
 
 
 @query

@@ -39,30 +39,31 @@ def _listed(lines: DataFrame, source: str) -> DataFrame:
     return each.filter("p IS NOT NULL").select(*OUT[:5], "p.column_name", "p.raw_value", "p.problem")
 
 
-def invalid_rows(raw: DataFrame, ledger: DataFrame, value_map: DataFrame, width: int | None = None) -> DataFrame:
+def checked_all(
+    raw: DataFrame, ledger: DataFrame, value_map: DataFrame, width: int | None = None
+) -> dict[str, DataFrame]:
+    return {s: checked(raw, ledger, value_map, s, width) for s in SOURCES}
+
+
+def invalid_rows(lines: dict[str, DataFrame]) -> DataFrame:
     """One row per bad required column of every loaded line, superseded lines included."""
-    return _union([_listed(checked(raw, ledger, value_map, s, width), s) for s in SOURCES])
+    return _union([_listed(df, source) for source, df in lines.items()])
 
 
-def current_invalid_rows(raw: DataFrame, ledger: DataFrame, value_map: DataFrame, width: int | None = None) -> DataFrame:
+def current_invalid_rows(lines: dict[str, DataFrame]) -> DataFrame:
     """Invalid rows that still reach the marts: the line its key kept, or a line without a key.
 
     The problems travel with the line through de-duplication. A line without a key is its own key, so
     such lines neither compete nor collect in one place.
     """
     parts = []
-    for source in SOURCES:
-        lines = checked(raw, ledger, value_map, source, width)
+    for source, df in lines.items():
         alone = F.when(~F.col("_keyed"), F.concat_ws("/", "batch_file_id", "line_no"))
-        kept = latest(lines.withColumn("_alone", alone), [*NATURAL_KEY[source], "_alone"])
+        kept = latest(df.withColumn("_alone", alone), [*NATURAL_KEY[source], "_alone"])
         parts.append(_listed(kept, source))
     return _union(parts)
 
 
-def count_by_column(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("tenant_id", "source", "column_name").agg(F.count(F.lit(1)).alias("rows"))
-
-
 def superseded_counts(invalid: DataFrame, current: DataFrame) -> DataFrame:
     """Invalid rows a later line replaced, per source and column.
 

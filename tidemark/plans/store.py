@@ -44,6 +44,14 @@ class Store:
             raise ValueError(f"{table} is append-only")
         self._write(table, df, "overwrite")
 
+    def replace_all(self, table: str, df: DataFrame) -> None:
+        """Replace a whole control table, partitions that have no row any more included."""
+        if table in APPEND_ONLY:
+            raise ValueError(f"{table} is append-only")
+        names = [f.name for f in self.spark.createDataFrame([], TABLES[table]).schema]
+        writer = df.select(*names).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*PARTITIONS[table]).parquet(self.path(table))
+
     def committed(self, table: str) -> DataFrame:
         """Rows of a publication table whose run has been recorded; a crashed run stays invisible."""
         return self.read(table).join(self.read("run").select("tenant_id", "run_id"), ["tenant_id", "run_id"], "left_semi")

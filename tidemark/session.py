@@ -12,9 +12,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Partition values are text ("01" must not become 1).
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
