@@ -300,3 +300,143 @@ ORACLE["reported_metric"] = RUNS + """SELECT tenant_id, mart, day, dims,
 ORACLE["lineage"] = _with(ALL, lineage_cte("a")) + "SELECT * FROM a_lineage"
 ORACLE["published_incomplete"] = RUNS + f"""SELECT mw.tenant_id, mw.mart, source, batch_no, status, count(*) AS keys,
   min(k.day) AS first_day, max(k.day) AS last_day FROM mw JOIN f_keys k ON {IN_WINDOW} GROUP BY ALL"""
+
+TALLY = _with(ALL).rstrip() + """, tally AS (
+  SELECT tenant_id, 'orders' AS source, 'channel' AS column_name, raw_channel AS raw_value, channel AS value, count(*) AS rows
+    FROM a_orders_text WHERE raw_channel IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT tenant_id, 'email_events', 'type', raw_type, type, count(*) FROM a_email_events_text GROUP BY ALL
+  UNION ALL SELECT tenant_id, 'ad_spend', 'platform', raw_platform, platform, count(*) FROM a_ad_spend_text GROUP BY ALL)
+"""
+ORACLE["value_tally"] = TALLY + "SELECT * FROM tally"
+ORACLE["unmapped_values"] = TALLY + """SELECT * FROM tally t WHERE column_name <> 'type'
+  AND EXISTS (SELECT 1 FROM vm WHERE vm.tenant_id = t.tenant_id AND vm.source = t.source AND vm.column_name = t.column_name)
+  AND NOT EXISTS (SELECT 1 FROM vm WHERE vm.tenant_id = t.tenant_id AND vm.source = t.source AND vm.column_name = t.column_name
+    AND (vm.raw_value = t.raw_value OR vm.canonical_value = t.raw_value))"""
+ORACLE["channel_mismatch"] = TALLY.rstrip() + """, r AS (SELECT DISTINCT tenant_id, value FROM tally WHERE source = 'orders'),
+ s AS (SELECT DISTINCT tenant_id, value FROM tally WHERE source = 'ad_spend')
+ SELECT *, 'revenue' AS side FROM (SELECT * FROM r EXCEPT SELECT * FROM s)
+ UNION ALL SELECT *, 'spend' AS side FROM (SELECT * FROM s EXCEPT SELECT * FROM r)"""
+ORACLE["near_misses"] = r"""WITH h AS (SELECT DISTINCT regexp_extract(url, '^([a-z]+)://', 1) AS scheme,
+    regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS host FROM pages),
+  s AS (SELECT host FROM h WHERE scheme = 'https'), p AS (SELECT host FROM h WHERE scheme = 'http' AND host NOT IN (SELECT host FROM s))
+  SELECT p.host AS name, s.host AS candidate, levenshtein(p.host, s.host)::INT AS distance FROM p, s
+  WHERE p.host <> s.host AND (levenshtein(p.host, s.host) <= 2 OR lower(p.host) = lower(s.host))"""
+ORACLE["missing_files"] = """SELECT p_partkey, p_name FROM part
+  WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_discount::DECIMAL(4,2) = 0.10)"""
+
+YEARS = """WITH y AS (SELECT 'c' || o_custkey AS tenant_id, 'orders' AS source, (year(o_orderdate) - 1994)::INT AS batch_no,
+  o_orderkey, o_orderstatus FROM orders)"""
+
+def _ranges(source: str, keys: str) -> str:
+    return f"""i AS (SELECT {keys}, batch_no, batch_no - row_number() OVER (PARTITION BY {keys} ORDER BY batch_no) AS g
+    FROM (SELECT DISTINCT {keys}, batch_no FROM {source})),
+  runs AS (SELECT {keys}, g, min(batch_no) AS lo, max(batch_no) AS hi, count(*) AS n FROM i GROUP BY ALL),
+  ranges AS (SELECT {keys}, CASE WHEN sum(n) = 1 THEN 'batch ' ELSE 'batches ' END || string_agg(
+    CASE WHEN lo = hi THEN lo::VARCHAR ELSE lo || '-' || hi END, ', ' ORDER BY lo) AS batches FROM runs GROUP BY {keys})"""
+
+
+ORACLE["batch_ranges"] = YEARS + ", " + _ranges("y", "tenant_id, source") + " SELECT * FROM ranges"
+ORACLE["batch_gap"] = YEARS + """, m AS (SELECT tenant_id, source, max(batch_no) AS top FROM y GROUP BY ALL),
+  n AS (SELECT tenant_id, source, unnest(range(1, top))::INT AS missing FROM m)
+  SELECT n.* FROM n ANTI JOIN y ON y.tenant_id = n.tenant_id AND y.batch_no = n.missing"""
+LEDGER = YEARS + """,
+ l AS (SELECT *, o_orderkey AS id, CASE o_orderstatus WHEN 'O' THEN 'batch_conflict' WHEN 'P' THEN 'unknown_header,missing_column' END
+   AS codes FROM y),
+ m AS (SELECT tenant_id, source, b::INT AS batch_no, tenant_id || '/' || (1994 + b) AS path, (1994 + b) || '-12-31' AS covers_to
+   FROM (SELECT DISTINCT tenant_id, source FROM y), range(1, 8) r(b)),
+ a AS (SELECT m.*, l.id, l.codes, l.o_orderstatus FROM m LEFT JOIN l USING (tenant_id, source, batch_no)),
+ st AS (SELECT tenant_id, source, batch_no, path, covers_to, CASE WHEN count(id) = 0 THEN 'not_received'
+   WHEN bool_or(o_orderstatus = 'F') THEN 'loaded' ELSE 'quarantined' END AS status, arg_max(codes, id) AS last_codes,
+   min(id) FILTER (WHERE o_orderstatus = 'F') AS loaded_id FROM a GROUP BY ALL),
+ cfg AS (SELECT 'c' || c_custkey AS tenant_id, CASE WHEN c_acctbal >= 0 THEN 'orders' ELSE 'refunds' END AS source FROM customer)
+"""
+ORACLE["batch_health"] = LEDGER + """SELECT tenant_id, source, batch_no, path, covers_to, status,
+  CASE WHEN status = 'quarantined' THEN last_codes END AS reason_codes FROM st"""
+ORACLE["conflicting_redelivery"] = LEDGER + """SELECT st.tenant_id, st.source, st.batch_no, path, covers_to,
+  arg_max(codes, id) AS reason_codes FROM st JOIN l ON l.tenant_id = st.tenant_id AND l.batch_no = st.batch_no
+  AND l.id > st.loaded_id AND l.o_orderstatus = 'O' GROUP BY ALL"""
+ORACLE["stale_sources"] = LEDGER + """SELECT * FROM (SELECT tenant_id, source,
+  max(covers_to) FILTER (WHERE status = 'loaded') AS fresh_through, '2001-12-31' AS as_of
+  FROM st JOIN cfg USING (tenant_id, source) GROUP BY ALL) WHERE fresh_through IS NULL OR fresh_through < as_of"""
+ORACLE["no_manifest_entries"] = LEDGER + "SELECT * FROM cfg ANTI JOIN m USING (tenant_id, source)"
+ORACLE["source_not_configured"] = LEDGER + """SELECT DISTINCT m.tenant_id, m.source FROM m ANTI JOIN cfg
+  ON cfg.tenant_id = m.tenant_id AND cfg.source = m.source"""
+ORACLE["alias_notes"] = YEARS + """, u AS (SELECT tenant_id, source, batch_no, 'total' AS header, 'gross' AS column_name FROM y
+  WHERE o_orderstatus = 'F' AND o_orderkey % 2 = 0), """ + _ranges("u", "tenant_id, source, header, column_name") + " SELECT * FROM ranges"
+
+ORACLE["content_hash"] = "SELECT lang AS source, doc_id AS batch_no, sha256(text) AS sha256 FROM documents"
+ORACLE["duplicate_content"] = """SELECT * FROM (SELECT lang AS source, doc_id AS batch_no,
+  min(doc_id) OVER (PARTITION BY lang, text) AS first_batch FROM documents) WHERE first_batch < batch_no"""
+ORACLE["replay_classification"] = """WITH f AS (SELECT lang AS source, doc_id AS batch_no, sha256(text) AS sha FROM documents),
+ l AS (SELECT lang AS source, sha, min(doc_id) AS batch_no FROM (SELECT lang, doc_id,
+   sha256(CASE WHEN toxic = 1 THEN text || ' (before)' ELSE text END) AS sha FROM documents JOIN labels USING (doc_id)) GROUP BY ALL),
+ v AS (SELECT f.*, b.sha AS bsha, s.batch_no AS sbatch FROM f LEFT JOIN l b ON b.source = f.source AND b.batch_no = f.batch_no
+   LEFT JOIN l s ON s.source = f.source AND s.sha = f.sha),
+ w AS (SELECT *, CASE WHEN bsha = sha THEN 'skipped' WHEN bsha IS NOT NULL THEN 'batch_conflict'
+   WHEN sbatch IS NOT NULL THEN 'duplicate_content' WHEN source NOT IN ('en', 'fr') THEN 'source_not_configured' ELSE 'parse' END AS k FROM v),
+ x AS (SELECT *, min(batch_no) FILTER (WHERE k = 'parse') OVER (PARTITION BY source, sha) AS first FROM w)
+ SELECT source, batch_no, CASE WHEN k = 'skipped' THEN k WHEN k <> 'parse' OR first < batch_no THEN 'quarantined' ELSE 'loaded' END AS status,
+   CASE WHEN k = 'skipped' THEN NULL WHEN k <> 'parse' THEN k WHEN first < batch_no THEN 'duplicate_content' END AS code,
+   CASE WHEN k = 'batch_conflict' THEN 'batch ' || batch_no || ' was already loaded with different content (sha256 ' || bsha || ')'
+     WHEN k = 'duplicate_content' THEN 'file has the same content as batch ' || sbatch || ', which is already loaded'
+     WHEN k = 'source_not_configured' THEN 'docs has no ' || source || ' source'
+     WHEN k = 'parse' AND first < batch_no THEN 'file has the same content as batch ' || first || ', which is already loaded' END AS message,
+   CASE WHEN k = 'skipped' THEN batch_no + 1 END AS earlier_rows FROM x"""
+
+# RE2 has no look-ahead, so every delimiter is doubled first: each field then has its own pair.
+CSV = r"""WITH s AS (SELECT doc_id::VARCHAR AS file, string_split(text, chr(10)) AS ls FROM documents),
+ n AS (SELECT file, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS line_no FROM s),
+ t AS (SELECT *, max(line_no) FILTER (WHERE line <> '') OVER (PARTITION BY file) AS top,
+   length(line) - length(replace(line, '"', '')) AS q FROM n),
+ p AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 = 1
+   AS o FROM t WHERE line_no <= top),
+ c AS (SELECT *, regexp_matches(line, '^([^"]|"")*"([^"]|$)') AS closes FROM p),
+ r AS (SELECT *, CASE WHEN NOT o THEN line WHEN closes THEN regexp_replace(line, '^([^"]|"")*"([^"]|$)', '\2') ELSE '' END AS rest FROM c),
+ b AS (SELECT *, regexp_replace(regexp_replace(replace(rest, ',', ',,'), '(^|,)"([^"]|"")*"(,|$)', '\1\3', 'g'),
+   '(^|,)"([^"]|"")*$', '\1') AS bare FROM r),
+ e AS (SELECT *, (o AND closes AND rest <> '' AND rest[1] <> ',') OR bare LIKE '%"%' AS bad,
+   (length(bare) - length(replace(bare, ',', ''))) // 2 AS commas, o <> (q % 2 = 1) AS o_end,
+   max(CASE WHEN NOT o THEN line_no END) OVER (PARTITION BY file ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS record FROM b),
+ shapes AS (SELECT file, record, max(line_no) AS end_line, (sum(commas) + 1)::INT AS fields,
+   bool_or(bad) OR arg_max(o_end, line_no) AS stray FROM e GROUP BY file, record)
+"""
+ORACLE["csv_line_numbers"] = CSV + "SELECT * FROM shapes"
+ORACLE["quarantine_reasons"] = CSV + """SELECT file, CASE WHEN stray THEN 'malformed_csv' ELSE 'column_count' END AS code,
+  CASE WHEN NOT stray THEN end_line END::INT AS line FROM (SELECT s.*, h.fields AS expected FROM shapes s
+  JOIN shapes h ON h.file = s.file AND h.record = 1) WHERE stray OR fields <> expected
+  QUALIFY row_number() OVER (PARTITION BY file ORDER BY record) = 1"""
+ORACLE["csv_records"] = """SELECT o_orderkey::VARCHAR AS order_id, strftime(o_orderdate, '%Y-%m-%d') AS created_at,
+  '"' || o_orderpriority || '", said' AS channel, o_totalprice::DECIMAL(18,2)::VARCHAR AS gross, 'USD' AS currency,
+  CASE WHEN o_orderstatus = 'P' THEN 'c' || chr(10) || o_custkey ELSE o_custkey::VARCHAR END AS customer_email FROM orders"""
+ORACLE["ndjson_records"] = """SELECT event_id::VARCHAR AS event_id, event_type AS type, props AS email,
+  json_extract_string(props, '$.k') AS campaign_id, strftime(ts, '%Y-%m-%d') AS occurred_at FROM events"""
+ORACLE["header_resolution"] = """SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '' WHEN 'BUILDING' THEN ''
+  WHEN 'FURNITURE' THEN 'unknown_header: header "' || c_name || '" is neither a column of ad_spend nor a declared alias; '
+    || 'missing_column: column "campaign_id" is missing'
+  WHEN 'HOUSEHOLD' THEN 'duplicate_header: header "date" appears more than once; missing_column: column "platform" is missing'
+  ELSE 'ambiguous_column: headers "spend" and "cost_usd" both map to column "spend"; '
+    || 'unknown_header: header "Platform" is neither a column of ad_spend nor a declared alias; '
+    || 'missing_column: column "date" is missing; missing_column: column "platform" is missing' END AS reasons FROM customer"""
+ORACLE["adapted_headers"] = """SELECT c_custkey, 'cost_usd' AS header, 'spend' AS column_name FROM customer
+  WHERE c_mktsegment = 'BUILDING'"""
+ORACLE["value_mapping"] = f"""WITH {CONTROL.strip()} SELECT o_orderkey, 't' || (o_orderkey % 2) AS tenant_id,
+  coalesce(canonical_value, o_orderpriority) AS channel FROM orders LEFT JOIN vm ON vm.tenant_id = 't' || (o_orderkey % 2)
+  AND vm.source = 'orders' AND column_name = 'channel' AND raw_value = o_orderpriority"""
+ORACLE["column_value"] = """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL WHEN event_type IN ('view', 'click')
+  THEN event_type ELSE json_extract_string(props, '$.k') END AS value FROM events"""
+ORACLE["safe_casts"] = """SELECT o_orderkey,
+  CASE WHEN o_orderpriority IN ('2-HIGH', '4-NOT SPECIFIED') THEN o_totalprice::DECIMAL(18,2)::DOUBLE END AS amount,
+  epoch_us(moment) AS at_us, moment::DATE AS utc_day, CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_orderdate::DATE END AS iso_day
+  FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN o_orderdate + INTERVAL 25 HOUR + INTERVAL 30 MINUTE
+    WHEN '3-MEDIUM' THEN o_orderdate + INTERVAL 3723 SECOND WHEN '4-NOT SPECIFIED' THEN o_orderdate END AS moment FROM orders)"""
+ORACLE["tenant_upsert"] = """SELECT 'c' || c_custkey AS tenant_id,
+  CASE WHEN c_acctbal < 0 THEN upper(c_name) ELSE c_name END AS display_name, 'USD' AS currency,
+  CASE WHEN c_acctbal > 9000 THEN 'insert' ELSE 'update' END AS action FROM customer
+  WHERE c_acctbal > 9000 OR (c_acctbal < 0 AND upper(c_name) <> c_name)"""
+ORACLE["value_map_sync"] = """WITH c AS (SELECT 'n' || c_nationkey AS tenant_id, 'orders' AS source, 'channel' AS column_name,
+  c_name AS raw_value, c_mktsegment AS seg, c_acctbal FROM customer)
+ SELECT tenant_id, source, column_name, raw_value, seg AS canonical_value, 'remove' AS action FROM c
+   WHERE c_acctbal > 9000 OR c_acctbal < 0
+ UNION ALL SELECT tenant_id, source, column_name, raw_value, lower(seg), 'add' FROM c WHERE c_acctbal < 0"""
+ORACLE["tenant_scope"] = _with(ALL) + """SELECT tenant_id, batch_no, count(*) AS orders FROM a_orders
+  WHERE tenant_id = 't1' GROUP BY ALL"""

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog import deliveries as d
-from tidemark.contract import MARTS
-from tidemark.operators import coverage, health, marts, publishing, quality, staging
-from tidemark.session import cut
+from tidemark.contract import MARTS, SOURCE_COLUMNS, SOURCE_FORMAT
+from tidemark.functions import casts, names
+from tidemark.functions.values import adapted, column_value as read_value, map_values, readers, reason
+from tidemark.operators import control, coverage, health, marts, onboarding, publishing, quality, replay, scope, staging
+from tidemark.operators.headers import header_rules, resolve_headers
+from tidemark.plans.load import parse_csv, parse_ndjson
+from tidemark.session import cut, shared_folder, small_frame
+from tidemark.sources import csv_files, lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -242,3 +248,316 @@ def published_incomplete(spark, sf_dir):
     """Keys of the first run inside windows that are incomplete now."""
     found = health.published_incomplete(publishing.reported_metric(_published(spark, sf_dir)), _windows(spark))
     return found.select("tenant_id", "mart", "source", "batch_no", "status", "keys", "first_day", "last_day")
+
+
+# --- onboarding ----------------------------------------------------------------------------------------
+
+
+def _texts(spark, sf_dir):
+    return {
+        s: staging.canonical_text(d.RAW[s](spark, sf_dir), d.ledger(spark), d.value_map(spark), s, d.WIDTH)
+        for s in ("orders", "email_events", "ad_spend")
+    }
+
+
+@query
+def value_tally(spark, sf_dir):
+    return onboarding.value_tally(_texts(spark, sf_dir))
+
+
+@query
+def unmapped_values(spark, sf_dir):
+    return onboarding.unmapped_values(onboarding.value_tally(_texts(spark, sf_dir)), d.value_map(spark))
+
+
+@query
+def channel_mismatch(spark, sf_dir):
+    return onboarding.channel_mismatch(cut(onboarding.value_tally(_texts(spark, sf_dir)), "tally"))
+
+
+@query
+def near_misses(spark, sf_dir):
+    """Hosts seen only over http that look like a typo of one seen over https."""
+    pages = d.table(spark, sf_dir, "pages").select(
+        F.regexp_extract("url", "^([a-z]+)://", 1).alias("scheme"), F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("host"))
+    secure = pages.filter("scheme = 'https'").select(F.col("host").alias("candidate"), F.lit("pages").alias("folder")).distinct()
+    plain = pages.filter("scheme = 'http'").select(F.col("host").alias("name"), F.lit("pages").alias("folder")).distinct()
+    pairs = names.near_misses(plain.join(secure, F.col("name") == F.col("candidate"), "left_anti"), secure, ["folder"])
+    return pairs.select("name", "candidate", "distance")
+
+
+@query
+def missing_files(spark, sf_dir):
+    """Parts expected among the returns at the deepest discount that never arrived there."""
+    returned = d.table(spark, sf_dir, "lineitem").filter(
+        "l_returnflag = 'R' AND cast(l_discount AS decimal(4,2)) = 0.10").select(F.col("l_partkey").alias("p_partkey"))
+    return d.table(spark, sf_dir, "part").join(returned, "p_partkey", "left_anti").select("p_partkey", "p_name")
+
+
+def _customer_years(spark, sf_dir):
+    """Per order the customer as tenant and the year as batch."""
+    return d.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("c"), F.col("o_custkey")).alias("tenant_id"), F.lit("orders").alias("source"),
+        (F.year("o_orderdate") - 1994).alias("batch_no"), "o_orderkey", "o_orderstatus")
+
+
+@query
+def batch_gap(spark, sf_dir):
+    return names.batch_gaps(_customer_years(spark, sf_dir), ["tenant_id", "source"])
+
+
+@query
+def batch_ranges(spark, sf_dir):
+    return names.batch_ranges(_customer_years(spark, sf_dir), ["tenant_id", "source"])
+
+
+# --- ledger against manifest: every order is a delivery attempt of its customer's year -----------------
+
+
+def _year_manifest(spark, sf_dir):
+    customers = _customer_years(spark, sf_dir).select("tenant_id", "source").distinct()
+    entries = customers.withColumn("batch_no", F.explode(F.sequence(F.lit(1), F.lit(7))))
+    year = (F.col("batch_no") + 1994).cast("string")
+    return entries.select(
+        "*", F.concat_ws("/", "tenant_id", year).alias("path"), F.concat(year, F.lit("-01-01")).alias("covers_from"),
+        F.concat(year, F.lit("-12-31")).alias("covers_to"))
+
+
+def _year_ledger(spark, sf_dir):
+    """Filled orders are loads, open ones conflicting redeliveries, pending ones files with wrong headers."""
+    status = F.when(F.col("o_orderstatus") == "F", F.lit("loaded")).otherwise(F.lit("quarantined"))
+    conflict = F.array(reason("batch_conflict", "conflict"))
+    header = F.array(reason("unknown_header", "x"), reason("missing_column", "y"), reason("unknown_header", "z"))
+    alias = F.when(F.col("o_orderkey") % 2 == 0, F.lit("total")).otherwise(F.lit("gross"))
+    return _customer_years(spark, sf_dir).select(
+        "tenant_id", "source", "batch_no", F.col("o_orderkey").alias("batch_file_id"), status.alias("status"),
+        F.when(F.col("o_orderstatus") == "O", conflict).when(F.col("o_orderstatus") == "P", header).alias("reasons"),
+        F.when(F.col("o_orderstatus") == "F", F.create_map(alias, F.lit("gross"))).alias("columns"))
+
+
+def _configured(spark, sf_dir):
+    """Customers without debt have an orders feed; those in debt only a refunds feed."""
+    source = F.when(F.col("c_acctbal") >= 0, F.lit("orders")).otherwise(F.lit("refunds"))
+    return d.table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), F.col("c_custkey")).alias("tenant_id"), source.alias("source"))
+
+
+@query
+def batch_health(spark, sf_dir):
+    df = health.batch_health(_year_manifest(spark, sf_dir), _year_ledger(spark, sf_dir))
+    return df.withColumn("reason_codes", F.array_join("reason_codes", ","))
+
+
+@query
+def conflicting_redelivery(spark, sf_dir):
+    df = health.conflicting_redelivery(_year_manifest(spark, sf_dir), _year_ledger(spark, sf_dir))
+    return df.withColumn("reason_codes", F.array_join("reason_codes", ","))
+
+
+@query
+def stale_sources(spark, sf_dir):
+    fresh = health.freshness(_year_manifest(spark, sf_dir), _year_ledger(spark, sf_dir), _configured(spark, sf_dir))
+    return health.stale_sources(fresh)
+
+
+@query
+def no_manifest_entries(spark, sf_dir):
+    return health.no_manifest_entries(_year_manifest(spark, sf_dir), _configured(spark, sf_dir))
+
+
+@query
+def source_not_configured(spark, sf_dir):
+    return health.source_not_configured(_year_manifest(spark, sf_dir), _configured(spark, sf_dir))
+
+
+@query
+def alias_notes(spark, sf_dir):
+    return health.alias_notes(_year_ledger(spark, sf_dir)).select("tenant_id", "source", "header", "column_name", "batches")
+
+
+# --- files: documents as delivered files ---------------------------------------------------------------
+
+
+def _documents(spark, sf_dir):
+    return d.table(spark, sf_dir, "documents").select(
+        F.lit("docs").alias("tenant_id"), F.col("lang").alias("source"), F.col("doc_id").alias("batch_no"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), "text")
+
+
+@query
+def content_hash(spark, sf_dir):
+    return _documents(spark, sf_dir).select("source", "batch_no", "sha256")
+
+
+@query
+def duplicate_content(spark, sf_dir):
+    files = _documents(spark, sf_dir).drop("text")
+    return replay.first_of_content(files).filter("first_batch < batch_no").select("source", "batch_no", "first_batch")
+
+
+@query
+def replay_classification(spark, sf_dir):
+    """Labelled documents were loaded before (toxic ones with other text); two languages are configured."""
+    docs = _documents(spark, sf_dir)
+    labels = d.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("batch_no"), "toxic")
+    before = F.when(F.col("toxic") == 1, F.concat("text", F.lit(" (before)"))).otherwise(F.col("text"))
+    loaded = docs.join(labels, "batch_no").withColumn("sha256", F.sha2(before.cast("binary"), 256)).groupBy(
+        "tenant_id", "source", "sha256").agg(F.min("batch_no").alias("batch_no"))
+    ledger = loaded.withColumn("status", F.lit("loaded")).withColumn("row_count", F.col("batch_no") + 1)
+    configured = docs.select("tenant_id", "source").distinct().filter(F.col("source").isin("en", "fr"))
+    done = cut(replay.classify_replays(docs.drop("text"), ledger, configured), "replays")
+    first = replay.first_of_content(done.filter("verdict = 'parse'")).select("source", "batch_no", "first_batch")
+    again = F.when(F.col("first_batch") < F.col("batch_no"), replay.duplicate_reason(F.col("first_batch")))
+    why = F.coalesce(F.try_element_at("reasons", F.lit(1)), again)
+    status = F.when(F.col("verdict") == "skipped", F.lit("skipped")).when(why.isNotNull(), F.lit("quarantined")).otherwise(F.lit("loaded"))
+    return done.join(first, ["source", "batch_no"], "left").select(
+        "source", "batch_no", status.alias("status"), why["code"].alias("code"), why["message"].alias("message"), "earlier_rows")
+
+
+def _document_lines(spark, sf_dir):
+    docs = d.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file"), "text")
+    return cut(csv_files.check_lines(lines.number_lines(lines.lines_of(docs, "file", "text")).lines), "checked")
+
+
+@query
+def csv_line_numbers(spark, sf_dir):
+    """Every document read as CSV: its records by start line, their last line and number of fields."""
+    return csv_files.record_shapes(_document_lines(spark, sf_dir))
+
+
+@query
+def quarantine_reasons(spark, sf_dir):
+    """Why each document is no CSV file."""
+    found = csv_files.shape_reasons(csv_files.record_shapes(_document_lines(spark, sf_dir)))
+    return found.select("file", "reason.code", "reason.line")
+
+
+def _round_trip(spark, df: DataFrame, source: str) -> DataFrame:
+    """Write a delivery's canonical columns as files of the source's format and parse them back."""
+    folder = f"{shared_folder(spark)}/tidemark/{uuid.uuid4().hex}"
+    if SOURCE_FORMAT[source] == "csv":
+        df.write.option("header", True).option("escape", '"').csv(folder)
+    else:
+        df.write.json(folder)
+    names_ = lines.list_files(spark, folder).filter("bytes > 0 AND file NOT LIKE '%/\\_%'")
+    files = cut(names_.select("file", F.lit("t0").alias("tenant_id"), F.lit(source).alias("source")), "files")
+    configured = files.select("tenant_id", "source").distinct()
+    none = spark.createDataFrame([], "tenant_id string, source string, alias string, canonical string")
+    rules = header_rules(spark, none, configured)
+    parsed = (parse_csv if SOURCE_FORMAT[source] == "csv" else parse_ndjson)(files, lines.scan_lines(spark, [folder]), rules)
+    return parsed.records.select(*[F.col("payload")[c].alias(c) for c in SOURCE_COLUMNS[source]])
+
+
+@query
+def csv_records(spark, sf_dir):
+    """Orders written as CSV files with quotes, commas and line breaks in fields, and read back."""
+    text = d.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_orderdate").cast("date").cast("string").alias("created_at"),
+        F.concat(F.lit('"'), "o_orderpriority", F.lit('", said')).alias("channel"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("gross"), F.lit("USD").alias("currency"),
+        F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("c\n"), "o_custkey")).otherwise(
+            F.col("o_custkey").cast("string")).alias("customer_email"))
+    return _round_trip(spark, text, "orders")
+
+
+@query
+def ndjson_records(spark, sf_dir):
+    """Events written as JSON lines (numbers kept as numbers) and read back as text."""
+    text = d.table(spark, sf_dir, "events").select(
+        "event_id", F.col("event_type").alias("type"), F.col("props").alias("email"),
+        F.get_json_object("props", "$.k").alias("campaign_id"), F.col("ts").cast("date").cast("string").alias("occurred_at"))
+    return _round_trip(spark, text, "email_events")
+
+
+# --- headers: every customer delivers ad spend under headers of its segment ----------------------------
+
+
+def _resolved_headers(spark, sf_dir):
+    segment = F.col("c_mktsegment")
+    headers = (
+        F.when(segment == "AUTOMOBILE", F.array(*map(F.lit, ["date", "campaign_id", "platform", "spend"])))
+        .when(segment == "BUILDING", F.array(*map(F.lit, ["date", "campaign_id", "platform", "cost_usd"])))
+        .when(segment == "FURNITURE", F.array(F.lit("date"), F.col("c_name"), F.lit("platform"), F.lit("spend")))
+        .when(segment == "HOUSEHOLD", F.array(*map(F.lit, ["date", "date", "campaign_id", "spend"])))
+        .otherwise(F.array(*map(F.lit, ["spend", "cost_usd", "campaign_id", "Platform"]))))
+    files = d.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.lit("t0").alias("tenant_id"), F.lit("ad_spend").alias("source"), headers.alias("headers"))
+    alias = small_frame(spark, [("t0", "ad_spend", "cost_usd", "spend")], "tenant_id string, source string, alias string, canonical string")
+    configured = small_frame(spark, [("t0", "ad_spend")], "tenant_id string, source string")
+    return resolve_headers(files, header_rules(spark, alias, configured))
+
+
+@query
+def header_resolution(spark, sf_dir):
+    reasons = F.array_join(F.transform("reasons", lambda r: F.concat(r["code"], F.lit(": "), r["message"])), "; ")
+    return _resolved_headers(spark, sf_dir).select("c_custkey", reasons.alias("reasons"))
+
+
+@query
+def adapted_headers(spark, sf_dir):
+    """Headers read through a declared alias, in the files that would load."""
+    fine = _resolved_headers(spark, sf_dir).filter(F.size("reasons") == 0)
+    return fine.select("c_custkey", F.explode(adapted(F.col("columns"))).alias("header", "column_name"))
+
+
+# --- functions -----------------------------------------------------------------------------------------
+
+
+@query
+def value_mapping(spark, sf_dir):
+    o = d.table(spark, sf_dir, "orders").select("o_orderkey", d._tenant("o_orderkey"), F.col("o_orderpriority").alias("channel"))
+    return map_values(o, d.value_map(spark), "orders", "channel", "channel")
+
+
+@query
+def column_value(spark, sf_dir):
+    """Two keys carry the type: `event` comes first in key order and is blank for some event types."""
+    first = F.when(F.col("event_type").isin("view", "error"), F.lit("   ")).when(
+        F.col("event_type") == "click", F.lit(None)).otherwise(F.get_json_object("props", "$.k"))
+    second = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.concat(F.lit("  "), F.col("event_type")))
+    e = d.table(spark, sf_dir, "events").select("event_id", F.create_map(F.lit("type"), second, F.lit("event"), first).alias("payload"))
+    keys = readers(F.create_map(F.lit("type"), F.lit("type"), F.lit("event"), F.lit("type")))
+    return e.select("event_id", read_value(F.col("payload"), keys["type"]).alias("value"))
+
+
+@query
+def safe_casts(spark, sf_dir):
+    p, day = F.col("o_orderpriority"), F.col("o_orderdate").cast("date").cast("string")
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    amount = F.when(p == "1-URGENT", F.concat(price, F.lit("O"))).when(p == "2-HIGH", F.concat(F.lit("+"), price)).when(
+        p == "3-MEDIUM", F.lit("NaN")).when(p == "5-LOW", F.concat(price, F.lit("00001"))).otherwise(price)
+    when = F.when(p == "1-URGENT", F.concat(day, F.lit("T23:30:00-02:00"))).when(p == "2-HIGH", F.concat(day, F.lit("X"))).when(
+        p == "3-MEDIUM", F.concat(day, F.lit(" 01:02:03"))).when(p == "5-LOW", F.lit("today")).otherwise(day)
+    o = d.table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey", casts.try_numeric(amount).cast("double").alias("amount"),
+        F.unix_micros(casts.try_timestamp_utc(when)).alias("at_us"), casts.utc_day(casts.try_timestamp_utc(when)).alias("utc_day"),
+        casts.try_iso_date(when).alias("iso_day"))
+
+
+# --- control tables and scope --------------------------------------------------------------------------
+
+
+@query
+def tenant_upsert(spark, sf_dir):
+    """Customers as tenants: rich ones are new, indebted ones changed their name."""
+    c = d.table(spark, sf_dir, "customer").withColumn("tenant_id", F.concat(F.lit("c"), F.col("c_custkey")))
+    stored = c.filter("c_acctbal <= 9000").select("tenant_id", F.col("c_name").alias("display_name"), F.lit("USD").alias("currency"))
+    name = F.when(F.col("c_acctbal") < 0, F.upper("c_name")).otherwise(F.col("c_name"))
+    return control.tenant_changes(stored, c.select("tenant_id", name.alias("display_name"), F.lit("USD").alias("currency")))
+
+
+@query
+def value_map_sync(spark, sf_dir):
+    c = d.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("n"), F.col("c_nationkey")).alias("tenant_id"), F.lit("orders").alias("source"),
+        F.lit("channel").alias("column_name"), F.col("c_name").alias("raw_value"), F.col("c_mktsegment").alias("canonical_value"),
+        "c_acctbal")
+    moved = F.when(F.col("c_acctbal") < 0, F.lower("canonical_value")).otherwise(F.col("canonical_value"))
+    desired = c.filter("c_acctbal <= 9000").withColumn("canonical_value", moved)
+    return control.value_map_changes(c, desired)
+
+
+@query
+def tenant_scope(spark, sf_dir):
+    staged = scope.scope(_staged(spark, sf_dir, "orders"), "t1")
+    return staged.groupBy("tenant_id", "batch_no").agg(F.count(F.lit(1)).alias("orders"))
