@@ -14,7 +14,7 @@ from tidemark.functions.values import adapted, column_value as read_value, map_v
 from tidemark.operators import control, coverage, health, marts, onboarding, publishing, quality, replay, scope, staging
 from tidemark.operators.headers import header_rules, resolve_headers
 from tidemark.plans.load import parse_csv, parse_ndjson
-from tidemark.session import cut, shared_folder, small_frame
+from tidemark.session import cut, cut_all, shared_folder, small_frame
 from tidemark.sources import csv_files, lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,7 @@ def _staged(spark: SparkSession, sf_dir: str, source: str, ledger: DataFrame | N
 
 def _cut_staged(spark: SparkSession, sf_dir: str, ledger: DataFrame | None = None) -> dict[str, DataFrame]:
     """All staging relations, each computed once for its several readers, as a report run does."""
-    return {s: cut(_staged(spark, sf_dir, s, ledger), s) for s in staging.STAGING}
+    return cut_all({s: _staged(spark, sf_dir, s, ledger) for s in staging.STAGING})
 
 
 def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,8 +125,8 @@ def current_invalid_rows(spark, sf_dir):
 
 @query
 def superseded_invalid_rows(spark, sf_dir):
-    lines = {s: cut(df, f"checked_{s}") for s, df in _checked(spark, sf_dir).items()}
-    return quality.superseded_counts(quality.invalid_rows(lines), quality.current_invalid_rows(lines))
+    checked = cut_all(_checked(spark, sf_dir))
+    return quality.superseded_counts(quality.invalid_rows(checked), quality.current_invalid_rows(checked))
 
 
 @query

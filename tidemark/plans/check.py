@@ -13,7 +13,7 @@ from tidemark.operators import health, publishing, quality
 from tidemark.operators.coverage import incomplete_windows
 from tidemark.operators.staging import STAGING
 from tidemark.plans.store import Store
-from tidemark.session import cut
+from tidemark.session import cut, cut_all
 from tidemark.sources.tenants import Control
 
 
@@ -38,7 +38,7 @@ def check(spark: SparkSession, store: Store, control: Control, manifest: DataFra
     ledger = cut(store.read("ledger").join(tenants, "tenant_id", "left_semi"), "ledger")
     raw, value_map, width = store.read("raw"), store.read("value_map"), reader_width(ledger)
 
-    lines = {s: cut(df, f"checked_{s}") for s, df in quality.checked_all(raw, ledger, value_map, width).items()}
+    lines = cut_all(quality.checked_all(raw, ledger, value_map, width))
     current = cut(quality.current_invalid_rows(lines), "current_invalid")
     superseded = quality.superseded_counts(quality.invalid_rows(lines), current)
     closed = {s: STAGING[s](raw, ledger, value_map, width) for s, _ in CLOSED_VALUES}

@@ -12,13 +12,13 @@ from tidemark.operators import marts as mart_ops, publishing
 from tidemark.operators.coverage import incomplete_windows
 from tidemark.operators.staging import STAGING
 from tidemark.plans.store import Store
-from tidemark.session import cut
+from tidemark.session import cut, cut_all
 
 
 def stage(store: Store, ledger: DataFrame, sources: list[str]) -> dict[str, DataFrame]:
     """Staging relations of the files in `ledger`, each computed once."""
     raw, value_map, width = store.read("raw"), store.read("value_map"), reader_width(ledger)
-    return {s: cut(STAGING[s](raw, ledger, value_map, width), s) for s in sources}
+    return cut_all({s: STAGING[s](raw, ledger, value_map, width) for s in sources})
 
 
 def publish(spark: SparkSession, store: Store, manifest: DataFrame, marts: list[str] | None = None) -> DataFrame:

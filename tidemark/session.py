@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -50,6 +51,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Cut independent frames with their jobs running side by side, so one's last tasks do not idle the cluster."""
+    shared_folder(next(iter(frames.values())).sparkSession)
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        running = {name: pool.submit(cut, df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Control rows as a local relation, whose exact size Catalyst knows (a parallelized list has none)."""
     struct = T._parse_datatype_string(schema)
