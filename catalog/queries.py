@@ -165,19 +165,24 @@ def _run_files(spark, ledger: DataFrame, run_id: int) -> DataFrame:
         "tenant_id", F.lit(run_id).cast("bigint").alias("run_id"), "batch_file_id", "source")
 
 
-def _published(spark, sf_dir) -> DataFrame:
+def _first_run(spark, staged: dict[str, DataFrame]) -> DataFrame:
     """What the first run wrote: version 1 of every key."""
-    built = marts.build(_cut_staged(spark, sf_dir, _first_ledger(spark)), d.tenants(spark))
-    return publishing.mart_keys(built).select(
+    return publishing.mart_keys(marts.build(staged, d.tenants(spark))).select(
         F.lit(1).cast("bigint").alias("run_id"), "mart", "day", "dims", F.lit(1).alias("version"), "metrics", "tenant_id")
 
 
+def _published(spark, sf_dir) -> DataFrame:
+    return _first_run(spark, _cut_staged(spark, sf_dir, _first_ledger(spark)))
+
+
 def _second_run(spark, sf_dir):
-    staged = _cut_staged(spark, sf_dir, _second_ledger(spark))
-    current = publishing.mart_keys(marts.build(staged, d.tenants(spark)))
-    published = cut(_published(spark, sf_dir), "published")
-    done = publishing.classify(current, published, _windows(spark))
-    return staged, published, cut(done, "classified")
+    ledgers = {"first": _first_ledger(spark), "second": _second_ledger(spark)}
+    both = cut_all({f"{run}_{s}": _staged(spark, sf_dir, s, lg) for run, lg in ledgers.items() for s in staging.STAGING})
+    first, second = ({s: both[f"{run}_{s}"] for s in staging.STAGING} for run in ledgers)
+    keys = cut_all({
+        "published": _first_run(spark, first), "current": publishing.mart_keys(marts.build(second, d.tenants(spark)))})
+    done = publishing.classify(keys["current"], keys["published"], _windows(spark))
+    return second, keys["published"], cut(done, "classified")
 
 
 @query
