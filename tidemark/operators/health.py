@@ -114,6 +114,14 @@ def position(column: str, names: list[str]):
     return F.array_position(F.array(*map(F.lit, names)), F.col(column)).cast("int")
 
 
+def column_position():
+    """Where a column stands among its source's columns."""
+    rank = F.lit(0)
+    for source, columns in SOURCE_COLUMNS.items():
+        rank = F.when(F.col("source") == source, position("column_name", columns)).otherwise(rank)
+    return rank
+
+
 def _finding(df: DataFrame, kind: str, stage: int, order: list, *values) -> DataFrame:
     """One text line per row; (stage, order) reproduces the order findings are reported in."""
     ranks = [*order, F.lit(0), F.lit(0), F.lit(0)][:3]
@@ -148,9 +156,7 @@ def findings(
             .otherwise(F.concat(F.lit("from "), F.col("first_day").cast("string"), F.lit(" to "), F.col("last_day").cast("string"))),
             F.col("source"), batch, F.col("covers_from"), F.col("covers_to"), F.col("status")),
     ]
-    column_rank = F.lit(0)
-    for source, columns in SOURCE_COLUMNS.items():
-        column_rank = F.when(F.col("source") == source, position("column_name", columns)).otherwise(column_rank)
+    column_rank = column_position()
     rows.append(_finding(
         invalid_row_findings(current_invalid), "invalid_rows", 5, [src, column_rank],
         F.col("source"), F.col("column_name"), plural(F.col("rows"), "row"), F.col("first_batch"), F.col("first_line")))
@@ -177,7 +183,7 @@ def notes(ledger: DataFrame, superseded: DataFrame) -> DataFrame:
         alias_notes(ledger), "declared_alias", 7, [src, F.col("first_seen.batch_no"), F.col("first_seen.batch_file_id")],
         F.col("source"), F.col("batches"), F.col("header"), F.col("column_name"))
     replaced = _finding(
-        superseded, "superseded_invalid_rows", 8, [src], F.col("source"), F.col("column_name"),
+        superseded, "superseded_invalid_rows", 8, [src, column_position()], F.col("source"), F.col("column_name"),
         plural(F.col("rows"), "invalid row"))
     return declared.unionByName(replaced)
 
