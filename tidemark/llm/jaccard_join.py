@@ -33,15 +33,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.graph import components
 from tidemark.llm.texts import (
-    ASCII_LOWER, PLAIN_WORD, U8, Slice, annotate, as_signed, gram_hashes, lists, mix, ranges, run_hashes, slices, words)
+    ASCII_LOWER, PLAIN_WORD, U8, Slice, annotate, as_signed, gram_hashes, id_filter, lists, mix, ranges, run_hashes, slices, words)
 from tidemark.session import cut
 
 BUCKETS = 1 << 20
 CHUNK = 4096
 #: Bounds of what one opened group holds: tokens and classes.
 GROUP_TOKENS, GROUP_CLASSES = 200_000, 512
-#: Bits of the filter that keeps rows without a partner from being shuffled for verification (1 MB, whatever the input).
-FILTER_BITS = 1 << 23
 
 
 def shingle_sets(part: Slice, n: int) -> list[np.ndarray]:
@@ -132,27 +130,16 @@ def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(node, n, tokens) of the wanted classes (node, doc_id, one, two), computed again from one text of each."""
-    sc = docs.sparkSession.sparkContext
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    rows = wanted.select(bit.alias("bit")).groupBy((F.col("bit") / 64).cast("int").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for word, value in rows.collect():  # FILTER_BITS / 64 rows at most
-        bits[word] = value
-    held = sc.broadcast(bits)
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(2).to_numpy()
-            batch = batch.filter(pa.array(((held.value[at // 64] >> (at % 64)) & 1).astype(bool)))
-            for part in slices(batch.column(0)):
-                found = shingle_sets(part, n)
-                marks = [_signature(s) for s in found]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(1).slice(part.lo, len(part)), pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
-                    lists(np.array([len(s) for s in found]), pa.array(as_signed(np.concatenate(found)), pa.int64()))], names=["doc_id", "one", "two", "tokens"])
 
-    made = docs.select("text", "doc_id", bit.alias("bit")).mapInArrow(make, "doc_id long, one long, two long, tokens array<long>")
+    def make(part: Slice) -> list[pa.Array]:
+        found = shingle_sets(part, n)
+        marks = [_signature(s) for s in found]
+        return [
+            pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
+            lists(np.array([len(s) for s in found]), pa.array(as_signed(np.concatenate(found)), pa.int64()))]
+
+    few = id_filter(docs.select("text", "doc_id"), wanted.select("doc_id"), "doc_id")
+    made = annotate(few, ["doc_id"], T.StructType.fromDDL("one long, two long, tokens array<long>"), make)
     # The copies of a repeated row are already together after the join.
     return made.join(wanted, ["one", "two", "doc_id"]).dropDuplicates(["one", "two", "doc_id"]).select("node", "tokens")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.substring_dedup import dedup_substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents"), window=50)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
@@ -23,6 +28,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
@@ -40,6 +46,22 @@ link AS MATERIALIZED (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y O
 reach AS (SELECT doc_id, doc_id AS seen FROM documents UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.seen)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, d.component_id
 FROM (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY 1) d LEFT JOIN n USING (doc_id)
+""",
+    "op9_substring_dedup": """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+hit AS (SELECT g.doc_id, g.i FROM g JOIN (SELECT gram, min(doc_id) AS low FROM g GROUP BY 1) m USING (gram) WHERE g.doc_id > m.low),
+covered AS (SELECT doc_id, list(DISTINCT k) AS k FROM (SELECT doc_id, unnest(range(i, i + 50)) AS k FROM hit) GROUP BY 1),
+words AS (SELECT d.doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d JOIN covered USING (doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(k) AS k FROM covered),
+kept AS (
+  SELECT words.doc_id, string_agg(word, ' ' ORDER BY words.k) AS kept FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.k = words.k
+  WHERE gone.k IS NULL GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(c.k), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN c.doc_id IS NULL THEN array_to_string(w, ' ') ELSE coalesce(kept.kept, '') END) AS kept_sha256
+FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN kept ON kept.doc_id = d.doc_id
 """,
     "op10_benchmark_decontamination": f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),

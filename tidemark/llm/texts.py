@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 SLICE_BYTES = 4 << 20
@@ -183,3 +183,29 @@ def annotate(docs: DataFrame, keep: list[str], fields: T.StructType, fn: Callabl
                 yield pa.RecordBatch.from_arrays(old + new, names=arrow.names)
 
     return docs.select(docs[text].alias("_text"), *[docs[c] for c in keep]).mapInArrow(run, schema)
+
+
+#: Bits of the filter of `id_filter` (1 MB, whatever the input).
+FILTER_BITS = 1 << 23
+
+
+def id_filter(rows: DataFrame, wanted: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose `key` may be among those of `wanted`, and none that is left out wrongly.
+
+    A filter of fixed size goes to the executors, so that rows without a partner are not shuffled by the join that
+    follows. With very many keys it lets everything through, and the join alone decides.
+    """
+    at = F.pmod(F.xxhash64(key), F.lit(bits))
+    held = np.zeros(bits // 64, dtype=np.int64)
+    marks = wanted.select(at.alias("bit")).groupBy(F.expr("cast(bit div 64 as int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    for word, value in marks.collect():  # bits / 64 rows at most
+        held[word] = value
+    sent = rows.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column(batch.num_columns - 1).to_numpy()
+            own = batch.filter(pa.array(((sent.value[bit // 64] >> (bit % 64)) & 1).astype(bool)))
+            yield pa.RecordBatch.from_arrays(own.columns[:-1], names=own.schema.names[:-1])
+
+    return rows.withColumn(fresh("_bit", rows.columns), at).mapInArrow(run, rows.schema)
