@@ -2,21 +2,42 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.packing import pack
 from tidemark.llm.substring_dedup import dedup_substrings
+from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.session import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=0, capacity=2048)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/tidemark/{uuid.uuid4().hex}/token_files"
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file(), end_id=2)
+    return read_token_files(spark, path)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), window=50)
 
@@ -28,6 +49,8 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_token_files": op6_token_files,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
