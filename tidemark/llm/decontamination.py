@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.texts import Slice, annotate, byte_class, lists, words
+from tidemark.llm.texts import Slice, annotate, byte_class, lists, map_batches, words
 
 WINDOW = 13
 #: Bytes of benchmark text that one automaton may hold; a larger benchmark is scanned for in several narrow passes.
@@ -178,4 +178,4 @@ def with_spans(found: DataFrame, keep: list[str], hits: str, name: str) -> DataF
                 own = batch.slice(part.lo, len(part))
                 yield pa.RecordBatch.from_arrays([*own.columns[2:], _spans(part, own.column(1))], names=schema.names)
 
-    return found.select(found["text"].alias("_text"), found[hits].alias("_hits"), *[found[c] for c in keep]).mapInArrow(run, schema)
+    return map_batches(found.select(found["text"].alias("_text"), found[hits].alias("_hits"), *[found[c] for c in keep]), run, schema)

@@ -26,13 +26,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.texts import as_signed, lists, slices
+from tidemark.llm.texts import as_signed, lists, map_batches, slices
 from tidemark.llm.tokens import encoder
 from tidemark.session import cut, small_frame
 
 CAPACITY = 2048
-#: Rounds of the multiplicative weights, how far short of the best a configuration may be, and the weights' step.
-ROUNDS, SLACK, STEP = 40, 0.002, 0.5
+#: Rounds of the multiplicative weights, how far short of the best a configuration may be, the weights' step, and the
+#: share of what its scarcest length still lacks that a configuration takes at once.
+ROUNDS, SLACK, STEP, SHARE = 60, 0.003, 3.0, 0.6
 
 
 def _prices(w: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +45,7 @@ def _prices(w: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[np.ndarr
         best[space] = best[space - 1]
         if k:
             value = best[space - lengths[:k]] + w[:k]
-            i = int(value.argmax())
+            i = k - 1 - int(value[::-1].argmax())  # of equal ones the longest: short lengths fill gaps later
             if value[i] > best[space]:
                 best[space], take[space] = value[i], lengths[i]
     return best, take
@@ -73,31 +74,27 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
     lengths = np.array(sorted(left), dtype=np.int64)
     demand = np.array([left[int(n)] for n in lengths], dtype=float)
     place = {int(n): i for i, n in enumerate(lengths)}
-    cover = np.zeros(len(lengths))
+    open_demand = demand.copy()
     used: dict[tuple[tuple[int, int], ...], float] = {}
     for _ in range(rounds if len(lengths) else 0):
-        w = lengths / capacity * np.exp(-STEP * cover / demand)
-        best, take = _prices(w, lengths, capacity)
-        value = w + best[capacity - lengths]
-        short = np.flatnonzero((cover < demand) & (value >= (1 - SLACK) * value[cover < demand].max(initial=0)))
-        if not len(short):
+        live = open_demand >= np.minimum(1.0, demand)
+        if not live.any():
             break
-        for i in short:
+        w = np.where(live, lengths / capacity * np.exp(STEP * (open_demand / demand - 1)), 0.0)
+        best, take = _prices(w[live], lengths[live], capacity)
+        value = w + best[capacity - lengths]
+        for i in np.flatnonzero(live & (value >= (1 - SLACK) * value[live].max()))[::-1]:
             config = _filling(take, capacity - int(lengths[i]))
             config[int(lengths[i])] = config.get(int(lengths[i]), 0) + 1
-            step = min(demand[place[n]] / a for n, a in config.items()) / 4
+            step = min(open_demand[place[n]] / a for n, a in config.items()) * SHARE
+            if step <= 0:
+                continue
             key = tuple(sorted(config.items()))
             used[key] = used.get(key, 0) + step
             for n, a in config.items():
-                cover[place[n]] += a * step
-    over = max(1.0, float(np.max(cover / demand, initial=1.0)))
-    def waste(key):
-        return capacity - sum(n * a for n, a in key)
-
-    for key in sorted(used, key=lambda k: (waste(k), -used[k], k)):
-        if waste(key) > capacity // 256:
-            continue
-        number = min(int(np.ceil(used[key])) if over else 0, *(left[n] // a for n, a in key))
+                open_demand[place[n]] -= a * step
+    for key, number in used.items():
+        number = min(int(number + 0.5), *(left[n] // a for n, a in key))
         if number > 0:
             plan.append((dict(key), number))
             for n, a in key:
@@ -171,8 +168,8 @@ def _pieces(path: str, end_id: int, capacity: int):
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every document."""
     spark = docs.sparkSession
-    pieces = docs.select("text", "doc_id").mapInArrow(
-        _pieces(tokenizer, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")
+    pieces = map_batches(
+        docs.select("text", "doc_id"), _pieces(tokenizer, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long")
     pieces = cut(pieces, "pieces")
     by_task = cut(pieces.groupBy("part", "length").agg(F.count("*").alias("c")), "by_task")
     histogram = {r["length"]: r["c"] for r in by_task.groupBy("length").agg(F.sum("c").alias("c")).collect()}  # `capacity` rows at most

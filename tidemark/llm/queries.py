@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.llm import language_id, secrets
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.packing import pack
@@ -24,6 +25,17 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def held_out() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs.where(~held_out()))
+    found = language_id.label(docs, model, ["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_labelled", "n_switches")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -38,6 +50,18 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs), ["doc_id"])
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("secret_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("secret_spans", lambda s: s["kind"] != "crf")
+    return found.select(
+        "doc_id", of("assign"), of("access"), of("hex"), F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest("secret_spans").alias("spans"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), window=50)
 
@@ -48,9 +72,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_token_files": op6_token_files,
+    "op7_secret_scan": op7_secret_scan,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.texts import (
-    PLAIN_WORD, U8, Slice, annotate, as_signed, id_filter, lists, long_gram_hashes, run_hashes, slices, words)
+    PLAIN_WORD, U8, Slice, annotate, as_signed, id_filter, lists, long_gram_hashes, map_batches, run_hashes, slices, words)
 from tidemark.session import cut
 
 WINDOW = 50
@@ -163,8 +163,8 @@ def removed_classes(docs: DataFrame, base: DataFrame, window: int, first: int) -
         alive = cut(alive.groupBy("doc_id", "sha").agg(F.collect_set("anchor").alias("anchors")), f"alive{m}")
         few = _texts_of(docs, alive)
         if longer is None:
-            return few.mapInArrow(_remove(window), "doc_id long, sha string, n_removed long, kept string")
-        rows = cut(few.mapInArrow(_extend(window, m, longer), "doc_id long, sha string, anchors array<long>"), f"level{longer}")
+            return map_batches(few, _remove(window), "doc_id long, sha string, n_removed long, kept string")
+        rows = cut(map_batches(few, _extend(window, m, longer), "doc_id long, sha string, anchors array<long>"), f"level{longer}")
     raise AssertionError("the window is the last level")
 
 

@@ -6,12 +6,15 @@ task holds does not grow with its partition; one text is never split here and bo
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 SLICE_BYTES = 4 << 20
@@ -182,7 +185,7 @@ def annotate(docs: DataFrame, keep: list[str], fields: T.StructType, fn: Callabl
                 old = [c.slice(part.lo, len(part)) for c in batch.columns[1:]]
                 yield pa.RecordBatch.from_arrays(old + new, names=arrow.names)
 
-    return docs.select(docs[text].alias("_text"), *[docs[c] for c in keep]).mapInArrow(run, schema)
+    return map_batches(docs.select(docs[text].alias("_text"), *[docs[c] for c in keep]), run, schema)
 
 
 #: Bits of the filter of `id_filter` (1 MB, whatever the input).
@@ -208,4 +211,27 @@ def id_filter(rows: DataFrame, wanted: DataFrame, key: str, bits: int = FILTER_B
             own = batch.filter(pa.array(((sent.value[bit // 64] >> (bit % 64)) & 1).astype(bool)))
             yield pa.RecordBatch.from_arrays(own.columns[:-1], names=own.schema.names[:-1])
 
-    return rows.withColumn(fresh("_bit", rows.columns), at).mapInArrow(run, rows.schema)
+    return map_batches(rows.withColumn(fresh("_bit", rows.columns), at), run, rows.schema)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session's executors, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    held = Path(tempfile.mkdtemp()) / "tidemark-package.zip"  # Spark serves it to the executors from here
+    with zipfile.ZipFile(held, "w") as z:
+        for path in sorted((root / "tidemark").rglob("*.py")):
+            z.write(path, path.relative_to(root))
+    sc.addPyFile(str(held))
+    _shipped.add(sc.applicationId)
+
+
+def map_batches(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """mapInArrow with this package at hand in the workers."""
+    ship(rows.sparkSession)
+    return rows.mapInArrow(fn, schema)

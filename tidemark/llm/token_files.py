@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.texts import slices
+from tidemark.llm.texts import map_batches, slices
 from tidemark.llm.tokens import encoder
 
 MAGIC = b"TIDPACK1"
@@ -144,7 +144,7 @@ def _packs(tokenizer: str, end_id: int, pack_ids: int):
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, pack_ids: int = PACK_IDS) -> None:
     """Write the packs of all documents, in ascending doc_id order over parts and packs, below `path`."""
     ordered = docs.select("text", "doc_id").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    packs = ordered.mapInArrow(_packs(tokenizer, end_id, pack_ids), "part int, pack int, start long, n_ids long, payload binary")
+    packs = map_batches(ordered, _packs(tokenizer, end_id, pack_ids), "part int, pack int, start long, n_ids long, payload binary")
     packs.write.option("compression", "uncompressed").parquet(path)
 
 
@@ -164,7 +164,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids before the document over all packs), n_tokens and ids_crc32 of every document written."""
     packs = spark.read.schema("part int, pack int, start long, n_ids long, payload binary").parquet(path)
-    docs = packs.select("part", "start", "payload").mapInArrow(_read, "part int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    docs = map_batches(packs.select("part", "start", "payload"), _read, "part int, doc_id long, start long, n_tokens long, ids_crc32 long")
     # One row for each written file, so the window's single task holds no more rows than the folder has files.
     totals = packs.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
