@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.llm import language_id, secrets
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.order_minhash import order_minhash
 from tidemark.llm.packing import pack
 from tidemark.llm.substring_dedup import dedup_substrings
 from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.llm.url_filter import judge
 from tidemark.session import shared_folder
 
 
@@ -40,6 +42,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=0, capacity=2048)
 
@@ -62,6 +68,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", of("assign"), of("access"), of("hex"), F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest("secret_spans").alias("spans"))
 
 
+#: The rules of the query, as verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents"), window=50)
 
@@ -74,9 +89,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_order_minhash": op4_order_minhash,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_token_files": op6_token_files,
     "op7_secret_scan": op7_secret_scan,
+    "op8_url_filter": op8_url_filter,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
