@@ -1,7 +1,7 @@
 """N-gram Jaccard self-join by a token-group matrix.
 
 A document's set holds its distinct n-word shingles (64-bit hashes). Sets are ordered rarest token first, by counts of
-the whole corpus in 2^20 buckets, which is only an order and may be coarse. Then, exactly:
+the whole corpus in 2^22 buckets, which is only an order and may be coarse. Then, exactly:
 
 1. Equal sets form one class; copies cost nothing from here on.
 2. Two sets that link share a token among each one's first n - ceil(t n) + 1 tokens (its prefix). Tokens in the prefix
@@ -33,11 +33,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.graph import components
 from tidemark.llm.texts import (
-    ASCII_LOWER, PLAIN_WORD, U8, Slice, annotate, as_signed, gram_hashes, id_filter, lists, mix, ranges, run_hashes, slices, words)
+    ASCII_LOWER, PLAIN_WORD, U8, Slice, annotate, as_signed, gram_hashes, id_filter, lists, map_batches, mix, ranges, run_hashes, slices, words)
 from tidemark.session import cut
 
-BUCKETS = 1 << 20
-CHUNK = 4096
+BUCKET_BITS = 22
+BUCKETS = 1 << BUCKET_BITS
+CHUNK = 1 << 14
+_SHIFT = U8(64 - BUCKET_BITS)
 #: Bounds of what one opened group holds: tokens and classes.
 GROUP_TOKENS, GROUP_CLASSES = 200_000, 512
 
@@ -69,33 +71,34 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """In how many texts tokens of each bucket occur. Every task adds up its own texts, then chunks are added up."""
+    """In how many texts tokens of each bucket occur, as fixed-point logarithms that only serve as an order.
+
+    Every task adds up its own texts, then chunks of buckets are added up; 8 MB reach the driver, whatever the input."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, dtype=np.int64)
+        total = np.zeros(BUCKETS, dtype=np.uint32)
         seen = False
         for batch in batches:
             for part in slices(batch.column(0)):
-                found = shingle_sets(part, n)
-                total += np.bincount((np.concatenate(found) >> U8(44)).astype(np.int64), minlength=BUCKETS)
+                np.add.at(total, (np.concatenate(shingle_sets(part, n)) >> _SHIFT).astype(np.int64), np.uint32(1))
                 seen = True
-        if seen:
-            for k in range(BUCKETS // CHUNK):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), lists(np.array([CHUNK]), pa.array(total[k * CHUNK : (k + 1) * CHUNK], pa.int64()))], names=["chunk", "counts"])
-
-    schema = "chunk int, counts array<long>"
-    parts = docs.select("text").mapInArrow(count, schema)
-
-    def add_table(key, table):
-        total = np.zeros(CHUNK, dtype=np.int64)
-        for batch in table.to_batches():
-            total += batch.column("counts").flatten().to_numpy().reshape(-1, CHUNK).sum(axis=0)
-        return pa.table([pa.array([key[0].as_py()], pa.int32()), lists(np.array([CHUNK]), pa.array(total, pa.int64()))], names=["chunk", "counts"])
-
-    result = np.zeros(BUCKETS, dtype=np.int64)
-    for row in parts.groupBy("chunk").applyInArrow(add_table, schema).toArrow().to_pylist():  # BUCKETS numbers at most
-        result[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = row["counts"]
+        for k in range(BUCKETS // CHUNK if seen else 0):
+            own = total[k * CHUNK : (k + 1) * CHUNK]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k], pa.int32()), pa.array([(own.astype(np.uint8) if own.max() < 256 else own).tobytes()], pa.binary())], names=["chunk", "counts"])
+
+    def add(key, table):
+        total = np.zeros(CHUNK, dtype=np.float64)
+        for value in table.column("counts"):
+            raw = value.as_buffer()
+            total += np.frombuffer(raw, dtype=np.uint8 if raw.size == CHUNK else np.uint32)
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([np.rint(1024 * np.log2(1 + total)).astype("<u2").tobytes()], pa.binary())], names=["chunk", "counts"])
+
+    schema = "chunk int, counts binary"
+    sums = map_batches(docs.select("text"), count, schema).groupBy("chunk").applyInArrow(add, schema)
+    result = np.zeros(BUCKETS, dtype=np.uint16)
+    for chunk, counts in sums.collect():
+        result[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(counts, dtype="<u2")
     return result
 
 
@@ -117,7 +120,7 @@ def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
             two.append(b)
             if len(s):
                 keep = len(s) - _least(percent, len(s)) + 1
-                prefixes.append(s[np.lexsort((s, weight[(s >> U8(44)).astype(np.int64)]))[:keep]])
+                prefixes.append(s[np.lexsort((s, weight[(s >> _SHIFT).astype(np.int64)]))[:keep]])
             else:
                 prefixes.append(s)
         return [
@@ -128,22 +131,6 @@ def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
     return annotate(docs.select("doc_id", "text"), ["doc_id"], fields, make)
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, n, tokens) of the wanted classes (node, doc_id, one, two), computed again from one text of each."""
-
-    def make(part: Slice) -> list[pa.Array]:
-        found = shingle_sets(part, n)
-        marks = [_signature(s) for s in found]
-        return [
-            pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
-            lists(np.array([len(s) for s in found]), pa.array(as_signed(np.concatenate(found)), pa.int64()))]
-
-    few = id_filter(docs.select("text", "doc_id"), wanted.select("doc_id"), "doc_id")
-    made = annotate(few, ["doc_id"], T.StructType.fromDDL("one long, two long, tokens array<long>"), make)
-    # The copies of a repeated row are already together after the join.
-    return made.join(wanted, ["one", "two", "doc_id"]).dropDuplicates(["one", "two", "doc_id"]).select("node", "tokens")
-
-
 def _links(percent: int):
     """Links inside groups: rows (g, node, asks, tokens) sorted by g; every row with asks is held against the others."""
 
@@ -185,6 +172,7 @@ def _links(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        before = (None, None)
 
         def ready(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(parts).combine_chunks()
@@ -194,9 +182,16 @@ def _links(percent: int):
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            g = batch.column(0).to_numpy()
-            if not len(g):
+            if not batch.num_rows:
+                continue
+            g, node = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            # A repeated row gives the same class again.
+            new = np.append(before != (g[0], node[0]), (g[1:] != g[:-1]) | (node[1:] != node[:-1]))
+            before = (g[-1], node[-1])
+            batch = batch.filter(pa.array(new))
+            if not batch.num_rows:
                 continue
+            g = g[new]
             last = int(np.searchsorted(g, g[-1]))  # the last group may go on in the next batch
             if last:
                 yield from ready([*held, batch.slice(0, last)])
@@ -212,10 +207,25 @@ def _links(percent: int):
     return run
 
 
-def open_groups(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Verified links (a, b) inside groups: rows are (g, node, asks), groups of bounded size."""
-    full = rows.join(sets, "node").select("g", "node", F.col("asks").cast("int").alias("asks"), "tokens")
-    return full.repartition("g").sortWithinPartitions("g").mapInArrow(_links(percent), "a long, b long")
+def open_groups(docs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """Verified links (a, b) inside groups: rows are (g, node, asks), groups of bounded size.
+
+    Whole sets are computed again from one text of each class; other texts are not shuffled."""
+
+    def make(part: Slice) -> list[pa.Array]:
+        found = shingle_sets(part, n)
+        marks = [_signature(s) for s in found]
+        return [
+            pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64()),
+            lists(np.array([len(s) for s in found]), pa.array(as_signed(np.concatenate(found)), pa.int64()))]
+
+    wanted = cut(rows.join(classes.select("node", "doc_id", "one", "two"), "node").select("g", "node", F.col("asks").cast("int").alias("asks"), "doc_id", "one", "two"), "wanted")
+    if wanted.isEmpty():
+        return wanted.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    few = id_filter(docs.select("text", "doc_id"), wanted.select("doc_id"), "doc_id")
+    made = annotate(few, ["doc_id"], T.StructType.fromDDL("one long, two long, tokens array<long>"), make)
+    full = made.join(wanted, ["one", "two", "doc_id"]).select("g", "node", "asks", "tokens")
+    return map_batches(full.repartition("g").sortWithinPartitions("g", "node"), _links(percent), "a long, b long")
 
 
 def _parts(rows: DataFrame, key: str, salt: int) -> DataFrame:
@@ -238,47 +248,48 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     classes = sets.where("n > 0").groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"))
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    tokens = classes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("_c"), F.min(F.struct("node", "n")).alias("hub")).where("_c > 1")
-    shared = shared.select(F.struct("token").alias("_k"), F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"))
-    blocks = cut(tokens.withColumn("_k", F.struct("token")).join(shared, "_k").drop("_k"), "blocks")
-
-    fits = (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
-    home = blocks.where(fits).groupBy("node", "n", "hub").agg(F.count("*").alias("c"))
-    home = home.groupBy("node", "n").agg(F.max(F.struct("c", -F.col("hub"))).alias("best")).select("node", "n", (-F.col("best.col2")).alias("home"))
+    tokens = classes.select("node", "n", F.posexplode("prefix").alias("pos", "token")).select(F.struct("token").alias("_k"), "node", "n", "pos")
+    shared = tokens.groupBy("_k.token").agg(F.count("*").alias("_c")).where("_c > 1").select(F.struct("token").alias("_k"))
+    blocks = cut(tokens.join(shared, "_k", "left_semi").select("_k.token", "node", "n", "pos"), "blocks")
+
+    # Each class goes to the class that shares most with it among the first ones of its tokens.
+    hubs = blocks.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("h"))
+    hubs = hubs.select(F.struct("token").alias("_k"), F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.pos").alias("hub_pos"))
+    reach = F.least(F.col("n") - F.col("pos"), F.col("hub_n") - F.col("hub_pos"))
+    fits = (reach * (100 + percent) >= percent * (F.col("n") + F.col("hub_n"))) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+    home = blocks.withColumn("_k", F.struct("token")).join(hubs, "_k").where(fits).groupBy("node", "n", "hub").agg(F.count("*").alias("c"))
+    home = home.groupBy("node", "n").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("best")).select("node", "n", (-F.col("best.h")).alias("home"))
     home = cut(_parts(home, "home", 1).where("of > 1"), "homes")
+    inside = cut(open_groups(docs, classes, home.select(F.xxhash64("home", "part").alias("g"), "node", F.lit(1).alias("asks")), n, percent), "inside")
 
-    wanted = classes.join(blocks.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "one", "two")
-    full = cut(whole_sets(docs, wanted, n), "whole")
-    inside = cut(open_groups(home.select(F.xxhash64("home", "part").alias("g"), "node", F.lit(1).alias("asks")), full, percent), "inside")
-
+    # Groups of several parts: one class of each component so far, together once more.
     split = _with_component(home.where("parts > 1").select("node", "n", "home"), inside)
     leaders = split.groupBy("home", "component").agg(F.min(F.struct("node", "n")).alias("x")).select("home", F.col("x.node").alias("node"), F.col("x.n").alias("n"))
-    leaders = _parts(leaders, "home", 2)
-    between = open_groups(leaders.select(F.xxhash64("home", "part", F.lit(2)).alias("g"), "node", F.lit(1).alias("asks")), full, percent)
-    links = cut(inside.union(between), "links")
+    leaders = _parts(leaders, "home", 2).where("of > 1").select(F.xxhash64("home", "part", F.lit(2)).alias("g"), "node", F.lit(1).alias("asks"))
+    links = cut(inside.union(open_groups(docs, classes, leaders, n, percent)), "links")
 
+    # The matrix: what is connected makes groups, each with its union of tokens.
     nodes = blocks.select("node", "n").distinct()
     grouped = _parts(_with_component(nodes, links), "component", 3).withColumn("group", F.xxhash64("component", "part"))
-    grouped = cut(grouped.select("node", "n", "component", F.col("of").alias("members"), "group"), "grouped")
-    placed = blocks.select("token", "node", "pos").join(grouped, "node")
-    mixed = placed.groupBy("token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select(F.struct("token").alias("_k"))
-    placed = cut(placed.withColumn("_k", F.struct("token")).join(mixed, "_k", "left_semi").drop("_k"), "placed")
-    matrix = placed.groupBy("token", "group", "component", "members").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    matrix = matrix.select(F.struct("token").alias("_k"), F.col("group").alias("g"), F.col("component").alias("of"), F.col("members").alias("size"), "lo", "hi")
-    smallest = F.greatest("lo", F.ceil(F.col("n") * percent / 100))
+    grouped = cut(grouped.select("node", "component", F.col("of").alias("members"), "group"), "grouped")
+    placed = cut(blocks.join(grouped, "node").withColumn("_k", F.struct("token")).drop("token"), "placed")
+    mixed = placed.groupBy("_k.token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select(F.struct("token").alias("_k"))
+    placed = placed.join(mixed, "_k", "left_semi")
+    matrix = placed.groupBy("_k.token", F.col("group").alias("g"), F.col("component").alias("of"), F.col("members").alias("size")).agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("reach"))
+    matrix = matrix.withColumn("_k", F.struct("token")).drop("token")
+    need = percent * (F.col("n") + F.greatest("lo", F.ceil(F.col("n") * percent / 100)))
     meets = (
         (F.struct("members", "component") < F.struct("size", "of"))
         & (F.col("hi") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("lo") * percent)
-        & ((F.col("n") - F.col("pos")) * (100 + percent) >= percent * (F.col("n") + smallest)))
-    asked = placed.withColumn("_k", F.struct("token")).join(matrix, "_k").where(meets).select("node", "n", "g").distinct()
-    asked = cut(asked, "asked")
+        & ((F.col("n") - F.col("pos")) * (100 + percent) >= need) & (F.col("reach") * (100 + percent) >= need))
+    asked = cut(placed.join(matrix, "_k").where(meets).select("node", "n", "g").distinct(), "asked")
     # Each opened group is held against its queries in parts of bounded size; its members go to every part.
     dealt = _parts(asked.withColumnRenamed("g", "key"), "key", 4)
     members = dealt.select(F.col("key").alias("group"), "part").distinct().join(grouped.select("node", "group"), "group")
     rows = dealt.select(F.xxhash64("key", "part").alias("g"), "node", F.lit(1).alias("asks")).union(
         members.select(F.xxhash64("group", "part").alias("g"), "node", F.lit(0).alias("asks")))
-    links = cut(links.union(open_groups(rows, full, percent)), "links")
+    links = cut(links.union(open_groups(docs, classes, rows, n, percent)), "links")
 
     found = components(links)
     named = classes.select("node", "one", "two", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

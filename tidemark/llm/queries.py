@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.llm import language_id, secrets
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.order_minhash import order_minhash
 from tidemark.llm.packing import pack
 from tidemark.llm.substring_dedup import dedup_substrings
 from tidemark.llm.token_files import read_token_files, write_token_files
-from tidemark.llm.url_filter import judge
+from tidemark.llm.url_filter import judge, seed_urls
 from tidemark.session import shared_folder
 
 
@@ -38,6 +39,15 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_labelled", "n_switches")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_licenses, names (distinct, sorted, comma-joined), spans (license:start:end) and the least coverage."""
+    found = scan_licenses(table(spark, sf_dir, "documents"), ["doc_id"])
+    spans = F.transform("licenses", lambda s: F.concat_ws(":", s["license"], s["start"].cast("string"), s["end"].cast("string")))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_licenses"), F.array_join(F.array_sort(F.array_distinct("licenses.license")), ",").alias("names"),
+        F.array_join(spans, ",").alias("spans"), F.array_min("licenses.coverage").alias("least_coverage"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -74,7 +84,7 @@ URL_RULES = [
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judge(table(spark, sf_dir, "pages"), URL_RULES, seed_urls(spark))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +98,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_license_scan": op2_license_scan,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_order_minhash": op4_order_minhash,
     "op5_best_fit_packing": op5_best_fit_packing,

@@ -1,8 +1,9 @@
 """URL filters: rules on host and path, and logistic regression on hashed character n-grams for what no rule fits.
 
-All of a url's work is in DataFrame functions. The model is trained on the driver from a small labelled url table of at
-most about `SAMPLE_URLS` rows a verdict: urls that a rule decides, chosen by a hash of the url. Weights are one literal array, so
-scoring neither joins nor shuffles.
+All of a url's work is in DataFrame functions. The model is trained on the driver from a small labelled url table, of
+which at most about `SAMPLE_URLS` rows a verdict (chosen by a hash of the url) are taken. Weights are one literal array,
+so scoring neither joins nor shuffles. `seed_urls` makes a table to start from: names of unwanted and of ordinary
+sites in a few shapes of address, the same shapes for both, so that only the names tell them apart.
 
 Defined results: a null url, or one without `://`, has an empty host and path, so no rule fits and the model's intercept
 decides; where nothing is labelled, or with one verdict only, the verdict is that one (allow if none); a score of
@@ -15,12 +16,23 @@ from __future__ import annotations
 import json
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SAMPLE_URLS = 1500
 BUCKETS, GRAMS = 1 << 12, (3, 4)
 ROUNDS, RATE, DECAY = 200, 0.5, 1e-3
 
+# Fixed values of the seed table: names of unwanted and ordinary sites, and shapes of addresses.
+UNWANTED = [
+    "casino", "poker-win", "free-bets", "slots", "jackpot", "cheap-pills", "pharmacy-online", "adult", "xxx-cams", "escort",
+    "spam-farm", "link-farm", "ads-track", "adserver", "click-track", "popup-ads", "malware", "phishing", "warez", "crack-keys"]
+ORDINARY = [
+    "news", "weather", "wiki", "docs", "library", "museum", "school", "university", "science", "history", "garden", "recipes", "travel",
+    "cycling", "football", "music", "theatre", "health", "hospital", "council", "forum", "research", "software", "photography", "railway",
+    "astronomy", "chemistry", "journal", "letters", "market", "dictionary", "therein", "stationery", "something", "another", "nothing", "withstand",
+    "heron", "merchant", "thousand"]
+SHAPES = ["https://www.{}.example.com/en/1201", "http://{}.example.net/de/77.html", "https://blog.{}.example.org/fr/5"]
+
 
 def parts(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path."""
@@ -39,6 +51,12 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return name, verdict
 
 
+def seed_urls(spark: SparkSession) -> DataFrame:
+    """(url, verdict) of the seed table."""
+    rows = [(shape.format(name), verdict) for verdict, names in (("block", UNWANTED), ("allow", ORDINARY)) for name in names for shape in SHAPES]
+    return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{url}', '{verdict}')" for url, verdict in rows) + " AS t(url, verdict)")
+
+
 def _gram_bucket(salt: int, value: Column, n: int):
     return lambda i: F.pmod(F.xxhash64(F.lit(salt), F.substring(value, i, F.lit(n))), F.lit(BUCKETS)).cast("int")
 
@@ -56,7 +74,7 @@ def buckets(host: Column, path: Column) -> Column:
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE_URLS) -> tuple[np.ndarray, float]:
-    """Weights and intercept from rows (url, buckets, verdict), a bounded number of each verdict."""
+    """Weights and intercept from rows (url, buckets, verdict), of each verdict a bounded number."""
     counts = {r["verdict"]: r["n"] for r in labelled.groupBy("verdict").agg(F.count("*").alias("n")).collect()}  # two rows
     weights, intercept = np.zeros(BUCKETS), 0.0
     if len(counts) < 2:
@@ -84,16 +102,19 @@ def train(labelled: DataFrame, sample: int = SAMPLE_URLS) -> tuple[np.ndarray, f
     return weights, float(intercept)
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """page_id, host, path, rule, verdict and score (the model's probability of allow) of every row of `pages`."""
-    host, path = parts(F.col("url"))
-    split = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], labelled: DataFrame) -> DataFrame:
+    """page_id, host, path, rule, verdict and score (the model's probability of allow) of every row of `pages`.
+    labelled: (url, verdict) with verdict allow or block; other rows are left out."""
+
+    def split(rows: DataFrame, *columns: str) -> DataFrame:
+        host, path = parts(F.col("url"))
+        return rows.select(*columns, "url", host.alias("host"), path.alias("path")).withColumn("buckets", buckets(F.col("host"), F.col("path")))
+
+    weights, intercept = train(split(labelled.where("verdict in ('allow', 'block')"), "verdict"))
     name, decided = rule_of(F.col("host"), F.col("path"), rules)
-    ruled = split.select("page_id", "url", "host", "path", name.alias("rule"), decided.alias("decided"), buckets(F.col("host"), F.col("path")).alias("buckets"))
-    weights, intercept = train(ruled.where("decided is not null").select("url", "buckets", F.col("decided").alias("verdict")))
     table = F.from_json(F.lit(json.dumps([round(float(w), 9) for w in weights])), "array<double>")
     total = F.aggregate("buckets", F.lit(0.0), lambda held, b: held + F.get(table, b))
     score = 1 / (1 + F.exp(-(total / F.greatest(F.size("buckets"), F.lit(1)) + F.lit(intercept))))
-    judged = ruled.withColumn("score", score)
+    judged = split(pages, "page_id").select("page_id", "host", "path", name.alias("rule"), decided.alias("decided"), score.alias("score"))
     verdict = F.coalesce("decided", F.when(F.col("score") >= 0.5, "allow").otherwise("block"))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
