@@ -118,10 +118,9 @@ class Model:
         for _ in range(rounds):
             gamma, expected = marginals(self.emissions(feature, edges)[row], first, self.transition, self.start, pairs=True)
             wrong = hot - gamma
-            by_row = np.stack([np.bincount(row, wrong[:, k], minlength=len(lengths)) for k in range(labels)], axis=1)
-            spread = np.repeat(by_row, lengths, axis=0)
+            spread = (np.repeat(np.bincount(row, wrong[:, k], minlength=len(lengths)), lengths) for k in range(labels))
             grads = [
-                np.stack([np.bincount(feature, spread[:, k], minlength=len(self.weights)) for k in range(labels)], axis=1) / scale - decay / scale * self.weights,
+                np.stack([np.bincount(feature, x, minlength=len(self.weights)) for x in spread], axis=1) / scale - decay / scale * self.weights,
                 (seen - expected) / scale, wrong[begins].sum(axis=0) / scale]
             for value, grad, total in zip((self.weights, self.transition, self.start), grads, square):
                 total += grad * grad

@@ -12,7 +12,8 @@ the whole corpus in 2^22 buckets, which is only an order and may be coarse. Then
 4. What is connected becomes the groups of the matrix, again of bounded size: each group's union of prefix tokens is
    stored as rows (token, group, smallest and largest set). A query (class) meets groups of other components on its
    tokens. With p the place of the first token that it shares with the group's union, no member can share more than
-   n - p tokens with it; the group is opened only if that can reach what the smallest fitting member needs.
+   n - p tokens with it; the group is opened only if that can reach what the smallest fitting member needs. Where the
+   group is one class, both sides' counts of tokens by hash bucket (about eight a bucket) bound the overlap once more.
 5. Opened groups are verified against the whole sets, in parts of bounded size. Components of all links are the result.
 
 Links inside a component are not looked for again, so a group of near copies never gives all its pairs.
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.graph import components
 from tidemark.llm.texts import (
-    ASCII_LOWER, PLAIN_WORD, U8, Slice, annotate, as_signed, gram_hashes, id_filter, lists, map_batches, mix, ranges, run_hashes, slices, words)
+    ASCII_LOWER, PLAIN_WORD, U8, Slice, annotate, as_signed, gram_hashes, lists, map_batches, mix, ranges, run_hashes, slices, words)
 from tidemark.session import cut
 
 BUCKET_BITS = 22
@@ -42,6 +43,8 @@ CHUNK = 1 << 14
 _SHIFT = U8(64 - BUCKET_BITS)
 #: Bounds of what one opened group holds: tokens and classes.
 GROUP_TOKENS, GROUP_CLASSES = 200_000, 512
+#: Tokens of whole groups that are solved at once.
+SOLVED_TOKENS = 500_000
 
 
 def shingle_sets(part: Slice, n: int) -> list[np.ndarray]:
@@ -102,20 +105,51 @@ def bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
     return result
 
 
+def histogram(s: np.ndarray) -> bytes:
+    """How many tokens fall into each of 64 or more buckets (by their first bits), about eight in one; 255 is 255 or more."""
+    bits = max(6, min(16, (len(s) // 8).bit_length() - 1 if len(s) >= 8 else 0))
+    return np.minimum(np.bincount((s >> U8(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """No two sets with these histograms share more tokens than this."""
+    x, y = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (a, b))
+    x, y = (np.where(v == 255, 1 << 40, v) for v in (x, y))
+    size = min(len(x), len(y))
+    return int(np.minimum(x.reshape(size, -1).sum(axis=1), y.reshape(size, -1).sum(axis=1)).sum())
+
+
+def may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Rows (node, other, ...) whose histograms allow the similarity."""
+    own = classes.select("node", F.col("n").alias("_n"), F.col("hist").alias("_h"))
+    theirs = classes.select(F.col("node").alias("other"), F.col("n").alias("_n2"), F.col("hist").alias("_h2"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, n, b, m = (batch.column(k) for k in range(4))
+            need = percent * (n.to_numpy() + m.to_numpy())
+            good = [(100 + percent) * overlap_bound(a[i].as_py(), b[i].as_py()) >= need[i] for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays(batch.filter(pa.array(good, pa.bool_())).columns[4:], names=batch.schema.names[4:])
+
+    both = pairs.join(own, "node").join(theirs, "other").select("_h", "_n", "_h2", "_n2", *pairs.columns)
+    return map_batches(both, keep, pairs.schema)
+
+
 def _least(percent: int, n: np.ndarray) -> np.ndarray:
     """ceil(percent * n / 100)."""
     return -(-n * percent // 100)
 
 
 def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
-    """doc_id, size and signature of the set, and its prefix in the common order."""
+    """doc_id, size, signature and histogram of the set, and its prefix in the common order."""
 
     def make(part: Slice) -> list[pa.Array]:
         weight = counts.value
-        sizes, one, two, prefixes = [], [], [], []
+        sizes, one, two, prefixes, hists = [], [], [], [], []
         for s in shingle_sets(part, n):
             a, b = _signature(s)
             sizes.append(len(s))
+            hists.append(histogram(s))
             one.append(a)
             two.append(b)
             if len(s):
@@ -125,9 +159,9 @@ def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
                 prefixes.append(s)
         return [
             pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-            lists(np.array([len(p) for p in prefixes]), pa.array(as_signed(np.concatenate(prefixes)), pa.int64()))]
+            pa.array(hists, pa.binary()), lists(np.array([len(p) for p in prefixes]), pa.array(as_signed(np.concatenate(prefixes)), pa.int64()))]
 
-    fields = T.StructType.fromDDL("n long, one long, two long, prefix array<long>")
+    fields = T.StructType.fromDDL("n long, one long, two long, hist binary, prefix array<long>")
     return annotate(docs.select("doc_id", "text"), ["doc_id"], fields, make)
 
 
@@ -178,8 +212,17 @@ def _links(percent: int):
             table = pa.Table.from_batches(parts).combine_chunks()
             if not table.num_rows:
                 return
-            found = solve(*[table.column(c).to_numpy() for c in ("g", "node", "asks")], table.column("tokens").chunk(0))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+            g, node, asks = (table.column(c).to_numpy() for c in ("g", "node", "asks"))
+            tokens = table.column("tokens").chunk(0)
+            off = tokens.offsets.to_numpy()
+            begin = np.append(np.flatnonzero(np.append(True, g[1:] != g[:-1])), len(g))
+            at = 0
+            while at < len(begin) - 1:
+                stop = max(at + 1, int(np.searchsorted(off[begin], off[begin[at]] + SOLVED_TOKENS, "right")) - 1)
+                lo, hi = begin[at], begin[stop]
+                found = solve(g[lo:hi], node[lo:hi], asks[lo:hi], tokens.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+                at = stop
 
         for batch in batches:
             if not batch.num_rows:
@@ -222,8 +265,7 @@ def open_groups(docs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, pe
     wanted = cut(rows.join(classes.select("node", "doc_id", "one", "two"), "node").select("g", "node", F.col("asks").cast("int").alias("asks"), "doc_id", "one", "two"), "wanted")
     if wanted.isEmpty():
         return wanted.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    few = id_filter(docs.select("text", "doc_id"), wanted.select("doc_id"), "doc_id")
-    made = annotate(few, ["doc_id"], T.StructType.fromDDL("one long, two long, tokens array<long>"), make)
+    made = annotate(docs, ["doc_id"], T.StructType.fromDDL("one long, two long, tokens array<long>"), make, among=wanted.select("doc_id"))
     full = made.join(wanted, ["one", "two", "doc_id"]).select("g", "node", "asks", "tokens")
     return map_batches(full.repartition("g").sortWithinPartitions("g", "node"), _links(percent), "a long, b long")
 
@@ -245,7 +287,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     sc = docs.sparkSession.sparkContext
     counts = sc.broadcast(bucket_counts(docs, n))
     sets = cut(set_table(docs, counts, n, percent), "sets")
-    classes = sets.where("n > 0").groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix"))
+    classes = sets.where("n > 0").groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc_id"), F.first("hist").alias("hist"), F.first("prefix").alias("prefix"))
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     tokens = classes.select("node", "n", F.posexplode("prefix").alias("pos", "token")).select(F.struct("token").alias("_k"), "node", "n", "pos")
@@ -259,7 +301,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     fits = (reach * (100 + percent) >= percent * (F.col("n") + F.col("hub_n"))) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
     home = blocks.withColumn("_k", F.struct("token")).join(hubs, "_k").where(fits).groupBy("node", "n", "hub").agg(F.count("*").alias("c"))
     home = home.groupBy("node", "n").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("best")).select("node", "n", (-F.col("best.h")).alias("home"))
-    home = cut(_parts(home, "home", 1).where("of > 1"), "homes")
+    apart = may_link(home.where("node <> home").withColumnRenamed("home", "other"), classes, percent).select("node", "n", F.col("other").alias("home"))
+    home = cut(_parts(home.where("node = home").union(apart), "home", 1).where("of > 1"), "homes")
     inside = cut(open_groups(docs, classes, home.select(F.xxhash64("home", "part").alias("g"), "node", F.lit(1).alias("asks")), n, percent), "inside")
 
     # Groups of several parts: one class of each component so far, together once more.
@@ -283,7 +326,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
         (F.struct("members", "component") < F.struct("size", "of"))
         & (F.col("hi") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("lo") * percent)
         & ((F.col("n") - F.col("pos")) * (100 + percent) >= need) & (F.col("reach") * (100 + percent) >= need))
-    asked = cut(placed.join(matrix, "_k").where(meets).select("node", "n", "g").distinct(), "asked")
+    asked = cut(placed.join(matrix, "_k").where(meets).select("node", "n", "g", F.col("of").alias("other"), "size").distinct(), "asked")
+    # A group of one class is a component of one, and so named by it.
+    asked = cut(may_link(asked.where("size = 1"), classes, percent).union(asked.where("size > 1")).select("node", "n", "g"), "opened")
     # Each opened group is held against its queries in parts of bounded size; its members go to every part.
     dealt = _parts(asked.withColumnRenamed("g", "key"), "key", 4)
     members = dealt.select(F.col("key").alias("group"), "part").distinct().join(grouped.select("node", "group"), "group")

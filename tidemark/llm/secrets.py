@@ -36,10 +36,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
-SAMPLE_DOCS, NEAR, FAR, RUN_TOKENS = 4000, 4, 2, 64
+SAMPLE_DOCS, NEAR, FAR, RUN_TOKENS = 2000, 4, 1, 48
 BUCKET_BITS = 16
 OUT, BEGIN, IN = 0, 1, 2
-FEATURES = 11
+FEATURES, EXACT = 13, [0, 1, 2, 7, 8, 10]
 
 _TOKEN = byte_class([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF), (0x2B, 0x2B), (0x2D, 0x2F), (0x5F, 0x5F)])
 _HEX = byte_class([(0x30, 0x39), (0x61, 0x66)])
@@ -117,12 +117,15 @@ def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarr
     after[begins[begins > 0] - 1] = none
     padded = np.concatenate([np.full(2, 10, np.uint8), data, np.full(10, 10, np.uint8)])
     left = padded[starts + 1].astype(np.int64) * 256 + padded[starts]
-    right = padded[ends + 2].astype(np.int64)
+    last_sign = padded[starts + 1].astype(np.int64)
     eight = np.ndarray((len(data) + 2,), dtype="<u8", buffer=padded, strides=(1,))
     head = eight[starts + 2] & (U8(1) << (U8(8) * np.minimum(n, 4).astype(U8))) - U8(1)
     tail = eight[np.maximum(ends - 2, starts) + 2] & U8(0xFFFF)
     s = shape.astype(U8)
-    columns = [s, s * U8(16) + turns.astype(U8), lower, before, after, left, right * 65536 + left, head, tail * U8(8) + np.minimum(n, 7).astype(U8), mix(before ^ s), files[own].astype(U8) * U8(1 << 20) + s]
+    # Coarser than the shape, for lengths and mixtures that the sample lacks.
+    mixture = ((shape[:, None] >> np.array([8, 6, 4])) % 4 > 0) @ np.array([1, 2, 4]) * 4 + np.minimum(turns // 2, 3)
+    coarse = mixture * 8 + np.digitize(n, [4, 8, 12, 16, 32])
+    columns = [s, s * U8(16) + turns.astype(U8), lower, before, after, left, last_sign, head, tail * U8(8) + np.minimum(n, 7).astype(U8), mix(before ^ coarse.astype(U8)), files[own].astype(U8) * U8(1 << 20) + s, mixture, coarse]
     out = np.empty((len(starts), FEATURES), dtype=np.int64)
     for k, column in enumerate(columns):
         out[:, k] = _bucket(np.asarray(column).astype(U8), k + 1)
@@ -193,8 +196,12 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30) -> Mo
     gold = _gold(part, starts, ends, first)
     if not gold.any():
         return None
+    # Once more without what tells single tokens apart, so that contexts and coarse shapes carry weight of their own.
+    blunt = feature.copy()
+    blunt[:, EXACT] = 0
+    feature, gold, first = np.concatenate([feature, blunt]), np.tile(gold, 2), np.concatenate([first, first[1:] + first[-1]])
     model = Model(1 << BUCKET_BITS, 3)
-    model.fit(feature.reshape(-1), np.arange(len(starts) + 1) * FEATURES, np.arange(len(starts)), first, gold, rounds)
+    model.fit(feature.reshape(-1), np.arange(len(gold) + 1) * FEATURES, np.arange(len(gold)), first, gold, rounds)
     model.transition[OUT, IN] = model.start[IN] = -30.0  # inside follows begin or inside only
     return model
 

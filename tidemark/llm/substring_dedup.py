@@ -144,7 +144,7 @@ def _remove(window: int):
 
 def _texts_of(docs: DataFrame, alive: DataFrame) -> DataFrame:
     """(text, doc_id, sha, anchors) of the documents in `alive`; other texts are not shuffled."""
-    few = id_filter(docs.select("text", "doc_id"), alive.select("doc_id"), "doc_id")
+    few = id_filter(docs.select("text", "doc_id"), alive.select("doc_id"))
     return few.join(alive, "doc_id").select("text", "doc_id", "sha", "anchors")
 
 

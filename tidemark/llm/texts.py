@@ -14,10 +14,10 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 U8 = np.uint64
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U8)
@@ -167,51 +167,71 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def annotate(docs: DataFrame, keep: list[str], fields: T.StructType, fn: Callable[[Slice], list[pa.Array]], text: str = "text") -> DataFrame:
+def annotate(docs: DataFrame, keep: list[str], fields: T.StructType, fn: Callable[[Slice], list[pa.Array]], text: str = "text",
+             among: DataFrame | None = None) -> DataFrame:
     """The columns `keep` of `docs`, row by row, and the columns `fields` that `fn` makes of each slice of texts.
 
-    Rows are not shuffled. `fields` must have names of their own (see `fresh`).
-    """
+    Rows are not shuffled. `fields` must have names of their own (see `fresh`). among: a frame of one id column; only rows
+    whose value of that column may be in it are looked at (see `id_marks`; a join must decide)."""
     schema = T.StructType([docs.schema[c] for c in keep] + list(fields))
     arrow = to_arrow_schema(schema)
     made = list(arrow)[len(keep) :]
+    marks = id_marks(among) if among is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(0)
-            for part in slices(column):
+            if marks is not None:
+                batch = marks.marked(batch)
+            for part in slices(batch.column(0)):
                 new = fn(part)
                 new = [a if a.type == f.type else a.cast(f.type) for a, f in zip(new, made, strict=True)]
-                old = [c.slice(part.lo, len(part)) for c in batch.columns[1:]]
+                old = [c.slice(part.lo, len(part)) for c in batch.columns[1 : len(keep) + 1]]
                 yield pa.RecordBatch.from_arrays(old + new, names=arrow.names)
 
-    return map_batches(docs.select(docs[text].alias("_text"), *[docs[c] for c in keep]), run, schema)
+    columns = [docs[text].alias("_text"), *[docs[c] for c in keep]]
+    return map_batches(docs.select(*columns, *([marks.place(docs[among.columns[0]])] if marks else [])), run, schema)
 
 
-#: Bits of the filter of `id_filter` (1 MB, whatever the input).
+#: Bits of the filter of `id_marks` (1 MB, whatever the input).
 FILTER_BITS = 1 << 23
 
 
-def id_filter(rows: DataFrame, wanted: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
-    """The rows whose `key` may be among those of `wanted`, and none that is left out wrongly.
+class Marks:
+    """A filter of ids of fixed size: what is not marked is not among the ids; what is may be."""
 
-    A filter of fixed size goes to the executors, so that rows without a partner are not shuffled by the join that
-    follows. With very many keys it lets everything through, and the join alone decides.
-    """
-    at = F.pmod(F.xxhash64(key), F.lit(bits))
-    held = np.zeros(bits // 64, dtype=np.int64)
-    marks = wanted.select(at.alias("bit")).groupBy(F.expr("cast(bit div 64 as int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-    for word, value in marks.collect():  # bits / 64 rows at most
+    def __init__(self, sent):
+        self.sent = sent
+
+    @staticmethod
+    def place(key: Column | str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("_bit")
+
+    def marked(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The marked rows of a batch whose last column is the place."""
+        bit = batch.column(batch.num_columns - 1).to_numpy()
+        return batch.filter(pa.array(((self.sent.value[bit // 64] >> (bit % 64)) & 1).astype(bool)))
+
+
+def id_marks(ids: DataFrame) -> Marks:
+    """Marks of a frame's only column. With very many ids they let everything through, and the join that follows decides."""
+    held = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    places = ids.select(Marks.place(ids[ids.columns[0]]))
+    words = places.groupBy(F.expr("cast(_bit div 64 as int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("bits"))
+    for word, value in words.collect():  # FILTER_BITS / 64 rows at most
         held[word] = value
-    sent = rows.sparkSession.sparkContext.broadcast(held)
+    return Marks(ids.sparkSession.sparkContext.broadcast(held))
+
+
+def id_filter(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose value of the only column of `ids` may be among them, so that others are not shuffled by a join."""
+    marks = id_marks(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = batch.column(batch.num_columns - 1).to_numpy()
-            own = batch.filter(pa.array(((sent.value[bit // 64] >> (bit % 64)) & 1).astype(bool)))
+            own = marks.marked(batch)
             yield pa.RecordBatch.from_arrays(own.columns[:-1], names=own.schema.names[:-1])
 
-    return map_batches(rows.withColumn(fresh("_bit", rows.columns), at), run, rows.schema)
+    return map_batches(rows.select("*", Marks.place(ids.columns[0])), run, rows.schema)
 
 
 _shipped: set[str] = set()
