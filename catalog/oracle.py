@@ -224,11 +224,10 @@ def invalid_cte() -> str:
     ]
     kept = " UNION ALL ".join(f"SELECT '{s}' AS source, tenant_id, batch_file_id, line_no FROM a_{s}" for s in SOURCES)
     return f"""inv AS ({' UNION ALL '.join(selects)}), kept AS ({kept}),
-cur AS (SELECT * FROM inv WHERE EXISTS (SELECT 1 FROM kept k WHERE k.source = inv.source AND k.tenant_id = inv.tenant_id
-    AND k.batch_file_id = inv.batch_file_id AND k.line_no = inv.line_no)
-  OR EXISTS (SELECT 1 FROM inv k WHERE k.tenant_id = inv.tenant_id AND k.batch_file_id = inv.batch_file_id
-    AND k.line_no = inv.line_no AND (k.source, k.column_name) IN (('orders', 'order_id'), ('email_events', 'event_id'),
-    ('ad_spend', 'date'), ('ad_spend', 'campaign_id'), ('ad_spend', 'platform'), ('refunds', 'refund_id'))))"""
+live AS (SELECT source, tenant_id, batch_file_id, line_no FROM kept UNION
+  SELECT source, tenant_id, batch_file_id, line_no FROM inv WHERE source || '.' || column_name IN ('orders.order_id',
+    'email_events.event_id', 'ad_spend.date', 'ad_spend.campaign_id', 'ad_spend.platform', 'refunds.refund_id')),
+cur AS (SELECT inv.* FROM inv SEMI JOIN live USING (source, tenant_id, batch_file_id, line_no))"""
 
 
 QUALITY = _with(ALL, invalid_cte())

@@ -100,8 +100,9 @@ def check_marts(marts: list[str] | None) -> list[str]:
     return list(marts)
 
 
-AMOUNT = "decimal(18,6)"
-TOTAL = "decimal(28,6)"
+# Amounts keep up to 20 digits before and 18 after the point; totals are published with six digits after it.
+AMOUNT = "decimal(38,18)"
+TOTAL = "decimal(38,6)"
 
 REASON_TYPE = "struct<code:string,message:string,line:int>"
 REASONS_TYPE = f"array<{REASON_TYPE}>"

@@ -8,10 +8,8 @@ from tidemark.contract import AMOUNT, ISO_DATE, ISO_TIMESTAMP
 
 
 def try_numeric(text: Column) -> Column:
-    """A finite number that fits DECIMAL(18,6) without rounding, else NULL."""
-    wide = text.try_cast("decimal(38,18)")
-    narrow = wide.try_cast(AMOUNT)
-    return F.when(wide == narrow, narrow)
+    """A finite number as AMOUNT, else NULL; digits beyond the 18th after the point are rounded."""
+    return text.try_cast(AMOUNT)
 
 
 def try_timestamp_utc(text: Column) -> Column:

@@ -78,3 +78,14 @@ def adapted(columns: Column) -> Column:
 def reason_codes(reasons: Column) -> Column:
     """Distinct codes in order of first appearance."""
     return F.array_distinct(F.transform(F.coalesce(reasons, F.array().cast(REASONS_TYPE)), lambda r: r["code"]))
+
+
+def last_wins(pairs: Column) -> Column:
+    """A parsed JSON map in which a key written twice has its last value, as JSON readers have it."""
+    entries = F.map_entries(pairs)
+
+    def is_last(entry: Column, i: Column) -> Column:
+        return ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == entry["key"])
+
+    twice = F.size(F.array_distinct(F.map_keys(pairs))) < F.size(pairs)
+    return F.when(twice, F.map_from_entries(F.filter(entries, is_last))).otherwise(pairs)

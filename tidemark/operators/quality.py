@@ -53,14 +53,15 @@ def invalid_rows(lines: dict[str, DataFrame]) -> DataFrame:
 def current_invalid_rows(lines: dict[str, DataFrame]) -> DataFrame:
     """Invalid rows that still reach the marts: the line its key kept, or a line without a key.
 
-    The problems travel with the line through de-duplication. A line without a key is its own key, so
-    such lines neither compete nor collect in one place.
+    The problems travel with the line through de-duplication. A line without a key competes with none.
     """
     parts = []
     for source, df in lines.items():
-        alone = F.when(~F.col("_keyed"), F.concat_ws("/", "batch_file_id", "line_no"))
-        kept = latest(df.withColumn("_alone", alone), [*NATURAL_KEY[source], "_alone"])
-        parts.append(_listed(kept, source))
+        bad = df.filter("problems IS NOT NULL")
+        # Only lines that share their key with a bad one are ranked; bad lines are few.
+        keys = ["tenant_id", *NATURAL_KEY[source]]
+        rivals = df.filter("_keyed").join(bad.filter("_keyed").select(*keys).distinct(), keys, "left_semi")
+        parts += [_listed(latest(rivals, NATURAL_KEY[source]), source), _listed(bad.filter("NOT _keyed"), source)]
     return _union(parts)
 
 

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.contract import REASONS_TYPE, SOURCE_FORMAT
 from tidemark.functions.values import adapted, cap_reasons, reason
 from tidemark.operators.headers import header_rules, resolve_headers
 from tidemark.operators.replay import classify_replays, duplicate_reason, first_of_content
 from tidemark.plans.store import Store
-from tidemark.session import cut
+from tidemark.session import cut, listed
 from tidemark.sources import csv_files, ndjson_files
-from tidemark.sources.lines import MAX_FILE_BYTES, hash_files, list_files, number_lines, scan_lines
-from tidemark.sources.paths import inside, normal
+from tidemark.sources.lines import MISSING, hash_files, number_lines, scan_lines
+from tidemark.sources.paths import base_name, inside, normal
 from tidemark.sources.tenants import Control
 
 
@@ -111,13 +110,17 @@ def parse_files(spark: SparkSession, files: DataFrame, rules: DataFrame) -> Pars
 def _with_ids(files: DataFrame, store: Store) -> DataFrame:
     """Number this load's files upwards in (tenant, source, batch) order.
 
-    The high half is the time of the load, so a number is never used twice: raw rows of a crashed load
-    never come to belong to a later one.
+    The high half is claimed by this load alone, so a number is never used twice: raw rows of a crashed load
+    never come to belong to a later one. The low half is the place in the order, counted per partition.
     """
-    mark = max(int(time.time()), (store.max_id("ledger", "batch_file_id") >> 32) + 1)
-    ordered = files.orderBy("tenant_id", "source", "batch_no").withColumn("_at", F.monotonically_increasing_id())
-    low = F.shiftleft(F.shiftright("_at", 33), 20) + F.col("_at") % F.lit(1 << 33)
-    return ordered.withColumn("batch_file_id", F.lit(mark << 32) + low).drop("_at")
+    mark = store.claim(store.max_id("ledger", "batch_file_id") >> 32)
+    ordered = files.orderBy("tenant_id", "source", "batch_no").withColumn("_part", F.spark_partition_id())
+    ordered = cut(ordered, "ordered")
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))  # one row a partition
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside_part = F.row_number().over(Window.partitionBy("_part").orderBy("tenant_id", "source", "batch_no"))
+    numbered = ordered.withColumn("_row", inside_part).join(sizes.select("_part", before.alias("_before")), "_part")
+    return numbered.withColumn("batch_file_id", F.lit(mark << 32) + F.col("_before") + F.col("_row")).drop("_part", "_row", "_before")
 
 
 def load(
@@ -130,25 +133,25 @@ def load(
     """
     delivery_root = delivery_root or f"{root.rstrip('/')}/fixtures"
     entries = located(manifest, control, root, delivery_root)
-    outside = entries.filter("NOT is_inside").orderBy("tenant_id", "source", "batch_no").limit(10).collect()
+    outside = listed(entries.filter("NOT is_inside").select("tenant_id", "source", "batch_no", F.concat(
+        F.lit("Manifest entry "), F.col("tenant_id"), F.lit("/"), F.col("source"), F.lit("/batch "), F.col("batch_no"), F.lit(' path "'),
+        F.col("path"), F.lit('" is outside '), F.col("fixtures_dir")).alias("text")))
     if outside:
-        raise ValueError("; ".join(
-            f'Manifest entry {e.tenant_id}/{e.source}/batch {e.batch_no} path "{e.path}" is outside {e.fixtures_dir}'
-            for e in outside))
+        raise ValueError("; ".join(outside))
 
-    present = entries.join(list_files(spark, delivery_root), "file")
     columns = ["tenant_id", "source", "batch_no", "path"]
-    names = present.select("file", "bytes").collect()
-    too_large = [n.file for n in names if n.bytes > MAX_FILE_BYTES]
-    if too_large:
-        raise ValueError(f"files over {MAX_FILE_BYTES} bytes cannot be loaded: " + ", ".join(too_large[:10]))
-    if not names:
-        return entries.select(
-            *columns, F.lit("missing").alias("status"), F.lit(None).cast("bigint").alias("row_count"),
-            F.lit(None).cast(REASONS_TYPE).alias("reasons"), F.lit(None).cast("map<string,string>").alias("adapted"))
-    hashed = hash_files(spark, [n.file for n in names])
-    delivered = present.select(*columns, "file").join(hashed, "file", "left").withColumn(
-        "sha256", F.coalesce("sha256", F.sha2(F.lit(b""), 256)))  # a file without bytes has no scanned row
+    hidden = F.when(base_name(F.col("file")).rlike("^[._]"), F.lit("names that begin with . or _ are not read"))
+    found = cut(entries.join(hash_files(entries), "file").withColumn(
+        "error", F.when(F.coalesce("error", F.lit("")) == MISSING, F.col("error")).otherwise(F.coalesce("error", hidden))), "found")
+    # A file that cannot be read fails alone; later files of its tenant wait for the next load, other tenants carry on.
+    failed = found.filter(F.col("error") != MISSING).groupBy("tenant_id").agg(F.min(F.struct("source", "batch_no")).alias("first_failed"))
+    found = found.join(failed, "tenant_id", "left").withColumn("held_up", F.coalesce(F.struct("source", "batch_no") > F.col("first_failed"), F.lit(False)))
+    found = cut(found, "found")
+    delivered = found.filter("error IS NULL AND NOT held_up").select(*columns, "file", "sha256")
+    stopped = found.filter(f"held_up OR error <> '{MISSING}'").select(
+        *columns, F.when(F.col("held_up"), F.lit("blocked")).otherwise(F.lit("failed")).alias("status"),
+        F.when(~F.col("held_up"), F.array(reason("failed", F.col("error")))).cast(REASONS_TYPE).alias("reasons"))
+    gone = found.filter(f"error = '{MISSING}' AND NOT held_up").select(*columns, F.lit("missing").alias("status"))
     files = cut(_with_ids(classify_replays(delivered, store.read("ledger"), control.configured), store), "files")
 
     to_parse = files.filter("verdict = 'parse'").select("file", "tenant_id", "source", "batch_no", "sha256")
@@ -176,9 +179,7 @@ def load(
     store.append("ledger", final.filter("status <> 'skipped'").withColumn("loaded_at", F.current_timestamp()))
 
     done = final.select(*columns, "status", "row_count", "reasons", adapted(F.col("columns")).alias("adapted"))
-    missing = entries.join(final.select("tenant_id", "source", "batch_no"), ["tenant_id", "source", "batch_no"], "left_anti")
-    return done.unionByName(
-        missing.select(*columns, F.lit("missing").alias("status")), allowMissingColumns=True)
+    return done.unionByName(stopped, allowMissingColumns=True).unionByName(gone, allowMissingColumns=True)
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -41,7 +40,7 @@ def publish(spark: SparkSession, store: Store, manifest: DataFrame, marts: list[
     done = cut(publishing.classify(current, latest, windows, names), "classified")
     totals = publishing.summary(done)
 
-    run_id = max(int(time.time() * 1_000_000), store.max_id("run", "run_id") + 1)
+    run_id = store.claim(store.max_id("run", "run_id"))
     writing = cut(totals.filter("published > 0").select("tenant_id"), "writing")
     result = tenants.select("tenant_id").join(totals, "tenant_id", "left").select(
         "tenant_id", F.when(F.col("published") > 0, F.lit(run_id)).alias("run_id"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -30,6 +32,8 @@ class Store:
 
     def _write(self, table: str, df: DataFrame, mode: str) -> None:
         names = [f.name for f in self.spark.createDataFrame([], TABLES[table]).schema]
+        if PARTITIONS[table]:  # else every task would write a file into every folder
+            df = df.hint("rebalance", *PARTITIONS[table])
         writer = df.select(*names).write.mode(mode)
         if PARTITIONS[table]:
             writer = writer.partitionBy(*PARTITIONS[table])
@@ -58,3 +62,17 @@ class Store:
 
     def max_id(self, table: str, column: str) -> int:
         return self.read(table).agg(F.max(column)).first()[0] or 0
+
+    def claim(self, above: int) -> int:
+        """A number larger than `above` and the clock that no job has had, not even one that died.
+
+        Claims stay as folders, which can only be created once."""
+        number = max(int(time.time()), above + 1)
+        while True:
+            try:
+                self.spark.range(1).write.mode("errorifexists").parquet(f"{self.base}/claims/{number}")
+                return number
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                number += 1

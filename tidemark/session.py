@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -28,15 +30,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a throw-away one only where none is named."""
+    """The shared folder named by spark.checkpoint.dir. Intermediate tables go nowhere else."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder")
-    fallback = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if not named:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return named.rstrip("/")
+
+
+def listed(problems: DataFrame, shown: int = 100) -> list[str]:
+    """The column `text` of problem rows in order of the columns: the first ones, and how many more there are.
+
+    All of them are in the table that the last line names."""
+    table = cut(problems, "problems")
+    total = table.count()
+    lines = [r.text for r in table.orderBy(*table.columns).limit(shown).collect()]
+    return lines + ([f"and {total - shown} more, all in {table.inputFiles()[0].rsplit('/', 1)[0]}"] if total > shown else [])
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
@@ -67,3 +75,20 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
     arrow = to_arrow_schema(struct)
     table = pa.table([pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
     return spark.createDataFrame(table, schema=struct)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session's executors, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    held = Path(tempfile.mkdtemp()) / "tidemark-package.zip"  # Spark serves it to the executors from here
+    with zipfile.ZipFile(held, "w") as z:
+        for path in sorted((root / "tidemark").rglob("*.py")):
+            z.write(path, path.relative_to(root))
+    sc.addPyFile(str(held))
+    _shipped.add(sc.applicationId)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.contract import ISO_DATE, MANIFEST_SCHEMA, SOURCES
+from tidemark.session import listed
 
 
 def scan_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -40,8 +41,9 @@ def manifest_problems(entries: DataFrame) -> DataFrame:
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """A manifest that follows every rule; any violation refuses it as a whole."""
     entries = scan_manifest(spark, path)
-    problems = manifest_problems(entries).orderBy("position", "message").limit(100).collect()
+    problems = listed(manifest_problems(entries).select(
+        "position", F.concat(F.lit("batches."), F.col("position"), F.lit(": "), F.col("message")).alias("text")))
     if problems:
-        raise ValueError(f"Invalid manifest {path}:\n" + "\n".join(f"batches.{p.position}: {p.message}" for p in problems))
+        raise ValueError(f"Invalid manifest {path}:\n" + "\n".join(problems))
     return entries.select(
         "tenant_id", "source", F.col("batch_no").cast("int").alias("batch_no"), "path", "covers_from", "covers_to")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.contract import MAX_REASONS, REASON_TYPE
-from tidemark.functions.values import cap_reasons
+from tidemark.functions.values import cap_reasons, last_wins
 
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 # What a text trim removes.
@@ -83,4 +83,17 @@ def file_columns(resolved: DataFrame) -> DataFrame:
 def payloads(checked: DataFrame) -> DataFrame:
     """(file, line_no, payload): numbers and booleans as text, nested values as JSON text, last duplicate wins."""
     objects = checked.filter("keys IS NOT NULL")
-    return objects.select("file", "line_no", F.from_json("text", "map<string,string>", STRICT).alias("payload"))
+    plain = F.from_json("text", "map<string,string>", STRICT)
+    # Numbers with a point or an exponent have several spellings; they are read as values and written in one.
+    read = F.transform_values(F.from_json("text", "map<string,variant>", STRICT), lambda _, v: _value_text(v))
+    payload = F.when(F.col("text").rlike("[0-9][.eE]"), last_wins(read)).otherwise(last_wins(plain))
+    return objects.select("file", "line_no", payload.alias("payload"))
+
+
+def _value_text(value: Column) -> Column:
+    """A JSON value as text; a number in its shortest form (1.0 -> 1, 1e3 -> 1000, 1e-7 -> 1e-7)."""
+    number = F.try_variant_get(value, "$", "double")
+    short = F.regexp_replace(F.regexp_replace(number.cast("string"), r"(\.0)?E", "e"), "e([0-9])", "e+$1")
+    whole = (number == F.floor(number)) & (F.abs(number) < 1e21)
+    text = F.when(whole, number.try_cast("decimal(38,0)").cast("string")).otherwise(short)
+    return F.when(F.schema_of_variant(value) == "DOUBLE", text).otherwise(F.try_variant_get(value, "$", "string"))

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.contract import CLOSED_VALUES, CURRENCY, SOURCE_COLUMNS, SOURCES, TENANT_ID
-from tidemark.session import cut, small_frame
+from tidemark.functions.values import last_wins
+from tidemark.session import cut, listed, small_frame
 from tidemark.sources.paths import base_name
 
 SOURCE_TYPE = "struct<columnAliases:map<string,array<string>>,valueMaps:map<string,map<string,string>>>"
@@ -40,16 +41,16 @@ def scan_tenants(spark: SparkSession, directory: str) -> DataFrame:
 
 def control_of(scanned: DataFrame) -> Control:
     base = scanned.select(F.col("file_id").alias("tenant_id"), "config.*")
-    source = base.select("tenant_id", F.explode("sources").alias("source", "s")).filter("s IS NOT NULL")
-    alias = source.select("tenant_id", "source", F.posexplode(F.map_entries("s.columnAliases")).alias("cpos", "e"))
-    maps = source.select("tenant_id", "source", F.explode("s.valueMaps").alias("column_name", "m"))
+    source = base.select("tenant_id", F.explode(last_wins(F.col("sources"))).alias("source", "s")).filter("s IS NOT NULL")
+    alias = source.select("tenant_id", "source", F.posexplode(F.map_entries(last_wins(F.col("s.columnAliases")))).alias("cpos", "e"))
+    maps = source.select("tenant_id", "source", F.explode(last_wins(F.col("s.valueMaps"))).alias("column_name", "m"))
     return Control(
         tenant=base.select(
             "tenant_id", F.col("displayName").alias("display_name"), "currency", F.col("fixturesDir").alias("fixtures_dir")),
         configured=source.select("tenant_id", "source"),
         alias=alias.select(
             "tenant_id", "source", F.col("e.key").alias("canonical"), "cpos", F.posexplode("e.value").alias("apos", "alias")),
-        value_map=maps.select("tenant_id", "source", "column_name", F.explode("m").alias("raw_value", "canonical_value")),
+        value_map=maps.select("tenant_id", "source", "column_name", F.explode(last_wins(F.col("m"))).alias("raw_value", "canonical_value")),
     )
 
 
@@ -142,8 +143,8 @@ def config_problems(scanned: DataFrame) -> DataFrame:
 def read_tenants(spark: SparkSession, directory: str) -> Control:
     """Every tenant file of the directory; any broken rule refuses them all."""
     scanned = scan_tenants(spark, directory)
-    problems = config_problems(scanned).orderBy("tenant_id", "path", "message").limit(100).collect()
+    problems = listed(config_problems(scanned).select(
+        "tenant_id", "path", F.concat(F.col("tenant_id"), F.lit(".json "), F.col("path"), F.lit(": "), F.col("message")).alias("text")))
     if problems:
-        raise ValueError("Invalid tenant config:\n" + "\n".join(
-            f"{p.tenant_id}.json {p.path}: {p.message}" for p in problems))
+        raise ValueError("Invalid tenant config:\n" + "\n".join(problems))
     return control_of(scanned)
