@@ -6,10 +6,7 @@ task holds does not grow with its partition; one text is never split here and bo
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidemark.session import ship
+
 SLICE_BYTES = 2 << 20
 
 U8 = np.uint64
@@ -234,23 +233,6 @@ def id_filter(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return map_batches(rows.select("*", Marks.place(ids.columns[0])), run, rows.schema)
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of the session's executors, once for each application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[2]
-    held = Path(tempfile.mkdtemp()) / "tidemark-package.zip"  # Spark serves it to the executors from here
-    with zipfile.ZipFile(held, "w") as z:
-        for path in sorted((root / "tidemark").rglob("*.py")):
-            z.write(path, path.relative_to(root))
-    sc.addPyFile(str(held))
-    _shipped.add(sc.applicationId)
-
-
 def map_batches(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """mapInArrow with this package at hand in the workers."""
     ship(rows.sparkSession)
