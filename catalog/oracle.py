@@ -439,3 +439,22 @@ ORACLE["value_map_sync"] = """WITH c AS (SELECT 'n' || c_nationkey AS tenant_id,
  UNION ALL SELECT tenant_id, source, column_name, raw_value, lower(seg), 'add' FROM c WHERE c_acctbal < 0"""
 ORACLE["tenant_scope"] = _with(ALL) + """SELECT tenant_id, batch_no, count(*) AS orders FROM a_orders
   WHERE tenant_id = 't1' GROUP BY ALL"""
+
+_BATCHES = """WITH o AS (SELECT 't' || (o_orderkey % 2) AS tenant_id, (year(o_orderdate::DATE) - 1994)::INT AS batch_no, o_orderkey,
+    o_totalprice::DECIMAL(18,2) AS price FROM orders),
+years AS (SELECT tenant_id, batch_no, count(*) AS n, count(*) FILTER (o_orderkey % 5 = 0) AS fifth FROM o GROUP BY ALL),
+"""
+ORACLE["load_result"] = _BATCHES + """said AS (
+  SELECT 1 AS load, tenant_id, batch_no, CASE WHEN batch_no = 5 THEN 'quarantined' ELSE 'loaded' END AS status,
+    CASE WHEN batch_no <> 5 THEN n END AS row_count, CASE WHEN batch_no = 5 THEN 'unknown_header,missing_column' END AS codes FROM years
+  UNION ALL SELECT 1, tenant_id, 8, 'quarantined', NULL, 'duplicate_content' FROM years WHERE batch_no = 1
+  UNION ALL SELECT 1, tenant_id, 9, 'missing', NULL, NULL FROM years WHERE batch_no = 1
+  UNION ALL SELECT 2, tenant_id, batch_no, CASE batch_no WHEN 2 THEN 'quarantined' WHEN 5 THEN 'loaded' ELSE 'skipped' END,
+    CASE WHEN batch_no <> 2 THEN n END, CASE WHEN batch_no = 2 THEN 'batch_conflict' END FROM years
+  UNION ALL SELECT 2, tenant_id, 8, 'quarantined', NULL, 'duplicate_content' FROM years WHERE batch_no = 1
+  UNION ALL SELECT 2, tenant_id, 9, 'loaded', fifth, NULL FROM years WHERE batch_no = 1)
+SELECT load::INT AS load, tenant_id, batch_no::INT AS batch_no, status, row_count::BIGINT AS row_count, codes FROM said"""
+ORACLE["load_raw"] = _BATCHES + """kept AS (SELECT tenant_id, batch_no, o_orderkey, price FROM o
+  UNION ALL SELECT tenant_id, 9, o_orderkey, price FROM o WHERE batch_no = 1 AND o_orderkey % 5 = 0)
+SELECT tenant_id, batch_no::INT AS batch_no, (1 + row_number() OVER (PARTITION BY tenant_id, batch_no ORDER BY o_orderkey))::INT AS line_no,
+  o_orderkey::VARCHAR AS order_id, price::VARCHAR AS gross FROM kept"""

@@ -13,9 +13,11 @@ from tidemark.functions import casts, names
 from tidemark.functions.values import adapted, column_value as read_value, map_values, readers, reason
 from tidemark.operators import control, coverage, health, marts, onboarding, publishing, quality, replay, scope, staging
 from tidemark.operators.headers import header_rules, resolve_headers
-from tidemark.plans.load import parse_csv, parse_ndjson
+from tidemark.plans.load import load, parse_csv, parse_ndjson
+from tidemark.plans.store import Store
 from tidemark.session import cut, cut_all, shared_folder, small_frame
 from tidemark.sources import csv_files, lines
+from tidemark.sources.tenants import Control
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -473,6 +475,74 @@ def ndjson_records(spark, sf_dir):
     return _round_trip(spark, text, "email_events")
 
 
+# --- loads: orders as the files of two deliveries ------------------------------------------------------
+
+# Batches are years. In the first delivery batch 5 has a strange header, batch 8 repeats the first year and batch 9 is not
+# there yet; in the second batch 2 has other amounts, batch 5 is right and batch 9 has arrived.
+FIRST_YEAR, STRANGE, CHANGED, REPEATED, LATE_BATCH = 1994, 5, 2, 8, 9
+
+
+def _delivery_files(spark, sf_dir, folder: str, second: bool) -> DataFrame:
+    """Write one delivery and give back its manifest."""
+    o = d.table(spark, sf_dir, "orders").select(
+        d._tenant("o_orderkey"), (F.year("o_orderdate") - FIRST_YEAR).alias("batch_no"), "o_orderkey", "o_custkey", "o_orderpriority",
+        F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    again = o.filter("batch_no = 1").withColumn("batch_no", F.lit(REPEATED))
+    rows = o.unionByName(again)
+    if second:
+        rows = rows.unionByName(o.filter("batch_no = 1 AND o_orderkey % 5 = 0").withColumn("batch_no", F.lit(LATE_BATCH)))
+        rows = rows.withColumn("price", F.when(F.col("batch_no") == CHANGED, F.col("price") + 1).otherwise(F.col("price")))
+    text = rows.select(
+        "tenant_id", F.col("batch_no").cast("int").alias("batch_no"), F.col("o_orderkey").alias("order_id"), F.col("day").alias("created_at"),
+        F.col("o_orderpriority").alias("channel"), F.col("price").alias("gross"), F.lit("USD").alias("currency"), F.col("o_custkey").alias("customer_email"))
+    parts = [(text.filter(f"batch_no <> {STRANGE}"), "usual"), (text.filter(f"batch_no = {STRANGE}"), "strange")]
+    for part, name in parts:
+        own = part if second or name == "usual" else part.withColumnRenamed("gross", "brutto")
+        # A file must hold a batch in one order, whatever the cluster: its bytes are compared with those of other batches.
+        own.repartition("tenant_id", "batch_no").sortWithinPartitions("tenant_id", "batch_no", "order_id").write.partitionBy(
+            "tenant_id", "batch_no").option("header", True).csv(f"{folder}/{name}")
+    listing = lines.list_files(spark, folder).filter("bytes > 0 AND file LIKE '%.csv'")
+    path = F.regexp_extract("file", "/((?:usual|strange)/tenant_id=.*)$", 1)
+    entries = listing.select(F.regexp_extract("file", "tenant_id=([^/]*)", 1).alias("tenant_id"), F.regexp_extract("file", "batch_no=([0-9]+)", 1).cast("int").alias("batch_no"), path.alias("path"))
+    if not second:
+        entries = entries.unionByName(entries.select("tenant_id").distinct().select(
+            "tenant_id", F.lit(LATE_BATCH).alias("batch_no"), F.lit("usual/late.csv").alias("path")))
+    return cut(entries.select(
+        "tenant_id", F.lit("orders").alias("source"), "batch_no", "path", F.lit("1992-01-01").alias("covers_from"), F.lit("1998-12-31").alias("covers_to")), "manifest")
+
+
+def _two_loads(spark, sf_dir) -> tuple[Store, list[DataFrame]]:
+    base = f"{shared_folder(spark)}/tidemark/{uuid.uuid4().hex}"
+    tenants = small_frame(spark, [("t0", "t0", "USD", ""), ("t1", "t1", "USD", "")], "tenant_id string, display_name string, currency string, fixtures_dir string")
+    none = "tenant_id string, source string, "
+    control_ = Control(
+        tenants, small_frame(spark, [("t0", "orders"), ("t1", "orders")], "tenant_id string, source string"),
+        small_frame(spark, [], none + "canonical string, cpos int, apos int, alias string"), small_frame(spark, [], none + "column_name string, raw_value string, canonical_value string"))
+    store, results = Store(spark, f"{base}/store"), []
+    for number in (1, 2):
+        folder = f"{base}/delivery{number}"
+        manifest = _delivery_files(spark, sf_dir, folder, number == 2)
+        root = lines.plain_path(folder)
+        results.append(cut(load(spark, store, control_, manifest, root, root), "results").withColumn("load", F.lit(number)))
+    return store, results
+
+
+@query
+def load_result(spark, sf_dir):
+    """What two loads say of every file: loaded, quarantined and why, skipped, missing."""
+    _, (first, second) = _two_loads(spark, sf_dir)
+    codes = F.array_join(F.transform("reasons", lambda r: r["code"]), ",")
+    return first.unionByName(second).select("load", "tenant_id", "batch_no", "status", "row_count", codes.alias("codes"))
+
+
+@query
+def load_raw(spark, sf_dir):
+    """Every line that both loads left, with its line number and amount as delivered."""
+    store, _ = _two_loads(spark, sf_dir)
+    rows = staging.loaded_record(store.read("raw"), store.read("ledger"))
+    return rows.select("tenant_id", "batch_no", "line_no", F.col("payload")["order_id"].alias("order_id"), F.col("payload")["gross"].alias("gross"))
+
+
 # --- headers: every customer delivers ad spend under headers of its segment ----------------------------
 
 

@@ -82,6 +82,9 @@ _shipped: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of the session's executors, once for each application."""
+    # Texts are long: a batch of Spark's default number of rows can hold gigabytes.
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -67,6 +67,11 @@ def hash_files(files: DataFrame) -> DataFrame:
     return names.mapInArrow(_hash, "file string, bytes bigint, sha256 string, error string")
 
 
+def plain_path(uri: str) -> str:
+    """A folder's path as file names are given: without the `file:` scheme."""
+    return re.sub("^file:/+", "/", uri)
+
+
 def escaped(path: str) -> str:
     """A path whose characters with a meaning in file patterns stand for themselves."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
