@@ -14,8 +14,6 @@ def spark():
 
     session = (
         SparkSession.builder.master("local[4]").appName("tidemark-tests")
-        # Tiny data: without run-time re-planning and compilation each test takes a fraction of the time.
-        .config("spark.sql.adaptive.enabled", "false").config("spark.sql.codegen.wholeStage", "false")
         .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "4g")

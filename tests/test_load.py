@@ -1,209 +1,225 @@
-"""Files end to end: parsing rules, quarantine, replays and the crash rule."""
+"""Files end to end: what each shape of file does, and what a second delivery changes."""
+
+import json
 
 import pytest
-from helpers import ORDERS, REFUNDS, SPEND, Delivery, config, entry, event
+from helpers import ORDERS, REFUNDS, SPEND, Delivery, config, entry
 
 from tidemark.operators import staging
 from tidemark.plans.load import load
 from tidemark.plans.store import Store
 from tidemark.sources.manifest import read_manifest
-from tidemark.sources.tenants import read_tenants
-
-DAYS = ("2026-03-01", "2026-03-31")
-
-
-def run(spark, store, delivery):
-    results = load(
-        spark, store, read_tenants(spark, delivery.tenants), read_manifest(spark, delivery.manifest), delivery.root)
-    return {(r.source, r.batch_no): r for r in results.collect()}
-
+from tidemark.sources.tenants import control_of, read_tenants, scan_tenants
 
-def one_each(spark, tmp_path, source, contents, sources=None):
-    """Load one file per batch and give back what happened to each, plus the raw lines loaded."""
-    d = Delivery(tmp_path / "d").tenant(config("acme", sources=sources))
-    for i, content in enumerate(contents, 1):
-        e = entry("acme", source, i, *DAYS)
-        d.listed(e).file(e["path"], content)
-    store = Store(spark, str(tmp_path / "store"))
-    got = run(spark, store, d)
-    rows = store.read("raw").join(store.read("ledger"), ["tenant_id", "batch_file_id"]).select(
-        "batch_no", "line_no", "payload").collect()
-    raw = {}
-    for r in sorted(rows, key=lambda r: (r.batch_no, r.line_no)):
-        raw.setdefault(r.batch_no, []).append((r.line_no, r.payload))
-    return [got[(source, i)] for i in range(1, len(contents) + 1)], raw
-
-
-def codes(result):
-    return [(r.code, r.line) for r in result.reasons or []]
-
-
-def test_csv_rules(spark, tmp_path):
-    row = "rf-1,2026-01-06T00:00:00Z,o-1,10.50,USD"
-    many = ",".join([REFUNDS] + [f"extra_{i}" for i in range(30)])
-    files = [
-        f'{REFUNDS}\nrf-1,"2026-01-06\nT00:00:00Z",o-1,1,USD\nrf-2,x,o-2,2,USD',
-        f"{REFUNDS}\n{row}\nrf-2,2026-01-07T00:00:00Z,o-2,3.00\n",
-        f'{REFUNDS}\nrf-1,"first\nsecond\nthird",o-1,1,USD\nrf-2,x,o-2,2,USD\nrf-3,x,o-3,3\n',
-        many,
-        f"{REFUNDS}\n\n{row}\n",
-        f"{REFUNDS}\n{row}\n\n\r\n",
-        f"﻿{REFUNDS}\r\n{row}\r\n",
-        REFUNDS.encode() + b"\nrf-1,x,o-1,1," + b"\xff\n",
-        "\n",
-        f'{REFUNDS}\nrf-1,a"b,o-1,1,USD\n',
-        f'{REFUNDS}\nrf-1,"open,o-1,1,USD\n{row}\n',
-        f'{REFUNDS}\n"rf ""1""","a,b",o-1,1,USD\n',
-        "refund_id,refunded_at,order_id,amount,amount,what\n",
-        f"{REFUNDS}\nrf-1,x,o-1\nrf-2,\"bad\"x,o,1,USD\n",
-        b"",
-        ("x" * 300) + f",{REFUNDS}\n",
-    ]
-    got, raw = one_each(spark, tmp_path, "refunds", files)
-    assert [n for n, _ in raw[1]] == [2, 4]
-    assert raw[1][0][1]["refunded_at"] == "2026-01-06\nT00:00:00Z"
-    assert codes(got[1]) == [("column_count", 3)] and "expect 5, got 4" in got[1].reasons[0].message
-    assert codes(got[2]) == [("column_count", 6)]
-    assert len(got[3].reasons) == 21
-    assert all(r.code == "unknown_header" for r in got[3].reasons[:20])
-    assert (got[3].reasons[20].code, got[3].reasons[20].message) == ("truncated", "10 more problems not listed")
-    assert codes(got[4]) == [("column_count", 2)]
-    assert got[5].status == "loaded" and got[5].row_count == 1
-    assert got[6].status == "loaded" and raw[7] == [(2, dict(zip(REFUNDS.split(","), row.split(","))))]
-    assert codes(got[7]) == [("invalid_encoding", None)]
-    assert codes(got[8]) == [("empty_file", None)]
-    assert codes(got[9]) == [("malformed_csv", None)]
-    assert codes(got[10]) == [("malformed_csv", None)]
-    assert raw[12][0][1]["refund_id"] == 'rf "1"' and raw[12][0][1]["refunded_at"] == "a,b"
-    assert [r.code for r in got[12].reasons] == ["duplicate_header", "unknown_header", "missing_column"]
-    assert codes(got[13]) == [("column_count", 2)]
-    assert codes(got[14]) == [("empty_file", None)]
-    assert got[15].reasons[0].message == f'header "{"x" * 100}…" is neither a column of refunds nor a declared alias'
-
-
-def test_headers_and_aliases(spark, tmp_path):
-    sources = {"ad_spend": {"columnAliases": {"spend": ["cost_usd"]}}}
-    row = "2026-01-24,c-1,Meta,364.01"
-    got, raw = one_each(spark, tmp_path, "ad_spend", [
-        f"date,campaign_id,platform,cost_usd\n{row}\n",
-        f"{SPEND},cost_usd\n{row},1\n",
-        "date,campaign_id,spend\n2026-01-24,c-1,1\n",
-    ], sources)
-    assert got[0].status == "loaded" and got[0].adapted == {"cost_usd": "spend"}
-    assert raw[1] == [(2, {"date": "2026-01-24", "campaign_id": "c-1", "platform": "Meta", "cost_usd": "364.01"})]
-    assert [r.message for r in got[1].reasons] == ['headers "spend" and "cost_usd" both map to column "spend"']
-    assert [(r.code, r.message) for r in got[2].reasons] == [("missing_column", 'column "platform" is missing')]
-
-
-def test_ndjson_rules(spark, tmp_path):
-    sources = {"email_events": {"columnAliases": {"type": ["event"]}}}
-    aliased = event(event_id="e-2").replace('"type"', '"event"')
-    got, raw = one_each(spark, tmp_path, "email_events", [
-        "\n".join([event(), "{not json", "[1,2]", "", event()]),
-        f"{event()}\n{aliased}\n",
-        "\n".join([event(), event(utm_source="x"), event(event_id="z")]),
-        "\n".join(["{"] * 25),
-        "\n".join([event(campaign_id=None, email=7), event() + " x", event() + "," + event(), "{'a': 1}", "1}, {"]),
-        event(campaign_id=None, email=7) + "\r\n\r\n",
-    ], sources)
-    assert codes(got[0]) == [("invalid_json", 2), ("not_an_object", 3), ("empty_line", 4)]
-    assert got[1].status == "loaded" and got[1].adapted == {"event": "type"}
-    assert [(n, p.get("type"), p.get("event")) for n, p in raw[2]] == [(1, "open", None), (2, None, "open")]
-    assert codes(got[2]) == [("unknown_header", 2)] and '"utm_source"' in got[2].reasons[0].message
-    assert len(got[3].reasons) == 21 and got[3].reasons[20].message == "5 more problems not listed"
-    assert codes(got[4]) == [("invalid_json", n) for n in (2, 3, 4, 5)]
-    assert raw[6] == [(1, {**{k: None for k in ("campaign_id",)}, "event_id": "e-1", "type": "open", "email": "7",
-                           "occurred_at": "2026-03-01T10:00:00Z"})]
-
-
-def test_blocks_do_not_change_line_numbers(spark, tmp_path):
-    """A file split into many small blocks is read exactly like a whole one."""
-    lines = [ORDERS]
-    for i in range(400):
-        lines.append(f'o-{i},"two\nlines, ""q""",fb,{i}.00,USD,x' if i % 7 == 0 else f"o-{i},2026-03-01,fb,{i}.00,USD,x")
-    want, n = [], 2
-    for i in range(400):
-        want.append((n, f"o-{i}"))
-        n += 2 if i % 7 == 0 else 1
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+SEASON = ("2031-05-01", "2031-09-30")
+BACK = "K7/{0},2031-06-{0:02d}T08:15:00Z,order {0},{0}.25,SEK"
+
+
+def refunds(*rows):
+    return "\n".join([REFUNDS, *rows]) + "\n"
+
+
+def loaded(spark, store, delivery):
+    results = load(spark, store, read_tenants(spark, delivery.tenants), read_manifest(spark, delivery.manifest), delivery.root)
+    return {(r.tenant_id, r.source, r.batch_no): r for r in results.collect()}
+
+
+def raw_lines(store, source):
+    rows = store.read("raw").join(store.read("ledger"), ["tenant_id", "batch_file_id", "source"]).filter(f"source = '{source}'")
+    return sorted((r.batch_no, r.line_no, r.payload) for r in rows.select("batch_no", "line_no", "payload").collect())
+
+
+def put(delivery, tenant, source, batch, content, path=None):
+    e = entry(tenant, source, batch, *SEASON, path=path)
+    delivery.listed(e)
+    return delivery if content is None else delivery.file(e["path"], content)
+
+
+# What a refunds file of the quay's shop does: its content -> (status, codes with lines, lines of its rows).
+CSV_CASES = {
+    "plain": (refunds(BACK.format(11)), "loaded", [], [2]),
+    "no end": (refunds(BACK.format(12))[:-1], "loaded", [], [2]),
+    "windows": (refunds(BACK.format(13)).replace("\n", "\r\n"), "loaded", [], [2]),
+    "marked": ("﻿" + refunds(BACK.format(14)), "loaded", [], [2]),
+    "blank end": (refunds(BACK.format(15)) + "\n\r\n\n", "loaded", [], [2]),
+    "mark later": (refunds(BACK.format(16)) + "﻿\n", "quarantined", [("column_count", 3)], []),
+    "bare return": (refunds(BACK.format(17)) + "\r", "quarantined", [("column_count", 3)], []),
+    "hole": (refunds("", BACK.format(18)), "quarantined", [("column_count", 2)], []),
+    "address": (refunds('"K7/19","Pier 4\nBerth 2\n\nHarbour",o,1,SEK', BACK.format(20)), "loaded", [], [2, 6]),
+    "short after long": (refunds('"K7/21","Pier\n5",o,1,SEK', "K7/22,x,o,2"), "quarantined", [("column_count", 4)], []),
+    "inch": (refunds('K7/23,5"x7",o,1,SEK'), "quarantined", [("malformed_csv", None)], []),
+    "never closed": (refunds(f'"{BACK.format(24)}', BACK.format(25)), "quarantined", [("malformed_csv", None)], []),
+    "latin": (refunds(BACK.format(26)).encode() + "Malmö".encode("latin-1"), "quarantined", [("invalid_encoding", None)], []),
+    "nothing": ("", "quarantined", [("empty_file", None)], []),
+    "only a mark": ("﻿\r\n", "quarantined", [("empty_file", None)], []),
+    "columns": ("amount,currency,currency,berth,refund_id\n", "quarantined", [
+        ("duplicate_header", None), ("missing_column", None), ("missing_column", None), ("unknown_header", None)], []),
+}
+
+
+@pytest.fixture(scope="module")
+def quay(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("quay")
+    d = Delivery(base / "d").tenant(config("quay", "SEK"))
+    for n, (content, *_) in enumerate(CSV_CASES.values(), 1):
+        put(d, "quay", "refunds", n, content)
+    store = Store(spark, str(base / "store"))
+    return loaded(spark, store, d), raw_lines(store, "refunds")
+
+
+@pytest.mark.parametrize("number,name", list(enumerate(CSV_CASES, 1)))
+def test_shapes_of_csv_files(quay, number, name):
+    results, rows = quay
+    _, status, codes, lines = CSV_CASES[name]
+    got = results[("quay", "refunds", number)]
+    assert (got.status, sorted(((r.code, r.line) for r in got.reasons or []), key=str)) == (status, sorted(codes, key=str))
+    assert [line for batch, line, _ in rows if batch == number] == lines
+    assert got.row_count == (len(lines) if status == "loaded" else None)
+
+
+def test_fields_of_csv_rows(quay):
+    _, rows = quay
+    number = list(CSV_CASES).index("address") + 1
+    first = next(payload for batch, _, payload in rows if batch == number)
+    assert first["refunded_at"] == "Pier 4\nBerth 2\n\nHarbour" and first["refund_id"] == "K7/19"
+
+
+def test_long_lists_of_problems_are_counted(spark, tmp_path):
+    wrong = ",".join(f"berth {n} {'~' * 120}" for n in range(27))
+    d = put(Delivery(tmp_path / "d").tenant(config("quay")), "quay", "ad_spend", 1, f"{SPEND},{wrong}\n")
+    reasons = loaded(spark, Store(spark, str(tmp_path / "store")), d)[("quay", "ad_spend", 1)].reasons
+    assert [r.code for r in reasons] == ["unknown_header"] * 20 + ["truncated"]
+    assert reasons[20].message == "7 more problems not listed"
+    assert ("berth 0 " + "~" * 92 + "…") in reasons[0].message
+
+
+def test_declared_headers(spark, tmp_path):
+    d = Delivery(tmp_path / "d").tenant(config("quay", sources={"ad_spend": {"columnAliases": {"spend": ["fee"], "platform": ["board"]}}}))
+    put(d, "quay", "ad_spend", 1, "fee,board,campaign_id,date\n7.5,north pier,regatta,2031-07-02\n")
+    put(d, "quay", "ad_spend", 2, f"{SPEND},board\n2031-07-03,regatta,east,1,west\n")
+    got = loaded(spark, store := Store(spark, str(tmp_path / "store")), d)
+    assert got[("quay", "ad_spend", 1)].adapted == {"fee": "spend", "board": "platform"}
+    assert raw_lines(store, "ad_spend")[0][2] == {"fee": "7.5", "board": "north pier", "campaign_id": "regatta", "date": "2031-07-02"}
+    assert [r.message for r in got[("quay", "ad_spend", 2)].reasons] == ['headers "platform" and "board" both map to column "platform"']
+
+
+def mail(**fields):
+    return json.dumps({"event_id": "gull-1", "type": "delivered", "email": "mate@quay.invalid", "campaign_id": "regatta", "occurred_at": "2031-06-01", **fields})
+
+
+def test_json_lines(spark, tmp_path):
+    d = Delivery(tmp_path / "d").tenant(config("quay", sources={"email_events": {"columnAliases": {"type": ["kind"]}}}))
+    good = [
+        mail(event_id=7), mail(email=None, event_id=True), mail().replace('"type"', '"kind"'),
+        mail().replace('"gull-1"', "12.50").replace('"regatta"', "4e2").replace('"2031-06-01"', '"2.0"'),
+        mail()[:-1] + ', "email": "bosun@quay.invalid"}', mail(campaign_id={"b": [1.50, 2]})]
+    put(d, "quay", "email_events", 1, "\n".join(good) + "\n\r\n")
+    put(d, "quay", "email_events", 2, "\n".join([mail(), " ", "12", mail() + mail(), mail()[1:], mail(tide="high")]))
+    put(d, "quay", "email_events", 3, "\n".join("][" for _ in range(23)))
+    got = loaded(spark, store := Store(spark, str(tmp_path / "store")), d)
+    rows = [payload for _, _, payload in raw_lines(store, "email_events")]
+    assert [r["event_id"] for r in rows] == ["7", "true", "gull-1", "12.5", "gull-1", "gull-1"]
+    assert (rows[1]["email"], rows[2]["kind"], rows[3]["campaign_id"], rows[3]["occurred_at"]) == (None, "delivered", "400", "2.0")
+    assert rows[4]["email"] == "bosun@quay.invalid" and rows[5]["campaign_id"] == '{"b":[1.5,2]}'
+    assert [(r.code, r.line) for r in got[("quay", "email_events", 2)].reasons] == [
+        ("empty_line", 2), ("not_an_object", 3), ("invalid_json", 4), ("invalid_json", 5), ("unknown_header", 6)]
+    assert got[("quay", "email_events", 3)].reasons[-1].message == "3 more problems not listed"
+
+
+def test_splits_do_not_change_line_numbers(spark, tmp_path):
+    rows, want, line = [ORDERS], [], 2
+    for n in range(250):
+        note = 'said ""ahoy"",\nthen, again\n' if n % 9 == 4 else "calm"
+        rows.append(f'"log {n}",2031-08-01,"{note}",{n},SEK,mate')
+        want.append((line, f"log {n}"))
+        line += 1 + note.count("\n")
+    d = put(Delivery(tmp_path / "d").tenant(config("quay")), "quay", "orders", 1, "\n".join(rows))
+    settings = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "0"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        got, raw = one_each(spark, tmp_path, "orders", ["\n".join(lines) + "\n"])
+        loaded(spark, store := Store(spark, str(tmp_path / "store")), d)
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert got[0].row_count == 400
-    assert [(k, p["order_id"]) for k, p in raw[1]] == want
-    assert raw[1][0][1]["created_at"] == 'two\nlines, "q"'
-
-
-def test_replays(spark, tmp_path):
-    d = Delivery(tmp_path / "d").tenant(config("acme", sources={
-        "orders": {"columnAliases": {}}, "ad_spend": {"columnAliases": {}}}))
+        for key in settings:
+            spark.conf.unset(key)
+    assert [(line, payload["order_id"]) for _, line, payload in raw_lines(store, "orders")] == want
+
+
+def test_second_deliveries(spark, tmp_path):
+    d = Delivery(tmp_path / "d").tenant(config("quay", sources={"refunds": {"columnAliases": {}}, "ad_spend": {"columnAliases": {}}})).tenant(config("mole"))
+    same, fee = refunds(BACK.format(5)), "date,campaign_id,platform,fee\n2031-07-01,regatta,pier,9\n"
+    for tenant, source, batch, content in [
+            ("quay", "refunds", 4, same), ("quay", "refunds", 9, same), ("quay", "refunds", 12, None), ("quay", "ad_spend", 1, fee),
+            ("quay", "orders", 1, ORDERS + "\n"), ("mole", "refunds", 1, same), ("dune", "refunds", 1, same)]:
+        put(d, tenant, source, batch, content)
     store = Store(spark, str(tmp_path / "store"))
-    order = f"{ORDERS}\no-1,2026-03-01T10:00:00Z,fb,1.00,USD,x\n"
-    spend = "date,campaign_id,platform,cost\n2026-03-01,c,fb,1\n"
-    for b in (1, 2, 3):
-        d.listed(entry("acme", "orders", b, *DAYS))
-    d.listed(entry("acme", "ad_spend", 1, *DAYS), entry("acme", "refunds", 1, *DAYS))
-    d.listed(entry("nobody", "orders", 1, *DAYS))
-    d.file("acme/orders/batch_01.csv", order).file("acme/orders/batch_02.csv", order)
-    d.file("acme/ad_spend/batch_01.csv", spend).file("acme/refunds/batch_01.csv", REFUNDS + "\n")
-    got = run(spark, store, d)
+    got = loaded(spark, store, d)
+    assert {k: r.status for k, r in got.items()} == {
+        ("quay", "refunds", 4): "loaded", ("quay", "refunds", 9): "quarantined", ("quay", "refunds", 12): "missing", ("quay", "ad_spend", 1): "quarantined",
+        ("quay", "orders", 1): "quarantined", ("mole", "refunds", 1): "loaded"}
+    assert [r.code for r in got[("quay", "orders", 1)].reasons] == ["source_not_configured"]
+    assert "batch 4" in got[("quay", "refunds", 9)].reasons[0].message
+
+    # A declared header cures the spend file; new bytes for batch 9 are its first load, for batch 4 a conflict.
+    d.tenant(config("quay", sources={"refunds": {"columnAliases": {}}, "ad_spend": {"columnAliases": {"spend": ["fee"]}}}))
+    d.file("quay/refunds/batch_09.csv", refunds(BACK.format(9))).file("quay/refunds/batch_04.csv", refunds(BACK.format(4)))
+    d.file("quay/refunds/batch_12.csv", same)
+    got = loaded(spark, store, d)
+    assert {k[1:]: (r.status, [x.code for x in r.reasons or []]) for k, r in got.items() if k[0] == "quay"} == {
+        ("refunds", 4): ("quarantined", ["batch_conflict"]), ("refunds", 9): ("loaded", []), ("refunds", 12): ("quarantined", ["duplicate_content"]),
+        ("ad_spend", 1): ("loaded", []), ("orders", 1): ("quarantined", ["source_not_configured"])}
+    assert (got[("mole", "refunds", 1)].status, got[("mole", "refunds", 1)].row_count) == ("skipped", 1)
+    assert store.read("ledger").filter("status = 'loaded'").select("batch_file_id").distinct().count() == 4
+
+
+def test_one_bad_file_holds_up_its_own_tenant_only(spark, tmp_path):
+    d = Delivery(tmp_path / "d").tenant(config("quay")).tenant(config("mole"))
+    put(d, "quay", "ad_spend", 1, f"{SPEND}\n2031-07-01,regatta,pier,9\n")
+    put(d, "quay", "orders", 1, ORDERS + "\n", path="quay/orders/_first.csv")
+    put(d, "quay", "refunds", 1, refunds(BACK.format(3)))
+    put(d, "mole", "refunds", 1, refunds(BACK.format(6)), path="mole/refunds/part[1] {a}*.csv")
+    got = loaded(spark, Store(spark, str(tmp_path / "store")), d)
     assert {k: r.status for k, r in got.items()} == {
-        ("orders", 1): "loaded", ("orders", 2): "quarantined", ("orders", 3): "missing", ("ad_spend", 1): "quarantined",
-        ("refunds", 1): "quarantined"}
-    assert got[("orders", 2)].reasons[0].message == "file has the same content as batch 1, which is already loaded"
-    assert codes(got[("refunds", 1)]) == [("source_not_configured", None)]
-
-    # The same bytes again, new bytes for a loaded batch, an alias that makes a quarantined file readable.
-    d.file("acme/orders/batch_03.csv", order).file("acme/orders/batch_02.csv", order.replace("o-1", "o-2"))
-    d.tenant(config("acme", sources={"orders": {"columnAliases": {}}, "ad_spend": {"columnAliases": {"spend": ["cost"]}}}))
-    got = run(spark, store, d)
-    assert got[("orders", 1)].status == "skipped" and got[("orders", 1)].row_count == 1
-    assert got[("orders", 2)].status == "loaded"
-    assert codes(got[("orders", 3)]) == [("duplicate_content", None)]
-    assert got[("ad_spend", 1)].status == "loaded"
-    d.file("acme/orders/batch_01.csv", order.replace("1.00", "2.00"))
-    got = run(spark, store, d)
-    assert codes(got[("orders", 1)]) == [("batch_conflict", None)]
-    ledger = store.read("ledger")
-    assert ledger.filter("status = 'loaded' AND source = 'orders'").count() == 2
-    assert store.read("raw").filter("source = 'orders'").count() == 2
-
-
-def test_a_load_that_dies_loads_nothing(spark, tmp_path, monkeypatch):
-    d = Delivery(tmp_path / "d").tenant(config("acme")).listed(entry("acme", "orders", 1, *DAYS))
-    d.file("acme/orders/batch_01.csv", f"{ORDERS}\no-1,2026-03-01,fb,1.00,USD,x\n")
+        ("quay", "ad_spend", 1): "loaded", ("quay", "orders", 1): "failed", ("quay", "refunds", 1): "blocked", ("mole", "refunds", 1): "loaded"}
+    assert got[("quay", "orders", 1)].reasons[0].code == "failed"
+
+
+def test_nothing_loads_when_a_path_leaves_its_folder_or_a_job_dies(spark, tmp_path, monkeypatch):
+    d = put(Delivery(tmp_path / "d").tenant(config("quay")), "quay", "refunds", 1, refunds(BACK.format(2)))
     store = Store(spark, str(tmp_path / "store"))
     append = Store.append
 
     def dies(self, table, df):
         if table == "ledger":
-            raise RuntimeError("lost")
+            raise RuntimeError("cut off")
         append(self, table, df)
 
     monkeypatch.setattr(Store, "append", dies)
     with pytest.raises(RuntimeError):
-        run(spark, store, d)
-    assert store.read("raw").count() == 1
-    assert staging.loaded_record(store.read("raw"), store.read("ledger")).count() == 0
+        loaded(spark, store, d)
     monkeypatch.setattr(Store, "append", append)
-    assert run(spark, store, d)[("orders", 1)].status == "loaded"
+    assert staging.loaded_record(store.read("raw"), store.read("ledger")).count() == 0
+    assert loaded(spark, store, d)[("quay", "refunds", 1)].status == "loaded"
     assert staging.loaded_record(store.read("raw"), store.read("ledger")).count() == 1
+    assert store.read("raw").select("batch_file_id").distinct().count() == 2
+    put(d, "quay", "refunds", 2, None, path="quay/../mole/all.csv")
+    with pytest.raises(ValueError, match="outside fixtures/quay"):
+        loaded(spark, store, d)
+    with pytest.raises(ValueError, match="append-only"):
+        store.replace("raw", store.read("raw"))
 
 
-def test_paths_outside_stop_the_load(spark, tmp_path):
-    d = Delivery(tmp_path / "d").tenant(config("acme"))
-    d.listed(entry("acme", "orders", 1, *DAYS), entry("acme", "orders", 2, *DAYS, path="acme/../other/x.csv"))
-    d.file("acme/orders/batch_01.csv", ORDERS).file("other/x.csv", ORDERS)
-    store = Store(spark, str(tmp_path / "store"))
-    with pytest.raises(ValueError, match="outside fixtures/acme"):
-        run(spark, store, d)
-    assert store.read("ledger").count() == 0
+def test_repeated_keys_of_a_tenant_file(spark, tmp_path):
+    d = Delivery(tmp_path / "d").tenant(config("quay"))
+    d.tenant('{"id": "mole", "displayName": "Mole", "currency": "DKK", "fixturesDir": "fixtures/mole", "sources": {"orders": {"columnAliases": {}}, '
+             '"orders": {"columnAliases": {}, "valueMaps": {"channel": {"pier": "web", "pier": "shop"}}}}}', "mole")
+    control = control_of(scan_tenants(spark, d.tenants))
+    assert [(r.raw_value, r.canonical_value) for r in control.value_map.collect()] == [("pier", "shop")]
+    assert control.configured.filter("tenant_id = 'mole'").count() == 1
 
 
-def test_history_is_append_only(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "store"))
-    with pytest.raises(ValueError, match="append-only"):
-        store.replace("ledger", store.read("ledger"))
+def test_every_problem_is_counted(spark, tmp_path):
+    d = Delivery(tmp_path / "d").tenant(config("quay"))
+    d.listed(*[entry("quay", "orders", n, "2031-05-02", "2031-05-01") for n in range(1, 104)])
+    with pytest.raises(ValueError, match="and 3 more, all in "):
+        read_manifest(spark, d.manifest)
