@@ -166,7 +166,8 @@ def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
 
 
 def _links(percent: int):
-    """Links inside groups: rows (g, node, asks, tokens) sorted by g; every row with asks is held against the others."""
+    """Links inside groups: rows (g, node, asks, tokens) sorted by g and node; every row with asks is held against the others.
+    A class that is linked to others gives one row: itself and the smallest class that its group's links reach."""
 
     def solve(g: np.ndarray, node: np.ndarray, asks: np.ndarray, tokens: pa.ListArray) -> list[tuple[int, int]]:
         off = tokens.offsets.to_numpy().astype(np.int64)
@@ -186,7 +187,6 @@ def _links(percent: int):
                 x = root[x]
             return x
 
-        out = []
         for i in np.flatnonzero(asks):
             mine = tid[off[i] : off[i + 1]]
             lens = begin[mine + 1] - begin[mine]
@@ -199,10 +199,8 @@ def _links(percent: int):
             good = at[(100 * count >= percent * (size[i] + size[at] - count)) & (count > 0) & (at != i)]
             for j in good:
                 a, b = find(int(i)), find(int(j))
-                if a != b:
-                    root[max(a, b)] = min(a, b)
-                    out.append((int(node[i]), int(node[j])))
-        return out
+                root[max(a, b)] = min(a, b)
+        return [(int(node[i]), int(node[find(i)])) for i in range(len(node)) if root[i] != i]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -251,7 +249,8 @@ def _links(percent: int):
 
 
 def open_groups(docs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """Verified links (a, b) inside groups: rows are (g, node, asks), groups of bounded size.
+    """Verified links inside groups, as (a, b): b is the smallest class that a reaches in its group. Rows are (g, node,
+    asks), groups of bounded size.
 
     Whole sets are computed again from one text of each class; other texts are not shuffled."""
 
@@ -277,9 +276,9 @@ def _parts(rows: DataFrame, key: str, salt: int) -> DataFrame:
     return rows.withColumn("_k", F.struct(key)).join(sizes, "_k").drop("_k").withColumn("part", F.pmod(F.xxhash64("node", F.lit(salt)), F.col("parts")))
 
 
-def _with_component(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    found = components(edges)
-    return nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _with_root(rows: DataFrame, key: str, links: DataFrame) -> DataFrame:
+    """`rows` with `component`: what links (a, b) say of the key, or the key itself."""
+    return rows.join(links.select(F.col("a").alias(key), F.col("b").alias("component")), key, "left").withColumn("component", F.coalesce("component", key))
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
@@ -303,17 +302,19 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     home = home.groupBy("node", "n").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("best")).select("node", "n", (-F.col("best.h")).alias("home"))
     apart = may_link(home.where("node <> home").withColumnRenamed("home", "other"), classes, percent).select("node", "n", F.col("other").alias("home"))
     home = cut(_parts(home.where("node = home").union(apart), "home", 1).where("of > 1"), "homes")
+    # A class is in one group here, so what a group's links reach is the component so far.
     inside = cut(open_groups(docs, classes, home.select(F.xxhash64("home", "part").alias("g"), "node", F.lit(1).alias("asks")), n, percent), "inside")
 
     # Groups of several parts: one class of each component so far, together once more.
-    split = _with_component(home.where("parts > 1").select("node", "n", "home"), inside)
+    split = _with_root(home.where("parts > 1").select("node", "n", "home"), "node", inside)
     leaders = split.groupBy("home", "component").agg(F.min(F.struct("node", "n")).alias("x")).select("home", F.col("x.node").alias("node"), F.col("x.n").alias("n"))
     leaders = _parts(leaders, "home", 2).where("of > 1").select(F.xxhash64("home", "part", F.lit(2)).alias("g"), "node", F.lit(1).alias("asks"))
-    links = cut(inside.union(open_groups(docs, classes, leaders, n, percent)), "links")
+    between = cut(open_groups(docs, classes, leaders, n, percent), "between")
 
     # The matrix: what is connected makes groups, each with its union of tokens.
     nodes = blocks.select("node", "n").distinct()
-    grouped = _parts(_with_component(nodes, links), "component", 3).withColumn("group", F.xxhash64("component", "part"))
+    labelled = _with_root(_with_root(nodes, "node", inside).withColumnRenamed("component", "_first"), "_first", between).drop("_first")
+    grouped = _parts(labelled, "component", 3).withColumn("group", F.xxhash64("component", "part"))
     grouped = cut(grouped.select("node", "component", F.col("of").alias("members"), "group"), "grouped")
     placed = cut(blocks.join(grouped, "node").withColumn("_k", F.struct("token")).drop("token"), "placed")
     mixed = placed.groupBy("_k.token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select(F.struct("token").alias("_k"))
@@ -334,10 +335,14 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     members = dealt.select(F.col("key").alias("group"), "part").distinct().join(grouped.select("node", "group"), "group")
     rows = dealt.select(F.xxhash64("key", "part").alias("g"), "node", F.lit(1).alias("asks")).union(
         members.select(F.xxhash64("group", "part").alias("g"), "node", F.lit(0).alias("asks")))
-    links = cut(links.union(open_groups(docs, classes, rows, n, percent)), "links")
-
-    found = components(links)
-    named = classes.select("node", "one", "two", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    links = cut(open_groups(docs, classes, rows, n, percent), "links")
+
+    # Components are joined where a class of one is linked to a class of another.
+    own = grouped.select("node", "component")
+    links = links.join(own.select(F.col("node").alias("a"), F.col("component").alias("u")), "a").join(own.select(F.col("node").alias("b"), F.col("component").alias("v")), "b")
+    found = components(links, "u", "v").withColumnRenamed("component", "root")
+    ends = own.join(found.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    named = classes.select("node", "one", "two", "doc_id").join(ends, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.select("one", "two", F.struct("component").alias("_k")).join(lowest.select(F.struct("component").alias("_k"), "component_id"), "_k")
     named = named.select(F.struct("one", "two").alias("_k"), "component_id")
