@@ -5,7 +5,7 @@ the whole corpus in 2^22 buckets, which is only an order and may be coarse. Then
 
 1. Equal sets form one class; copies cost nothing from here on.
 2. Two sets that link share a token among each one's first n - ceil(t n) + 1 tokens (its prefix). Tokens in the prefix
-   of one class alone are dropped.
+   of one class alone, or of two whose sizes and places rule a link out, are dropped.
 3. Similar classes are put into groups: each goes to the class with which its prefix shares most. Groups are cut to a
    bounded number of tokens, opened once, and linked inside; groups of more than one part are opened again with one
    class of each component found so far.
@@ -289,9 +289,16 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     classes = sets.where("n > 0").groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc_id"), F.first("hist").alias("hist"), F.first("prefix").alias("prefix"))
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    tokens = classes.select("node", "n", F.posexplode("prefix").alias("pos", "token")).select(F.struct("token").alias("_k"), "node", "n", "pos")
-    shared = tokens.groupBy("_k.token").agg(F.count("*").alias("_c")).where("_c > 1").select(F.struct("token").alias("_k"))
-    blocks = cut(tokens.join(shared, "_k", "left_semi").select("_k.token", "node", "n", "pos"), "blocks")
+    tokens = classes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+    shared = tokens.groupBy("token").agg(
+        F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(F.col("n") - F.col("pos")).alias("reach"))
+    # Where just two classes share a token, their sizes and places already say whether it can link them.
+    can = (100 * F.col("lo") >= percent * F.col("hi")) & (F.col("reach") * (100 + percent) >= percent * (F.col("lo") + F.col("hi")))
+    shared = shared.where((F.col("c") > 2) | ((F.col("c") == 2) & can))
+    # The join's keys are no columns of the aggregate, so that it has shuffles of its own, whose hot tokens AQE can split.
+    key = F.col("token").bitwiseXOR(F.lit(1)).alias("_k")
+    blocks = tokens.select(key, "node", "n", "pos").join(shared.select(key), "_k", "left_semi")
+    blocks = cut(blocks.select(F.col("_k").bitwiseXOR(F.lit(1)).alias("token"), "node", "n", "pos"), "blocks")
 
     # Each class goes to the class that shares most with it among the first ones of its tokens.
     hubs = blocks.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("h"))
