@@ -41,9 +41,25 @@ def _staged(spark: SparkSession, sf_dir: str, source: str, ledger: DataFrame | N
     return staging.STAGING[source](d.RAW[source](spark, sf_dir), lg, vm, d.WIDTH)
 
 
+def _refunds(spark: SparkSession, sf_dir: str, orders: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Refunds against orders that are staged already, one row a key."""
+    keys = orders.select("tenant_id", "order_id")
+    return staging.refunds(d.raw_refunds(spark, sf_dir), ledger, d.value_map(spark), d.WIDTH, known_orders=keys)
+
+
+def _staged_for_marts(spark: SparkSession, sf_dir: str, ledgers: dict[str, DataFrame]) -> dict[str, dict[str, DataFrame]]:
+    """All staging relations of each ledger; those that feed two marts are computed once, side by side."""
+    twice = cut_all({f"{run}_{s}": _staged(spark, sf_dir, s, lg) for run, lg in ledgers.items() for s in ("orders", "ad_spend")})
+    return {
+        run: {
+            "orders": twice[f"{run}_orders"], "ad_spend": twice[f"{run}_ad_spend"], "email_events": _staged(spark, sf_dir, "email_events", lg),
+            "refunds": _refunds(spark, sf_dir, twice[f"{run}_orders"], lg)}
+        for run, lg in ledgers.items()}
+
+
 def _cut_staged(spark: SparkSession, sf_dir: str, ledger: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All staging relations, each computed once for its several readers, as a report run does."""
-    return cut_all({s: _staged(spark, sf_dir, s, ledger) for s in staging.STAGING})
+    lg = ledger if ledger is not None else d.ledger(spark)
+    return _staged_for_marts(spark, sf_dir, {"all": lg})["all"]
 
 
 def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -178,13 +194,11 @@ def _published(spark, sf_dir) -> DataFrame:
 
 
 def _second_run(spark, sf_dir):
-    ledgers = {"first": _first_ledger(spark), "second": _second_ledger(spark)}
-    both = cut_all({f"{run}_{s}": _staged(spark, sf_dir, s, lg) for run, lg in ledgers.items() for s in staging.STAGING})
-    first, second = ({s: both[f"{run}_{s}"] for s in staging.STAGING} for run in ledgers)
+    staged = _staged_for_marts(spark, sf_dir, {"first": _first_ledger(spark), "second": _second_ledger(spark)})
+    first, second = staged["first"], staged["second"]
     keys = cut_all({
         "published": _first_run(spark, first), "current": publishing.mart_keys(marts.build(second, d.tenants(spark)))})
-    done = publishing.classify(keys["current"], keys["published"], _windows(spark))
-    return second, keys["published"], cut(done, "classified")
+    return second, keys["published"], publishing.classify(keys["current"], keys["published"], _windows(spark))
 
 
 @query

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.contract import MARTS, check_marts
@@ -17,7 +16,12 @@ from tidemark.session import cut, cut_all
 def stage(store: Store, ledger: DataFrame, sources: list[str]) -> dict[str, DataFrame]:
     """Staging relations of the files in `ledger`, each computed once."""
     raw, value_map, width = store.read("raw"), store.read("value_map"), reader_width(ledger)
-    return cut_all({s: STAGING[s](raw, ledger, value_map, width) for s in sources})
+    staged = cut_all({s: STAGING[s](raw, ledger, value_map, width) for s in sources if s != "refunds"} or {"ledger": ledger})
+    if "refunds" in sources:
+        # Staged orders have one row a key, so they need not be read and made distinct again.
+        known = staged["orders"].select("tenant_id", "order_id") if "orders" in sources else None
+        staged["refunds"] = cut(STAGING["refunds"](raw, ledger, value_map, width, known_orders=known), "refunds")
+    return {s: staged[s] for s in sources}
 
 
 def publish(spark: SparkSession, store: Store, manifest: DataFrame, marts: list[str] | None = None) -> DataFrame:

@@ -124,7 +124,9 @@ def number_lines(lines: DataFrame) -> Numbered:
     last = F.col("lines_before") + F.col("last_pos") - F.col("first_pos") + 1
     # Only line ends are dropped from the end of a file: a carriage return without one is a line. A byte-order mark
     # is no content at the start of a file, and a line of its own anywhere else.
-    unended = F.sum("bytes").over(whole) != F.first("size").over(whole)
+    # Readers leave out a mark of three bytes at the start.
+    size = F.first("size").over(whole)
+    unended = (size < 0) | (F.sum("bytes").over(whole) - size).isin(1, -2)
     bare = F.max_by("bare", "block").over(whole) & unended
     found = F.coalesce(F.max(last).over(whole), F.lit(0))
     found = F.when((found == 1) & F.min_by("marked", "block").over(whole), 0).otherwise(found)
