@@ -236,4 +236,9 @@ def id_filter(rows: DataFrame, ids: DataFrame) -> DataFrame:
 def map_batches(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     """mapInArrow with this package at hand in the workers."""
     ship(rows.sparkSession)
-    return rows.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()  # workers outlive their task
+
+    return rows.mapInArrow(run, schema)

@@ -14,8 +14,9 @@ import numpy as np
 
 from tidemark.llm.texts import U8, Slice, byte_class, ranges, run_hashes
 
-#: Distinct pieces a worker keeps; at the bound it starts anew. About 30 bytes each.
-CACHE_PIECES = 1 << 21
+#: Distinct pieces a worker keeps, about 45 bytes each; at the bound it starts anew. Workers outlive a stage, and what they
+#: keep is taken from the next one's memory.
+CACHE_PIECES = 1 << 19
 _JOIN_BYTES = 1 << 16
 
 _WHITE = byte_class([(0x20, 0x20), (0x09, 0x0D)])
