@@ -424,7 +424,8 @@ ORACLE["value_mapping"] = f"""WITH {CONTROL.strip()} SELECT o_orderkey, 't' || (
 ORACLE["column_value"] = """SELECT event_id, CASE WHEN event_type = 'error' THEN NULL WHEN event_type IN ('view', 'click')
   THEN event_type ELSE json_extract_string(props, '$.k') END AS value FROM events"""
 ORACLE["safe_casts"] = """SELECT o_orderkey,
-  CASE WHEN o_orderpriority IN ('2-HIGH', '4-NOT SPECIFIED') THEN o_totalprice::DECIMAL(18,2)::DOUBLE END AS amount,
+  CASE WHEN o_orderpriority IN ('2-HIGH', '4-NOT SPECIFIED') THEN o_totalprice::DECIMAL(18,2)::DOUBLE
+    WHEN o_orderpriority = '5-LOW' THEN (o_totalprice::DECIMAL(18,2)::VARCHAR || '00001')::DOUBLE END AS amount,
   epoch_us(moment) AS at_us, moment::DATE AS utc_day, CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_orderdate::DATE END AS iso_day
   FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN o_orderdate + INTERVAL 25 HOUR + INTERVAL 30 MINUTE
     WHEN '3-MEDIUM' THEN o_orderdate + INTERVAL 3723 SECOND WHEN '4-NOT SPECIFIED' THEN o_orderdate END AS moment FROM orders)"""
