@@ -138,16 +138,19 @@ def following(ids: DataFrame) -> DataFrame:
 def order_minhash(docs: DataFrame, k: int = K, bins: int = BINS, tuple_size: int = TUPLE) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
+    named = rows.where("doc_id is not null")  # read by both joins below in one form, so that its shuffle is made once
+    ids = named.groupBy("doc_id").agg(F.max(F.length("text")).alias("n"))
     # Of a text only the part that replaces another's end is sent on.
-    heads = rows.join(following(ids), "doc_id").select(
+    heads = named.join(following(ids), "doc_id").select(
         F.col("for_id").alias("doc_id"), F.col("doc_id").alias("next_id"), F.xxhash64("text").alias("h"),
         F.expr("substring(text, 1, cast(for_n div 3 as int))").alias("head"))
     heads = heads.groupBy("doc_id", "next_id").agg(F.min(F.struct("h", "head")).alias("x")).select("doc_id", "next_id", F.col("x.head").alias("head"))
     n = F.length("text")
     end = F.expr("cast(length(text) div 3 as int)")
     edited = F.concat(F.substring("text", F.lit(1), n - end), F.substring(F.coalesce("head", F.lit("")), F.lit(1), end))
-    both = rows.join(heads, "doc_id", "left").select("doc_id", "next_id", "text", edited.alias("edited"))
+    nameless = rows.where("doc_id is null").select("*", F.lit(None).cast("long").alias("next_id"), F.lit(None).cast("string").alias("head"))
+    both = named.join(heads, "doc_id", "left").select("doc_id", "text", "next_id", "head").union(nameless)
+    both = both.select("doc_id", "next_id", "text", edited.alias("edited"))
     made = cut(both.select(
         "doc_id", "next_id", n.cast("long").alias("n_chars"), F.xxhash64("text").alias("h"), F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("text"), k, bins, tuple_size).alias("a"), fingerprint(F.col("edited"), k, bins, tuple_size).alias("b")), "fingerprints")
