@@ -1,6 +1,7 @@
 """Operators on documents against brute force, and their results on unusual input."""
 
 import random
+import re
 from hashlib import sha256
 from itertools import combinations
 
@@ -173,6 +174,37 @@ def test_license_notices_exact_edited_and_repeated(spark):
     assert scan_licenses(table(spark, []), ["doc_id"]).count() == 0
 
 
+def occurrences(text, notice):
+    """Places of every copy of a notice, by search."""
+    return [(m.start(), m.end()) for m in re.finditer(re.escape(notice), text)]
+
+
+def test_license_notices_repeated_close_together(spark):
+    rnd = random.Random(11)
+    short = ["mit", "cc-by-4.0", "cc-by-nc-4.0", "cc-by-sa-4.0", "apache-2.0", "gpl-3.0"]
+    cases = [(n, gap.join([TEMPLATES[n]] * k)) for n in short for gap in (" ", "\n", " word ", " two words ") for k in (2, 5, 40)]
+    # Parts of the notice around it, which hit too, on other diagonals.
+    for n in short:
+        own = TEMPLATES[n].split()
+        for _ in range(6):
+            parts = [" ".join(own[: rnd.randrange(2, 4)]) + " " + prose(rnd, rnd.randrange(3, 9)) for _ in range(rnd.randrange(1, 6))]
+            at = rnd.randrange(len(parts) + 1)
+            cases.append((n, " ".join([*parts[:at], TEMPLATES[n], *parts[at:]])))
+    rows = scan_licenses(table(spark, list(enumerate(t for _, t in cases))), ["doc_id"]).collect()
+    assert len(rows) == len(cases)
+    for r in rows:
+        n, text = cases[r.doc_id]
+        assert [(s.license, s.start, s.end, s.coverage) for s in r.licenses] == [(n, a, b, 1.0) for a, b in occurrences(text, TEMPLATES[n])], text
+
+
+def test_license_notices_side_by_side_are_told_apart(spark):
+    mixed = [TEMPLATES[n] for n in ("mit", "apache-2.0", "cc-by-4.0", "mit", "cc-by-sa-4.0", "apache-2.0")]
+    texts = [" ".join(mixed), "\n".join([TEMPLATES["mit-text"]] * 3)]
+    rows = scan_licenses(table(spark, list(enumerate(texts))), ["doc_id"]).orderBy("doc_id").collect()
+    assert [texts[0][s.start : s.end] for s in rows[0].licenses] == mixed
+    assert [s.license for s in rows[1].licenses] == ["mit-text"] * 3
+
+
 def test_rows_keep_their_own_columns(spark):
     found = scan_licenses(table(spark, [(1, "x")]), ["doc_id", "score", "n", "text"]).first()
     assert (found.doc_id, found.score, found.n, found.text) == (1, 0.5, 1, "x")

@@ -2,11 +2,11 @@
 
 Templates and texts become words (ASCII letters and digits, and every other character; A-Z lower-cased). Of a template's
 hashes of `GRAM` words, the least of every `WINNOW` consecutive ones are its fingerprints; an inverted index from
-fingerprint to (template, place) is small and goes to the executors. A text's hashes are looked up in it; hits of one
-template on neighbouring diagonals (place in the text less place in the template) make a candidate. Around it the
-template is aligned to the text by a local alignment in a band of `BAND` diagonals (a match scores 1; a mismatch or a
-word left out costs 1). Candidates covering at least `MIN_COVERAGE` of their template are reported; of overlapping ones
-only that with most matched words.
+fingerprint to (template, place) is small and goes to the executors. A text's hashes are looked up in it. From each hit
+the template is aligned to the text in both directions, in a band of `BAND` diagonals to either side (a match scores 1; a
+mismatch or a word left out costs 1); hits that share their best alignment give it once. Alignments covering at least
+`MIN_COVERAGE` of their template are candidates. Those with most matched words are reported first (of equal ones that with
+the best score); a candidate that overlaps a reported span is aligned again beside it and may still qualify there.
 
 Defined results: a null, empty or wordless text has no spans; equal scores go to the first template by name, then to the
 earlier place; every occurrence is reported on its own; repeated rows repeat their result; an empty table gives an empty
@@ -15,6 +15,9 @@ result; only `doc_id` and `text` are read.
 
 from __future__ import annotations
 
+import bisect
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
@@ -103,55 +106,134 @@ class Index:
         return np.repeat(at, n), self.template[row], self.place[row]
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
-    """(first word, last word + 1, matched words) of the best local alignment near a diagonal of the text."""
-    width = 2 * band + 1
-    score = np.zeros((len(template) + 1, width + 2))
-    at = np.arange(width)
-    for i in range(1, len(template) + 1):
-        j = i - 1 + diagonal - band + at
-        inside = (j >= 0) & (j < len(text))
-        same = inside & (text[np.clip(j, 0, max(len(text) - 1, 0))] == template[i - 1])
-        value = np.maximum(np.maximum(score[i - 1, 1:-1] + np.where(same, 1, -1), score[i - 1, 2:] - 1), 0)
-        value = np.where(inside, value, 0)
-        score[i, 1:-1] = np.maximum(np.maximum.accumulate(value + at) - at, 0)
-    i, d = np.unravel_index(int(score.argmax()), score.shape)
-    matched, last, first = 0, None, None
-    while i > 0 and 1 <= d <= width and score[i, d] > 0:
-        j = i - 1 + diagonal - band + d - 1
-        same = 0 <= j < len(text) and text[j] == template[i - 1]
+def extend(template: np.ndarray, text: np.ndarray, band: int = BAND) -> tuple[int, np.ndarray]:
+    """The best alignment that begins where both do and may end anywhere: its score, and of each template word the matched word of the text or -1."""
+    n = len(template)
+    met = np.full(n, -1, dtype=np.int64)
+    text = text[: n + band]
+    if not n or not len(text):
+        return 0, met
+    if len(text) >= n and np.array_equal(template, text[:n]):
+        return n, np.arange(n)
+    at = np.arange(2 * band + 1)
+    low = -4 * (n + band)
+    score = np.full((n + 1, 2 * band + 3), low)  # row: template words used; column: text words used less these, plus band + 1
+    score[0, 1:-1] = np.where((at >= band) & (at - band <= len(text)), band - at, low)
+    best = (0, 0, band + 1)
+    for i in range(1, n + 1):
+        j = i + at - band  # text words used
+        same = (j >= 1) & (j <= len(text)) & (text[np.clip(j - 1, 0, len(text) - 1)] == template[i - 1])
+        value = np.maximum(score[i - 1, 1:-1] + np.where(same, 1, -1), score[i - 1, 2:] - 1)
+        value = np.where((j >= 0) & (j <= len(text)), value, low)
+        value = np.maximum.accumulate(value + at) - at
+        score[i, 1:-1] = np.where(j <= len(text), value, low)
+        d = int(value.argmax())
+        if value[d] > best[0]:
+            best = (int(value[d]), i, d + 1)
+        if value[d] + n - i <= best[0]:
+            break
+    total, i, d = best
+    while i > 0:
+        j = i + d - 1 - band
+        same = 1 <= j <= len(text) and text[j - 1] == template[i - 1]
         if score[i, d] == score[i - 1, d] + (1 if same else -1):
             if same:
-                matched, first = matched + 1, j
-                last = j if last is None else last
+                met[i - 1] = j - 1
             i -= 1
         elif score[i, d] == score[i - 1, d + 1] - 1:
             i, d = i - 1, d + 1
         else:
             d -= 1
-    return (first, last + 1, matched) if matched else (0, 0, 0)
+    return total, met
+
+
+def _right(words: np.ndarray, h: np.ndarray, place: int, own: int, hi: int) -> tuple[int, np.ndarray]:
+    """From a hit on: the score, and of each template word its word of the text or -1 (none before the hit)."""
+    met = np.full(len(words), -1, dtype=np.int64)
+    score, after = extend(words[own + GRAM :], h[place + GRAM : hi])
+    met[own : own + GRAM] = np.arange(place, place + GRAM)
+    met[own + GRAM :] = np.where(after < 0, -1, after + place + GRAM)
+    return score, met
+
+
+def _left(words: np.ndarray, h: np.ndarray, place: int, own: int, lo: int) -> tuple[int, np.ndarray]:
+    """Back from a hit; like `_right`."""
+    met = np.full(len(words), -1, dtype=np.int64)
+    score, before = extend(words[:own][::-1], h[lo:place][::-1])
+    met[:own] = np.where(before < 0, -1, place - 1 - before)[::-1]
+    met[own : own + GRAM] = np.arange(place, place + GRAM)
+    return score, met
+
+
+def _on(met: np.ndarray, place: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which hits an alignment passes."""
+    return np.all([met[own + k] == place + k for k in range(GRAM)], axis=0)
+
+
+def candidates(words: np.ndarray, h: np.ndarray, place: np.ndarray, own: np.ndarray, lo: int, hi: int, least: float):
+    """(matched words, score, first word, last word + 1, hits) of the best alignment inside [lo, hi) through each hit of one
+    template (ascending by place) that match `least` words; hits on one and the same best alignment give it once."""
+    done = np.zeros(len(place), dtype=bool)
+    for x in range(len(place)):
+        if done[x]:
+            continue
+        p, o = int(place[x]), int(own[x])
+        near = h[max(lo, p - o - BAND) : min(hi, p - o + len(words) + BAND)]
+        if np.isin(words, near).sum() < least:
+            done[x] = True
+            continue
+        after, met = _right(words, h, p, o, hi)
+        stop = x + int(np.searchsorted(place[x:], met.max(), "right"))
+        z = x + int(np.flatnonzero(_on(met, place[x:stop], own[x:stop]))[-1])
+        before, back = _left(words, h, int(place[z]), int(own[z]), lo)
+        if _on(back, place[x : x + 1], own[x : x + 1])[0]:
+            # The best way on from the first hit and the best way back from the last share all between: best for each of them.
+            score = before + GRAM + extend(words[own[z] + GRAM :], h[place[z] + GRAM : hi])[0] if z > x else before + GRAM + after
+            met[: own[z]] = back[: own[z]]
+            own_hits = x + np.flatnonzero(_on(met, place[x:stop], own[x:stop]))
+        else:
+            before, back = _left(words, h, p, o, lo)
+            score = before + GRAM + after
+            met[:o] = back[:o]
+            own_hits = np.array([x])
+        done[own_hits] = True
+        held = met[met >= 0]
+        if len(held) >= least:
+            yield len(held), score, int(held[0]), int(held[-1]) + 1, own_hits
 
 
 def matches(index: Index, h: np.ndarray, min_coverage: float = MIN_COVERAGE) -> list[tuple[int, int, int, int]]:
     """(template, first word, last word + 1, matched words) of a text's accepted candidates, by place."""
     place, template, own = index.hits(gram_hashes(h, GRAM))
-    diagonal = place - own
-    order = np.lexsort((diagonal, template))
-    found = []
-    k = 0
-    while k < len(order):
-        stop = k + 1
-        while stop < len(order) and template[order[stop]] == template[order[k]] and diagonal[order[stop]] - diagonal[order[stop - 1]] <= BAND:
-            stop += 1
-        t, middle = int(template[order[k]]), int(np.median(diagonal[order[k:stop]]))
-        first, last, matched = align(index.words[t], h, middle)
-        if matched >= min_coverage * len(index.words[t]):
-            found.append((-matched, t, first, last))
-        k = stop
+    order = np.lexsort((own, place, template))
+    place, template, own = place[order], template[order], own[order]
+    heap: list[tuple] = []
+    starts: list[int] = []
+    ends: list[int] = []
+
+    def push(t: int, hits: np.ndarray) -> None:
+        """The candidates of one template's hits in the words that no accepted span holds."""
+        at = np.array([bisect.bisect_right(ends, p) for p in place[hits].tolist()], dtype=np.int64)
+        free = np.array([g == len(starts) or p + GRAM <= starts[g] for g, p in zip(at.tolist(), place[hits].tolist())], dtype=bool)
+        hits, at = hits[free], at[free]
+        for gap in np.unique(at):
+            inside = hits[at == gap]
+            lo, hi = ends[gap - 1] if gap else 0, starts[gap] if gap < len(starts) else len(h)
+            for matched, score, first, last, members in candidates(index.words[t], h, place[inside], own[inside], lo, hi, min_coverage * len(index.words[t])):
+                heapq.heappush(heap, (-matched, -score, t, first, last, tuple(inside[members])))
+
+    for t in np.unique(template):
+        push(int(t), np.flatnonzero(template == t))
     taken: list[tuple[int, int, int, int]] = []
-    for minus, t, first, last in sorted(found):
-        if all(last <= a or b <= first for _, a, b, _ in taken):
-            taken.append((t, first, last, -minus))
+    while heap:
+        minus, _, t, first, last, members = heapq.heappop(heap)
+        k = bisect.bisect_right(ends, first)
+        if k < len(starts) and starts[k] < last:
+            push(t, np.array(members))  # what is left of it beside the accepted spans
+            continue
+        starts.insert(k, first)
+        ends.insert(k, last)
+        taken.append((t, first, last, -minus))
     return sorted(taken, key=lambda x: (x[1], x[0]))
 
 
