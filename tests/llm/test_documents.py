@@ -205,6 +205,28 @@ def test_license_notices_side_by_side_are_told_apart(spark):
     assert [s.license for s in rows[1].licenses] == ["mit-text"] * 3
 
 
+def test_short_license_notices_with_one_word_changed(spark):
+    cases = []
+    for n in ("mit", "cc-by-4.0", "apache-2.0", "gpl-3.0"):
+        own = re.findall("[A-Za-z0-9]+", TEMPLATES[n])
+        cases += [(n, " ".join([*own[:k], "changed", *own[k + 1 :]]), len(own)) for k in range(1, len(own) - 1) if len(own) > 5 or k != 2]
+    edited = TEMPLATES["apache-2.0"].replace("Version", "Edition")
+    cases.append(("apache-2.0", edited, 8))
+    rows = scan_licenses(table(spark, [(k, f"one {t} two") for k, (_, t, _) in enumerate(cases)]), ["doc_id"]).collect()
+    for r in rows:
+        n, text, size = cases[r.doc_id]
+        assert [(s.start, s.end, s.coverage) for s in r.licenses if s.license == n] == [(4, 4 + len(text), (size - 1) / size)], text
+    three = f"{TEMPLATES['apache-2.0']} {edited} {TEMPLATES['apache-2.0']}"
+    row = scan_licenses(table(spark, [(1, three)]), ["doc_id"]).first()
+    assert [three[s.start : s.end] for s in row.licenses] == [TEMPLATES["apache-2.0"], edited, TEMPLATES["apache-2.0"]]
+
+
+def test_bsd_licenses_of_two_and_three_clauses(spark):
+    texts = [f"x {TEMPLATES[n]} y" for n in ("bsd-2-clause", "bsd-3-clause")]
+    rows = scan_licenses(table(spark, list(enumerate(texts))), ["doc_id"]).orderBy("doc_id").collect()
+    assert [[(s.license, s.coverage) for s in r.licenses] for r in rows] == [[("bsd-2-clause", 1.0)], [("bsd-3-clause", 1.0)]]
+
+
 def test_rows_keep_their_own_columns(spark):
     found = scan_licenses(table(spark, [(1, "x")]), ["doc_id", "score", "n", "text"]).first()
     assert (found.doc_id, found.score, found.n, found.text) == (1, 0.5, 1, "x")

@@ -1,7 +1,8 @@
 """License scans: winnowed fingerprints pick candidates, banded alignment reports coverage and spans.
 
 Templates and texts become words (ASCII letters and digits, and every other character; A-Z lower-cased). Of a template's
-hashes of `GRAM` words, the least of every `WINNOW` consecutive ones are its fingerprints; an inverted index from
+hashes of `GRAM` words, the least of every `WINNOW` consecutive ones are its fingerprints (all of them where it has at
+most `ALL_GRAMS` words); an inverted index from
 fingerprint to (template, place) is small and goes to the executors. A text's hashes are looked up in it. From each hit
 the template is aligned to the text in both directions, in a band of `BAND` diagonals to either side (a match scores 1; a
 mismatch or a word left out costs 1); hits that share their best alignment give it once. Alignments covering at least
@@ -9,7 +10,9 @@ mismatch or a word left out costs 1); hits that share their best alignment give
 the best score); a candidate that overlaps a reported span is aligned again beside it and may still qualify there.
 
 Defined results: a null, empty or wordless text has no spans; equal scores go to the first template by name, then to the
-earlier place; every occurrence is reported on its own; repeated rows repeat their result; an empty table gives an empty
+earlier place; every occurrence that holds a fingerprint is reported on its own (what is missed: of a template of five words
+one whose middle word differs; of short ones any without `GRAM` unchanged words in a row; of longer ones edited ones without
+`GRAM + WINNOW - 1` such words, unless a fingerprint is among them); repeated rows repeat their result; an empty table gives an empty
 result; only `doc_id` and `text` are read.
 """
 
@@ -25,9 +28,17 @@ from pyspark.sql import DataFrame, types as T
 from tidemark.llm.texts import ASCII_LOWER, Slice, annotate, byte_class, gram_hashes, run_hashes, slices, words
 
 GRAM, WINNOW, BAND, MIN_COVERAGE = 3, 4, 8, 0.8
+#: Templates of up to so many words are indexed by every gram; so few grams give too few fingerprints for edited copies.
+ALL_GRAMS = 4 * (GRAM + WINNOW - 1)
 
 _WORD = byte_class([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
 
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+    "met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.")
+
 # Notices by which texts state their license.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -36,11 +47,10 @@ TEMPLATES = {
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
         "writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
         "either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    "bsd-2-clause": _BSD_2,
     "bsd-3-clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
-        "met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution."),
+        f"{_BSD_2} 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission."),
     "cc-by-4.0": "Licensed under CC BY 4.0",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
@@ -90,7 +100,7 @@ class Index:
             h = word_hashes(part)[3]
             self.words.append(h)
             grams = gram_hashes(h, GRAM)
-            at = winnowed(grams)
+            at = np.arange(len(grams)) if len(h) <= ALL_GRAMS else winnowed(grams)
             keys.append(grams[at])
             template.append(np.full(len(at), t))
             place.append(at)
@@ -128,9 +138,9 @@ def extend(template: np.ndarray, text: np.ndarray, band: int = BAND) -> tuple[in
         value = np.maximum.accumulate(value + at) - at
         score[i, 1:-1] = np.where(j <= len(text), value, low)
         d = int(value.argmax())
-        if value[d] > best[0]:
+        if value[d] >= best[0]:  # of equal scores the longer one, which has more words matched
             best = (int(value[d]), i, d + 1)
-        if value[d] + n - i <= best[0]:
+        if value[d] + n - i < best[0]:
             break
     total, i, d = best
     while i > 0:
