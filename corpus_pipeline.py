@@ -1,6 +1,6 @@
 """From raw documents to packed sequences in five stages, each applying one operator of `tidemark.llm`.
 
-language ID        drops texts that are in no learned language (no letters, null, or no label that fits)
+language ID        drops texts that are in no learned language (no letters, null, or mostly unknown 3-grams)
 n-gram Jaccard     keeps the document with the smallest doc_id of each group (five-word shingles, similarity 0.8)
 decontamination    drops documents that hold benchmark passages
 secret scan        replaces secrets in the text
@@ -22,8 +22,10 @@ from tidemark.llm.packing import pack
 from tidemark.llm.queries import tokenizer_file
 from tidemark.session import cut
 
-#: Below this mean probability of its best language a text is in none; code-switched texts stay.
-MIN_LANGUAGE_SCORE = 0.35
+#: A text is in no learned language where the learned sample has less than this part of its words' 3-grams, measured
+#: against what a text of the learned languages reaches, whatever the number of labels. Code-switched texts stay. Texts of
+#: fewer words say too little to be rejected for that.
+MIN_KNOWN, MIN_JUDGED_WORDS = 0.75, 6
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 
@@ -39,8 +41,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if not model.labels:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     p = _prefix(docs, "_language_")
-    found = language_id.label(docs, model, docs.columns, prefix=p)
-    return found.where((F.col(f"{p}lang_pred") != language_id.UNKNOWN) & (F.col(f"{p}score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found = language_id.label(docs, model, docs.columns, prefix=p, known=True)
+    fits = (F.col(f"{p}known") >= MIN_KNOWN) | (F.col(f"{p}n_labelled") < MIN_JUDGED_WORDS)
+    return found.where((F.col(f"{p}lang_pred") != language_id.UNKNOWN) & fits).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

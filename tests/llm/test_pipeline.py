@@ -56,3 +56,21 @@ def test_run_equals_its_stages_one_by_one(spark, tmp_path):
         docs = spark.read.parquet(str(tmp_path / f"stage{k}"))
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, docs.select(*key).collect())) == sorted(map(tuple, P.run(spark, str(tmp_path)).select(*key).collect()))
+
+
+def test_texts_in_no_learned_language_are_dropped_whatever_the_number_of_labels(spark, tmp_path):
+    rnd = random.Random(7)
+    tongues = {
+        "en": "the of and water stone river morning winter house letter where they would never leave again because nothing else mattered".split(),
+        "de": "der und nicht wasser stein fluss morgen winterlich haus brief wohin sie niemals wieder gehen weil sonst nichts wichtig war".split(),
+        "fr": "le et dans eau pierre rivière matin hiver maison lettre où ils jamais partir encore parce que rien autre comptait".split(),
+        "es": "el y en agua piedra río mañana invierno casa carta donde ellos nunca salir otra vez porque nada más importaba".split()}
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto"
+    russian = "все люди рождаются свободными и равными в своём достоинстве и правах"
+    junk = " ".join("".join(rnd.choices("bcdfghjklmnpqrstvwxz", k=rnd.randint(4, 9))) for _ in range(30))
+    for labels in (["en"], ["en", "de"], ["de", "en", "es", "fr"]):
+        rows = [(k, " ".join(rnd.choices(tongues[labels[k % len(labels)]], k=60)), labels[k % len(labels)]) for k in range(48)]
+        switched = [(100 + k, " ".join(w for lang in rnd.sample(labels, len(labels)) for w in rnd.choices(tongues[lang], k=8)), None) for k in range(4)]
+        rows += switched + [(200, finnish, None), (201, russian, None), (202, junk, None)]
+        left = {r.doc_id for r in P.identify_language(spark, docs_of(spark, rows), str(tmp_path)).collect()}
+        assert left == {i for i, *_ in rows} - {200, 201, 202}, labels

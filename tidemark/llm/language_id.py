@@ -17,7 +17,7 @@ an empty result; only `doc_id`, `text` and (for training) `lang` are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +73,51 @@ def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: np
     return out, edges
 
 
+def threes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The 3-grams of words with their ends marked, as numbers of 24 bits, one word's after the other (a word of n bytes has n)."""
+    inner = data.astype(np.int32)
+    begin, end = np.zeros(len(data), dtype=bool), np.zeros(len(data), dtype=bool)
+    begin[starts], end[ends - 1] = True, True
+    at = np.repeat(starts, ends - starts) + ranges(ends - starts)
+    before = np.where(begin[at], 2, inner[np.maximum(at - 1, 0)])
+    after = np.where(end[at], 3, inner[np.minimum(at + 1, len(data) - 1)])
+    return before | inner[at] << 8 | after << 16
+
+
 @dataclass
 class LanguageModel:
     labels: list[str]
     model: Model
     lexicon_keys: np.ndarray
     lexicon_codes: np.ndarray
+    #: One bit for each 3-gram: whether the sample has it; and the share of one half's 3-grams that the other half has.
+    threes: np.ndarray = field(default_factory=lambda: np.zeros(1 << 21, np.uint8))
+    expected: float = 0.0
+
+    def known(self, part: Slice) -> np.ndarray:
+        """For each text the share of its words' 3-grams that the sample has, as a part of what is expected of a text in
+        the learned languages (1 at most; 1 where nothing was learned or the text has no words)."""
+        if not self.expected:
+            return np.ones(len(part))
+        data = _lower(part.data)
+        starts, ends, first = words(part, _INSIDE, data)
+        gram = threes(data, starts, ends)
+        met = np.concatenate([[0], np.cumsum(self.threes[gram >> 3] >> (gram & 7).astype(np.uint8) & 1, dtype=np.int64)])
+        at = np.concatenate([[0], np.cumsum(ends - starts)])[first]
+        n = np.diff(at)
+        return np.where(n > 0, np.minimum(np.diff(met[at]) / np.maximum(n, 1) / self.expected, 1), 1.0)
+
+    def learn_threes(self, texts: list[str]) -> None:
+        part = next(slices(pa.array(texts), limit=1 << 62))
+        data = _lower(part.data)
+        starts, ends, first = words(part, _INSIDE, data)
+        gram = threes(data, starts, ends)
+        held = np.zeros(1 << 24, dtype=bool)
+        half = int((ends - starts)[: first[len(texts) // 2]].sum())
+        held[gram[:half]] = True
+        self.expected = float(held[gram[half:]].mean()) if half < len(gram) else 0.0
+        held[gram] = True
+        self.threes = np.packbits(held, bitorder="little")
 
     def codes(self, kinds: np.ndarray) -> np.ndarray:
         if not len(self.lexicon_keys):
@@ -132,10 +171,13 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30) -
     labels = sorted(counts)
     known = {lang: k for k, lang in enumerate(labels)}
     model = LanguageModel(labels, Model(1 << BUCKET_BITS, max(1, len(labels))), np.zeros(0, U8), np.zeros(0, np.int64))
-    if len(labels) < 2 or not pairs:
+    if not pairs:
         return model
     order = np.random.default_rng(5).permutation(len(pairs))
     pairs = [pairs[i] for i in order]
+    model.learn_threes([text for _, text in pairs])
+    if len(labels) < 2:
+        return model
     part = next(slices(pa.array([text for _, text in pairs]), limit=1 << 62))
     starts, ends, first, kinds, kind, _, _ = model.words(part)
     gold = np.repeat([known[lang] for lang, _ in pairs], np.diff(first))
@@ -150,11 +192,13 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30) -
     return model
 
 
-def label(docs: DataFrame, model: LanguageModel, keep: list[str], prefix: str = "", spans: bool = False) -> DataFrame:
+def label(docs: DataFrame, model: LanguageModel, keep: list[str], prefix: str = "", spans: bool = False, known: bool = False) -> DataFrame:
     """`keep` of `docs`, and with `prefix`: lang_pred, score, n_labelled (words) and n_switches (changes of the best label
-    from word to word); with `spans` the runs of one language as (start, end, lang) in code points, end exclusive."""
+    from word to word); with `known` the share of known 3-grams (see `LanguageModel.known`); with `spans` the runs of one language as (start, end, lang) in code points, end exclusive."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     fields = f"`{prefix}lang_pred` string, `{prefix}score` double, `{prefix}n_labelled` long, `{prefix}n_switches` long"
+    if known:
+        fields += f", `{prefix}known` double"
     if spans:
         fields += f", `{prefix}lang_spans` array<struct<start:long,end:long,lang:string>>"
 
@@ -170,19 +214,21 @@ def label(docs: DataFrame, model: LanguageModel, keep: list[str], prefix: str =
         lettered = ascii_letters[part.off[1:]] > ascii_letters[part.off[:-1]]
         for i in np.flatnonzero(~lettered & (n > 0)):
             lettered[i] = any(c.isalpha() for c in part.text(i).decode())
-        known = lettered & bool(held.labels) & (n > 0)
-        pred = [held.labels[k] if ok else UNKNOWN for k, ok in zip(mean.argmax(axis=1), known)]
+        told = lettered & bool(held.labels) & (n > 0)
+        pred = [held.labels[k] if ok else UNKNOWN for k, ok in zip(mean.argmax(axis=1), told)]
         last = np.maximum(first[1:] - 1, first[:-1])
         switches = np.where(n > 0, change[np.minimum(last, len(change) - 1)] - change[np.minimum(first[:-1], len(change) - 1)], 0)
         made = [
-            pa.array(pred, pa.string()), pa.array(np.where(known, np.clip(mean.max(axis=1), 0, 1), 0.0), pa.float64()),
-            pa.array(np.where(known, n, 0), pa.int64()), pa.array(np.where(known, switches, 0), pa.int64())]
+            pa.array(pred, pa.string()), pa.array(np.where(told, np.clip(mean.max(axis=1), 0, 1), 0.0), pa.float64()),
+            pa.array(np.where(told, n, 0), pa.int64()), pa.array(np.where(told, switches, 0), pa.int64())]
+        if known:
+            made.append(pa.array(held.known(part), pa.float64()))
         if spans:
             point = np.concatenate([[0], np.cumsum((part.data & 0xC0) != 0x80)])
             rows = []
             for i in range(len(part)):
                 a, b = int(first[i]), int(first[i + 1])
-                if not known[i]:
+                if not told[i]:
                     rows.append([])
                     continue
                 cuts = [a, *(np.flatnonzero(np.diff(best[a:b])) + a + 1), b]
