@@ -5,10 +5,12 @@ import re
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import language_id, secrets
 from tidemark.llm.crf import Model, marginals, viterbi
+from tidemark.llm.texts import slices
 
 EN = "the of and to in that with for shall between which water mother house thinking thorough weather".split()
 DE = "der die und das nicht mit für zwischen welche wasser mutter haus denken gründlich wetter straße".split()
@@ -129,6 +131,37 @@ def test_the_field_adds_what_patterns_miss_and_leaves_prose(spark):
     assert [clean[k + 2] for k in range(30)] == plain and clean[32] is None
 
 
+def test_secrets_around_a_base_span_are_reported_and_redacted(spark, monkeypatch):
+    # The field tags the whole token, of which the base pattern knows the hex digits in the middle only.
+    token = "Zq7Xw9KxT" + "0123456789abcdef01" + "Qz8Lm2Tx"
+    text = f"see {token} there"
+    tags = [0, 1, 0]
+    monkeypatch.setattr(secrets, "emissions", lambda model, feature: None)
+    monkeypatch.setattr(secrets, "viterbi", lambda *_: np.array(tags))
+    part = next(slices(pa.array([text])))
+    at = text.index("0123")
+    own = secrets._spans_of(part, Model(1 << secrets.BUCKET_BITS, 3))
+    assert own == [[(4, at, "crf"), (at, at + 18, "hex"), (at + 18, 4 + len(token), "crf")]]
+    assert secrets.redacted(part, Model(1 << secrets.BUCKET_BITS, 3)) == ["see [SECRET] there"]
+    tags[:] = [0, 1]
+    assert secrets._spans_of(next(slices(pa.array(["see 0123456789abcdef01."]))), Model(1 << secrets.BUCKET_BITS, 3)) == [[(4, 22, "hex")]]
+
+
+def test_secrets_rarer_than_the_sample_are_learned_from(spark):
+    rnd = random.Random(4)
+    rows = [(k, " ".join(rnd.choices(["stone", "river", "water", "and"], k=20))) for k in range(3000)]
+    rows += [(5000 + k, f"set password={''.join(rnd.choices('abcXYZ0189', k=20))} here") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert secrets.fit(docs.where("doc_id < 5000"), sample_docs=2) is None
+    assert secrets.fit(docs, sample_docs=2) is not None
+
+
+def test_spans_that_meet_become_one_mark(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "_spans_of", lambda part, model: [[(0, 3, "crf"), (3, 5, "hex"), (5, 6, "crf"), (8, 9, "crf")]])
+    part = next(slices(pa.array(["abcdefghij"])))
+    assert secrets.redacted(part, None) == ["[SECRET]gh[SECRET]j"]
+
+
 def test_secrets_with_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "plain words only")], "doc_id long, text string")
     assert secrets.fit(docs) is None

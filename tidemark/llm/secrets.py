@@ -3,13 +3,14 @@
 Three base kinds are found by their patterns (fixed values below), leftmost and non-overlapping per kind. The field tags
 tokens (runs of letters, digits, `+ / _ . -` and other characters) as begin, inside or outside of a secret from the
 token's shape, its ends, the signs around it, the words before and after it, and the file's share of signs, digits and
-assignments; Viterbi decodes whole texts. Its spans are added as kind `crf` where they touch no base span; base spans
-always stay.
+assignments; Viterbi decodes whole texts. What its spans hold beside base spans is added as kind `crf` (pieces
+without a letter or digit are left out); base spans always stay.
 
-The field learns from the base spans of a bounded sample: about `SAMPLE_DOCS` texts by a hash of doc_id, of each the
+The field learns from the base spans of a bounded sample: about `SAMPLE_DOCS` texts by a hash of doc_id, and as many more
+with base spans as make about `BASE_DOCS` of these (all, where there are fewer), of each the
 surroundings of `NEAR` spans and `FAR` other runs of `RUN_TOKENS` tokens spread over the text.
 
-Defined results: a null or empty text has no spans; where nothing can be learned (no base span in the sample) only base
+Defined results: a null or empty text has no spans; where nothing can be learned (no base span in the table) only base
 spans are found; repeated rows repeat their result; an empty table gives an empty result; only `doc_id` and `text` are
 read.
 """
@@ -36,7 +37,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
-SAMPLE_DOCS, NEAR, FAR, RUN_TOKENS = 2000, 4, 1, 48
+SAMPLE_DOCS, BASE_DOCS, NEAR, FAR, RUN_TOKENS = 2000, 200, 4, 1, 48
 BUCKET_BITS = 16
 OUT, BEGIN, IN = 0, 1, 2
 FEATURES, EXACT = 13, [0, 1, 2, 7, 8, 10]
@@ -145,8 +146,18 @@ def _points(part: Slice, i: int) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
 
 
+def _with_base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The number of texts and of those with a base span, slice by slice."""
+    for batch in batches:
+        for part in slices(batch.column(0)):
+            held = sum(1 for i in np.flatnonzero(_worth_a_search(part)) if base_spans(part.text(i).decode()))
+            yield pa.RecordBatch.from_arrays([pa.array([len(part)], pa.int64()), pa.array([held], pa.int64())], names=["n", "base"])
+
+
 def _training_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of tokens of each text; of those marked in the second column only where they hold a base span."""
     for batch in batches:
+        extra = batch.column(1).to_pylist()
         for part in slices(batch.column(0)):
             starts, ends, first = words(part, _TOKEN)
             files, search = file_code(part), _worth_a_search(part)
@@ -155,10 +166,13 @@ def _training_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 a, b = int(first[i]), int(first[i + 1])
                 if a == b:
                     continue
+                spans = base_spans(part.text(i).decode()) if search[i] else []
+                if extra[part.lo + i] and not spans:
+                    continue
                 at = {int(x) for x in np.linspace(a, max(a, b - RUN_TOKENS), FAR)}
-                if search[i]:
+                if spans:
                     point = _points(part, i)
-                    for start, *_ in base_spans(part.text(i).decode())[:NEAR]:
+                    for start, *_ in spans[:NEAR]:
                         near = int(np.searchsorted(starts[a:b], part.off[i] + np.searchsorted(point, start, "right") - 1)) + a
                         at.add(max(a, near - RUN_TOKENS // 2))
                 for s in sorted(at):
@@ -181,13 +195,16 @@ def _gold(part: Slice, starts: np.ndarray, ends: np.ndarray, first: np.ndarray)
     return gold
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30) -> Model | None:
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30, base_docs: int = BASE_DOCS) -> Model | None:
     """The field learned from a bounded sample of `docs` (doc_id, text); None where it holds no base span."""
     rows = docs.where(F.col("text").isNotNull())
-    n = rows.count()
+    n, base = map_batches(rows.select("text"), _with_base, "n long, base long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("base"), F.lit(0))).first()
+    if not base:
+        return None
     share = min(1_000_000, 1_000_000 * sample_docs // max(n, 1) + 1)
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000)) < share)
-    taken = map_batches(sample.select("text"), _training_runs, "text string, file long").toArrow()
+    place = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1_000_000))
+    sample = rows.where(place < max(share, min(1_000_000, 1_000_000 * base_docs // base + 1)))
+    taken = map_batches(sample.select("text", (place >= share).alias("extra")), _training_runs, "text string, file long").toArrow()
     runs = sorted(zip(taken.column("text").to_pylist(), taken.column("file").to_pylist()))
     if not runs:
         return None
@@ -206,6 +223,17 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30) -> Mo
     return model
 
 
+def _beside(a: int, b: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What spans, ascending by start, leave of [a, b)."""
+    left = []
+    for x, y in spans:
+        if a < y and x < b:
+            if a < x:
+                left.append((a, x))
+            a = max(a, y)
+    return [*left, (a, b)] if a < b else left
+
+
 def _spans_of(part: Slice, model: Model | None) -> list[list[tuple[int, int, str]]]:
     found: list[list[tuple[int, int, str]]] = [[] for _ in range(len(part))]
     for i in np.flatnonzero(_worth_a_search(part)):
@@ -220,13 +248,18 @@ def _spans_of(part: Slice, model: Model | None) -> list[list[tuple[int, int, str
     text_of = np.searchsorted(first, heads, "right") - 1
     for i in np.unique(text_of):
         point = _points(part, i)
+        base, rest = [(x, y) for x, y, _ in found[i]], []
         for h in heads[text_of == i]:
             last = h
             while last + 1 < first[i + 1] and tags[last + 1] == IN:
                 last += 1
             a, b = int(point[starts[h] - part.off[i]]), int(point[ends[last] - part.off[i]])
-            if not any(a < y and x < b for x, y, kind in found[i] if kind != "crf"):
-                found[i].append((a, b, "crf"))
+            pieces = _beside(a, b, base)
+            if pieces != [(a, b)]:
+                own = part.text(i).decode()
+                pieces = [(x, y) for x, y in pieces if any(c.isalnum() for c in own[x:y])]
+            rest += [(x, y, "crf") for x, y in pieces]
+        found[i] += rest
         found[i].sort(key=lambda s: (s[0], [*KINDS, "crf"].index(s[2])))
     return found
 
@@ -245,24 +278,28 @@ def scan(docs: DataFrame, model: Model | None, keep: list[str], name: str = "sec
     return annotate(docs, keep, T.StructType([T.StructField(name, T._parse_datatype_string(SPANS))]), run)
 
 
+def redacted(part: Slice, model: Model | None, mark: str = "[SECRET]") -> list[str]:
+    out = []
+    for i, own in enumerate(_spans_of(part, model)):
+        text = part.text(i).decode()
+        if own:
+            pieces, at = [], 0
+            for a, b, _ in own:
+                if not pieces or a > at:
+                    pieces += [text[at:a], mark]
+                at = max(at, b)
+            text = "".join([*pieces, text[at:]])
+        out.append(text)
+    return out
+
+
 def redact(docs: DataFrame, model: Model | None, mark: str = "[SECRET]") -> DataFrame:
     """`docs` with every span of `text` replaced by `mark` (spans that meet become one); null texts stay null."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     clean = fresh("_clean", docs.columns)
 
     def run(part: Slice) -> list[pa.Array]:
-        out = []
-        for i, own in enumerate(_spans_of(part, sent.value)):
-            text = part.text(i).decode()
-            if own:
-                pieces, at = [], 0
-                for a, b, _ in own:
-                    if a >= at:
-                        pieces += [text[at:a], mark]
-                    at = max(at, b)
-                text = "".join([*pieces, text[at:]])
-            out.append(text)
-        return [pa.array(out, pa.string())]
+        return [pa.array(redacted(part, sent.value, mark), pa.string())]
 
     found = annotate(docs, docs.columns, T.StructType([T.StructField(clean, T.StringType())]), run)
     return found.withColumn("text", F.when(F.col("text").isNotNull(), F.col(clean))).select(*docs.columns)
