@@ -1,13 +1,16 @@
 """Files end to end: what each shape of file does, and what a second delivery changes."""
 
 import json
+from hashlib import sha256
 
 import pytest
 from helpers import ORDERS, REFUNDS, SPEND, Delivery, config, entry
+from pyspark.sql import functions as F
 
 from tidemark.operators import staging
 from tidemark.plans.load import load
 from tidemark.plans.store import Store
+from tidemark.sources.lines import MISSING, hash_files
 from tidemark.sources.manifest import read_manifest
 from tidemark.sources.tenants import control_of, read_tenants, scan_tenants
 
@@ -223,3 +226,13 @@ def test_every_problem_is_counted(spark, tmp_path):
     d.listed(*[entry("quay", "orders", n, "2031-05-02", "2031-05-01") for n in range(1, 104)])
     with pytest.raises(ValueError, match="and 3 more, all in "):
         read_manifest(spark, d.manifest)
+
+
+def test_files_are_hashed_by_many_tasks(spark, tmp_path):
+    for k in range(60):
+        (tmp_path / f"f{k}").write_bytes(b"x" * k)
+    files = spark.createDataFrame([(f"{tmp_path}/f{k}",) for k in range(60)] * 2 + [(f"{tmp_path}/none",)], "file string")
+    rows = hash_files(files).withColumn("task", F.spark_partition_id()).collect()
+    assert {r.file: (r.bytes, r.sha256) for r in rows if r.error is None} == {f"{tmp_path}/f{k}": (k, sha256(b"x" * k).hexdigest()) for k in range(60)}
+    assert len(rows) == 61 and [r.error for r in rows if r.error] == [MISSING]
+    assert len({r.task for r in rows}) > 4

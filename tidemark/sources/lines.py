@@ -63,7 +63,9 @@ def hash_files(files: DataFrame) -> DataFrame:
     A file that cannot be read has an error (MISSING if there is none) and takes no other file with it.
     """
     ship(files.sparkSession)
-    names = files.select("file").distinct()
+    # A number of partitions of its own, which AQE does not merge: names are few bytes, what they name is not.
+    parts = 4 * files.sparkSession.sparkContext.defaultParallelism
+    names = files.select("file").repartition(parts, "file").distinct()
     return names.mapInArrow(_hash, "file string, bytes bigint, sha256 string, error string")
 
 
