@@ -240,3 +240,12 @@ def test_long_texts_and_hot_groups(spark):
     gone = {r.doc_id: r.n_removed for r in dedup_substrings(table(spark, rows)).collect()}
     assert gone[1] == 30_000 and gone[0] == 0
     assert table(spark, rows).select(F.max("doc_id")).first()[0] == 299
+
+
+def test_rows_without_an_id_link_others(spark):
+    words = [f"v{k}" for k in range(60)]
+    a, bridge, b = (" ".join(words[: 50 - 3 * k]) for k in range(3))
+    rows = [(1, a), (None, bridge), (None, bridge), (2, b), (3, "on its own here now"), (None, "without an id and alone")]
+    found = sorted((r.component_id is None, r.component_id or 0, r.doc_id or 0) for r in jaccard_components(table(spark, rows), n=3, percent=93).collect())
+    # 48 and 45 shingles, 45 and 42: 93 percent; 48 and 42: less.
+    assert found == [(False, 1, 0), (False, 1, 0), (False, 1, 1), (False, 1, 2), (False, 3, 3), (True, 0, 0)]

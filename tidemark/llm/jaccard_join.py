@@ -265,7 +265,10 @@ def open_groups(docs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, pe
     if wanted.isEmpty():
         return wanted.select(F.col("node").alias("a"), F.col("node").alias("b"))
     made = annotate(docs, ["doc_id"], T.StructType.fromDDL("one long, two long, tokens array<long>"), make, among=wanted.select("doc_id"))
-    full = made.join(wanted, ["one", "two", "doc_id"]).select("g", "node", "asks", "tokens")
+    # A class of rows without a doc_id is met by them.
+    asked = wanted.select("g", "node", "asks", F.col("one").alias("_one"), F.col("two").alias("_two"), F.col("doc_id").alias("_id"))
+    same = (F.col("one") == F.col("_one")) & (F.col("two") == F.col("_two")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    full = made.join(asked, same).select("g", "node", "asks", "tokens")
     return map_batches(full.repartition("g").sortWithinPartitions("g", "node"), _links(percent), "a long, b long")
 
 
