@@ -10,8 +10,9 @@ from tidemark.llm import language_id, secrets
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.license_scan import scan_licenses
-from tidemark.llm.order_minhash import order_minhash
+from tidemark.llm.order_minhash import let, order_minhash
 from tidemark.llm.packing import pack
+from tidemark.llm.periodic_runs import periodic_runs
 from tidemark.llm.substring_dedup import dedup_substrings
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.llm.url_filter import judge, seed_urls
@@ -96,6 +97,36 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, the end of every tenth text made periodic: with h the crc32 of doc_id, words from g % n on repeat
+    the first 1 + (n - g % n) div (3 + g % 8) of them, where h % 10 = 0 and g = h div 10."""
+    white = " \t\n\x0b\f\r"
+    g = F.expr("crc32(cast(doc_id as string)) div 10")
+
+    def again(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        place = F.sequence(F.lit(0), F.size(words) - 1)
+        return F.array_join(F.transform(place, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p))), " ")
+
+    periodic = F.when(F.length(F.btrim("text", F.lit(white))) > 0, let(F.split(F.btrim("text", F.lit(white)), "[\x20\x09-\x0d]+"), again))
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    return docs.select("doc_id", F.when(chosen, periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periods(table(spark, sf_dir, "documents")), ["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    # The greatest length, then the smallest start, then the smallest period: the greatest of negated numbers.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_license_scan": op2_license_scan,
@@ -107,6 +138,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -156,5 +188,33 @@ named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY i
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+""",
+    # crc32 is written out as a fold over the bits of doc_id's digits: a number xors a byte in, -1 shifts by one bit.
+    "op13_periodic_runs": """
+WITH c AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(CAST(string_split(CAST(doc_id AS VARCHAR), '') AS VARCHAR[]),
+      lambda d: [CAST(ascii(d) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x // 2, 3988292384 * (x % 2)) END)) AS h
+  FROM documents),
+a AS (SELECT doc_id, w, h, h // 10 AS g, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM c),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+d AS MATERIALIZED (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+  FROM p),
+t AS MATERIALIZED (SELECT doc_id, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM d WHERE n >= 6),
+e AS (SELECT x.doc_id, y.i - x.i AS p, x.i FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, p, min(i) AS start, count(*) + p AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM e) GROUP BY doc_id, p, island),
+r AS MATERIALIZED (SELECT doc_id, start, length, min(p) AS period FROM s WHERE length >= 6 AND length >= 4 * p GROUP BY ALL),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (
+  SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) AS text FROM t SEMI JOIN r ON t.doc_id = r.doc_id
+  ANTI JOIN dropped ON t.doc_id = dropped.doc_id AND t.i = dropped.i GROUP BY 1),
+best AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+every AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+  CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+  sha256(CASE WHEN kept.doc_id IS NULL THEN array_to_string(d.w, ' ') ELSE kept.text END) AS collapsed_sha256
+FROM d LEFT JOIN every USING (doc_id) LEFT JOIN best ON best.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
 """,
 }

@@ -205,10 +205,10 @@ class Marks:
     def place(key: Column | str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)).alias("_bit")
 
-    def marked(self, batch: pa.RecordBatch) -> pa.RecordBatch:
-        """The marked rows of a batch whose last column is the place."""
+    def marked(self, batch: pa.RecordBatch, others: bool = False) -> pa.RecordBatch:
+        """The marked rows of a batch whose last column is the place, or the others."""
         bit = batch.column(batch.num_columns - 1).to_numpy()
-        return batch.filter(pa.array(((self.sent.value[bit // 64] >> (bit % 64)) & 1).astype(bool)))
+        return batch.filter(pa.array(((self.sent.value[bit // 64] >> (bit % 64)) & 1).astype(bool) != others))
 
 
 def id_marks(ids: DataFrame) -> Marks:
