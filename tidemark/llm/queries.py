@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language_id, secrets
+from tidemark.llm import language_id, secrets, whitening
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.license_scan import scan_licenses
@@ -97,6 +97,16 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    rows = whitening.whiten(vectors, model, ["vec_id"])
+    rows = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return rows.select(
+        "vec_id", (F.col("place") + 1).cast("int").alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(whitening.explained(model), F.col("place")).alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
 def with_periods(docs: DataFrame) -> DataFrame:
     """doc_id and text, the end of every tenth text made periodic: with h the crc32 of doc_id, words from g % n on repeat
     the first 1 + (n - g % n) div (3 + g % 8) of them, where h % 10 = 0 and g = h div 10."""
@@ -138,6 +148,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
