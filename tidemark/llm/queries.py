@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language_id, secrets, whitening
+from tidemark.llm import language_id, quality_rules, secrets, whitening
 from tidemark.llm.decontamination import decontaminate
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.license_scan import scan_licenses
@@ -97,6 +97,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = quality_rules.learn(docs, table(spark, sf_dir, "labels"))
+    found = quality_rules.judge_quality(docs, rules, ["doc_id"])
+    return found.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept", "rule")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     model = whitening.fit(vectors)
@@ -148,6 +155,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_quality_rules": op11_quality_rules,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
