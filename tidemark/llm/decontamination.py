@@ -8,25 +8,27 @@ original text.
 
 Defined results: a null or empty text, or one without words, has no words and no hits and is not contaminated; rows
 are judged one by one, so repeated rows repeat their result; a null or wordless item has no window; an item id given
-twice counts once; an empty table gives an empty result, an empty benchmark no hits. Only `id_col` and `text_col`
+twice counts once; an item without an id has windows that hit and is not counted among the items; a very long text is scanned
+whole, in one task; an empty table gives an empty result, an empty benchmark no hits. Only `id_col` and `text_col`
 are read, so other columns never clash.
 """
 
 from __future__ import annotations
 
-import uuid
-from functools import lru_cache
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.texts import Slice, annotate, byte_class, lists, map_batches, words
+from tidemark.llm.texts import Slice, annotate, byte_class, kept, lists, map_batches, slices, words
+from tidemark.session import cut
 
 WINDOW = 13
-#: Bytes of benchmark text that one automaton may hold; a larger benchmark is scanned for in several narrow passes.
-SHARD_BYTES = 32 << 20
+#: Bytes of windows and item ids that one automaton may hold (it takes some fifty times as many); a larger benchmark is scanned
+#: for in several narrow passes.
+SHARD_BYTES = 4 << 20
 
 _WORD = byte_class([(0x00, 0x2F), (0x3A, 0x40), (0x41, 0x5A), (0x5B, 0x60), (0x7B, 0x7F)], inverted=True)
 _WORD[65:91] = True
@@ -42,52 +44,51 @@ def windows(text: str, size: int = WINDOW) -> set[bytes]:
     return {b" ".join(found[i : i + size]) for i in range(max(1, len(found) - size + 1))} if found else set()
 
 
-def _shards(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> list[list[tuple[str, str]]]:
-    """The items in groups of bounded size, each small enough for one automaton. Only one group is held at a time
-    beside what has been sent out, and the number of groups is that of the benchmark's megabytes."""
-    rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col)).where(F.col(text_col).isNotNull())
-    groups: list[list[tuple[str, str]]] = [[]]
-    size = 0
-    for item, text in rows.toLocalIterator():
-        if size and size + len(text) > limit:
-            groups.append([])
-            size = 0
-        groups[-1].append((item, text))
-        size += len(text)
-    return groups
-
-
-@lru_cache(maxsize=2)
-def _automaton(key: str, held) -> ahocorasick.Automaton:
-    """Built once per worker process."""
-    made = ahocorasick.Automaton()
-    for number, (words_of, pattern, _) in enumerate(held.value):
-        made.add_word(" " + pattern.decode("latin-1") + " ", (words_of, number))
-    made.make_automaton()
-    return made
+def window_table(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
+    """(window, items, hash): every distinct window of the benchmark and the sorted ids of the items that have it."""
+    rows = benchmark.select(benchmark[text_col].alias("text"), benchmark[item_col].cast("string").alias("item")).where("text is not null")
 
+    def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = batch.column(1).to_pylist()
+            for part in slices(batch.column(0)):
+                for i in range(len(part)):
+                    found = list(windows(part.text(i).decode(), window))
+                    yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([items[part.lo + i]] * len(found), pa.string())], names=["window", "item"])
 
-class _Held:
-    """Hashable wrapper of a broadcast, compared by key."""
+    found = map_batches(rows, cut_windows, "window binary, item string")
+    # An item without an id takes part in hits and is named by nothing.
+    found = found.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return cut(found.withColumn("hash", F.xxhash64("window")), "windows")
 
-    def __init__(self, broadcast):
-        self.broadcast = broadcast
 
-    @property
-    def value(self):
-        return self.broadcast.value
+def _shards(benchmark: DataFrame, item_col: str, text_col: str, window: int, limit: int) -> tuple[int, Iterator[list[tuple[int, bytes, list[str]]]]]:
+    """The windows (words, bytes, items) in a number of shares of about `limit` bytes, dealt by hash; the driver holds one at a time."""
+    table = window_table(benchmark, item_col, text_col, window)
+    size = F.length("window") + F.aggregate("items", F.lit(0).cast("long"), lambda n, item: n + F.length(item))
+    total = table.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    number = max(1, -(-total // limit))
 
-    def __hash__(self):
-        return 0
+    def share(k: int) -> list[tuple[int, bytes, list[str]]]:
+        rows = table.where(F.pmod("hash", F.lit(number)) == k).select("window", "items").toArrow()
+        found = zip(rows.column("window").to_pylist(), rows.column("items").to_pylist())
+        return [(bytes(w).count(b" ") + 1, bytes(w), items) for w, items in sorted(found)]
 
-    def __eq__(self, other):
-        return isinstance(other, _Held)
+    return number, map(share, range(number))
 
 
-def _scan(key: str, held: _Held):
+def _automaton(patterns: list[tuple[int, bytes, list[str]]]) -> ahocorasick.Automaton:
+    made = ahocorasick.Automaton()
+    for number, (words_of, pattern, _) in enumerate(patterns):
+        made.add_word(" " + pattern.decode("latin-1") + " ", (words_of, number))
+    made.make_automaton()
+    return made
+
+
+def _scan(sent):
     def scan(part: Slice) -> list[pa.Array]:
-        patterns = held.value
-        find = _automaton(key, held) if patterns else None
+        patterns = sent.value
+        find = kept("automaton", lambda: _automaton(patterns)) if patterns else None
         n_words, hit_counts, hit_words, item_counts, items = [], [], [], [], []
         for i in range(len(part)):
             text = normal(part.text(i))
@@ -139,20 +140,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str], prefix
     """`keep` of `docs`, and with `prefix`: n_words, n_hit, n_items, items (sorted), contaminated, and with `spans`
     the hit passages as (start, end) code points of the text."""
     sc = docs.sparkSession.sparkContext
-    groups = _shards(benchmark, id_col, text_col, shard_bytes)
     hits = T.StructType.fromDDL(f"`{prefix}n_words` long, `{prefix}hits` array<long>, `{prefix}items` array<string>")
     done = docs
-    for k, group in enumerate(groups):
-        by_window: dict[bytes, set[str]] = {}
-        for item, text in group:
-            for w in windows(text, window):
-                by_window.setdefault(w, set()).add(item)
-        held = _Held(sc.broadcast([(w.count(b" ") + 1, w, sorted(i)) for w, i in sorted(by_window.items())]))
+    number, shares = _shards(benchmark, id_col, text_col, window, shard_bytes)
+    for k, share in enumerate(shares):
+        scan = _scan(sc.broadcast(share))
         if k == 0:
-            done = annotate(done, [*dict.fromkeys([*keep, "text"])] if spans or len(groups) > 1 else keep, hits, _scan(uuid.uuid4().hex, held))
+            done = annotate(done, [*dict.fromkeys([*keep, "text"])] if spans or number > 1 else keep, hits, scan)
             continue
+        done = cut(done, "scanned")  # one automaton at a time in a task
         again = T.StructType.fromDDL(f"`{prefix}more_n` long, `{prefix}more_hits` array<long>, `{prefix}more_items` array<string>")
-        done = annotate(done, done.columns, again, _scan(uuid.uuid4().hex, held))
+        done = annotate(done, done.columns, again, scan)
         done = done.withColumns({
             f"{prefix}hits": F.array_union(f"{prefix}hits", f"{prefix}more_hits"), f"{prefix}items": F.array_union(f"{prefix}items", f"{prefix}more_items"),
         }).drop(f"{prefix}more_n", f"{prefix}more_hits", f"{prefix}more_items")
@@ -171,8 +169,6 @@ def with_spans(found: DataFrame, keep: list[str], hits: str, name: str) -> DataF
     schema = T.StructType([*[found.schema[c] for c in keep], T.StructField(name, T._parse_datatype_string("array<struct<start:long,end:long>>"))])
 
     def run(batches):
-        from tidemark.llm.texts import slices
-
         for batch in batches:
             for part in slices(batch.column(0)):
                 own = batch.slice(part.lo, len(part))

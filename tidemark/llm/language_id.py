@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.crf import Model, marginals
-from tidemark.llm.texts import U8, Slice, annotate, byte_class, map_batches, mix, ranges, run_hashes, slices, words
+from tidemark.llm.texts import NARROW_BYTES, U8, Slice, annotate, byte_class, map_batches, mix, ranges, run_hashes, slices, words
 
 SAMPLE_DOCS, SEGMENTS, SEGMENT_WORDS = 300, 4, 40
 BUCKET_BITS = 17
@@ -237,4 +237,4 @@ def label(docs: DataFrame, model: LanguageModel, keep: list[str], prefix: str =
             made.append(pa.array(rows, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))))
         return made
 
-    return annotate(docs, keep, T.StructType.fromDDL(fields), run)
+    return annotate(docs, keep, T.StructType.fromDDL(fields), run, limit=NARROW_BYTES)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.crf import Model, viterbi
 from tidemark.llm.texts import (
-    ASCII_LOWER, U8, Slice, annotate, byte_class, fresh, map_batches, mix, run_hashes, slices, words)
+    NARROW_BYTES, ASCII_LOWER, U8, Slice, annotate, byte_class, fresh, map_batches, mix, run_hashes, slices, words)
 
 # The kinds in their order, their patterns and least lengths (of group 2, or of the match).
 KINDS = ["assign", "access", "hex"]
@@ -90,7 +90,7 @@ def file_code(part: Slice) -> np.ndarray:
 
 
 def _bucket(h: np.ndarray, salt: int) -> np.ndarray:
-    return (mix(h.astype(U8) * U8(0x9E3779B97F4A7C15) + U8(salt)) >> U8(64 - BUCKET_BITS)).astype(np.int64)
+    return (mix(h.astype(U8) * U8(0x9E3779B97F4A7C15) + U8(salt)) >> U8(64 - BUCKET_BITS)).astype(np.uint16)
 
 
 def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -127,7 +127,7 @@ def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarr
     mixture = ((shape[:, None] >> np.array([8, 6, 4])) % 4 > 0) @ np.array([1, 2, 4]) * 4 + np.minimum(turns // 2, 3)
     coarse = mixture * 8 + np.digitize(n, [4, 8, 12, 16, 32])
     columns = [s, s * U8(16) + turns.astype(U8), lower, before, after, left, last_sign, head, tail * U8(8) + np.minimum(n, 7).astype(U8), mix(before ^ coarse.astype(U8)), files[own].astype(U8) * U8(1 << 20) + s, mixture, coarse]
-    out = np.empty((len(starts), FEATURES), dtype=np.int64)
+    out = np.empty((len(starts), FEATURES), dtype=np.uint16)  # BUCKET_BITS
     for k, column in enumerate(columns):
         out[:, k] = _bucket(np.asarray(column).astype(U8), k + 1)
     return starts, ends, first, out
@@ -275,7 +275,7 @@ def scan(docs: DataFrame, model: Model | None, keep: list[str], name: str = "sec
         rows = [[{"kind": k, "start": a, "end": b} for a, b, k in own] for own in _spans_of(part, sent.value)]
         return [pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))]
 
-    return annotate(docs, keep, T.StructType([T.StructField(name, T._parse_datatype_string(SPANS))]), run)
+    return annotate(docs, keep, T.StructType([T.StructField(name, T._parse_datatype_string(SPANS))]), run, limit=NARROW_BYTES)
 
 
 def redacted(part: Slice, model: Model | None, mark: str = "[SECRET]") -> list[str]:
@@ -301,7 +301,7 @@ def redact(docs: DataFrame, model: Model | None, mark: str = "[SECRET]") -> Data
     def run(part: Slice) -> list[pa.Array]:
         return [pa.array(redacted(part, sent.value, mark), pa.string())]
 
-    found = annotate(docs, docs.columns, T.StructType([T.StructField(clean, T.StringType())]), run)
+    found = annotate(docs, docs.columns, T.StructType([T.StructField(clean, T.StringType())]), run, limit=NARROW_BYTES)
     return found.withColumn("text", F.when(F.col("text").isNotNull(), F.col(clean))).select(*docs.columns)
 
 

@@ -6,7 +6,11 @@ task holds does not grow with its partition; one text is never split here and bo
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import uuid
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +21,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidemark.session import ship
 
 SLICE_BYTES = 2 << 20
+#: For work that makes many numbers of each word.
+NARROW_BYTES = 512 << 10
 
 U8 = np.uint64
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=U8)
@@ -167,8 +173,9 @@ def fresh(name: str, taken: list[str]) -> str:
 
 
 def annotate(docs: DataFrame, keep: list[str], fields: T.StructType, fn: Callable[[Slice], list[pa.Array]], text: str = "text",
-             among: DataFrame | None = None) -> DataFrame:
-    """The columns `keep` of `docs`, row by row, and the columns `fields` that `fn` makes of each slice of texts.
+             among: DataFrame | None = None, limit: int = SLICE_BYTES) -> DataFrame:
+    """The columns `keep` of `docs`, row by row, and the columns `fields` that `fn` makes of each slice of texts (of about
+    `limit` bytes).
 
     Rows are not shuffled. `fields` must have names of their own (see `fresh`). among: a frame of one id column; only rows
     whose value of that column may be in it are looked at (see `id_marks`; a join must decide)."""
@@ -181,7 +188,7 @@ def annotate(docs: DataFrame, keep: list[str], fields: T.StructType, fn: Callabl
         for batch in batches:
             if marks is not None:
                 batch = marks.marked(batch)
-            for part in slices(batch.column(0)):
+            for part in slices(batch.column(0), limit):
                 new = fn(part)
                 new = [a if a.type == f.type else a.cast(f.type) for a, f in zip(new, made, strict=True)]
                 old = [c.slice(part.lo, len(part)) for c in batch.columns[1 : len(keep) + 1]]
@@ -233,12 +240,44 @@ def id_filter(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return map_batches(rows.select("*", Marks.place(ids.columns[0])), run, rows.schema)
 
 
+#: What this worker process keeps between tasks of one stage, and the stage's name.
+_kept: dict[str, Any] = {}
+_stage: list[str] = [""]
+
+
+def kept(name: str, make: Callable[[], Any]) -> Any:
+    """What `make` gives, made once a worker process and stage: a worker outlives its stage, and whatever it keeps is taken from
+    the next one's memory."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def _enter(stage: str) -> None:
+    if _stage[0] != stage:
+        _kept.clear()
+        _stage[0] = stage
+        give_back()
+
+
+def give_back() -> None:
+    """Return what Arrow and the C library hold without use to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no glibc
+        pass
+
+
 def map_batches(rows: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
-    """mapInArrow with this package at hand in the workers."""
+    """mapInArrow with this package at hand in the workers, which give back after a task what they do not keep."""
     ship(rows.sparkSession)
+    stage = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _enter(stage)
         yield from fn(batches)
-        pa.default_memory_pool().release_unused()  # workers outlive their task
+        give_back()
 
     return rows.mapInArrow(run, schema)

@@ -8,11 +8,10 @@ go to the library. Texts with rarer white space (or the special token's string)
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 
 import numpy as np
 
-from tidemark.llm.texts import U8, Slice, byte_class, ranges, run_hashes
+from tidemark.llm.texts import U8, Slice, byte_class, kept, ranges, run_hashes
 
 #: Distinct pieces a worker keeps, about 45 bytes each; at the bound it starts anew. Workers outlive a stage, and what they
 #: keep is taken from the next one's memory.
@@ -152,7 +151,6 @@ class Encoder:
         return ids, np.diff(by_text)
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One a worker process."""
-    return Encoder(path)
+    """One a worker process and stage."""
+    return kept(f"encoder {path}", lambda: Encoder(path))
