@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import decontaminate
+from tidemark.llm import jaccard_join
 from tidemark.llm.jaccard_join import histogram, jaccard_components, overlap_bound
 from tidemark.llm.license_scan import TEMPLATES, scan_licenses
 from tidemark.llm.substring_dedup import dedup_substrings, levels
@@ -64,6 +65,57 @@ def test_components_match_all_pairs(spark, n, percent):
     assert got == want
 
 
+def brute_components(rows, n, percent):
+    sets = [(i, shingles(t, n)) for i, t in rows]
+    low = list(range(len(sets)))
+
+    def find(k):
+        while low[k] != k:
+            k = low[k]
+        return k
+
+    for a, b in combinations(range(len(sets)), 2):
+        if sets[a][1] and 100 * len(sets[a][1] & sets[b][1]) >= percent * len(sets[a][1] | sets[b][1]):
+            x, y = find(a), find(b)
+            low[max(x, y)] = min(x, y)
+    ids = {}
+    for k in range(len(sets)):
+        ids[find(k)] = min(ids.get(find(k), 1 << 60), sets[k][0])
+    return sorted((sets[k][0], len(sets[k][1]), ids[find(k)]) for k in range(len(sets)))
+
+
+@pytest.mark.parametrize("percent,hot", [(90, 1), (80, 0), (50, 1)])
+def test_hot_tokens_told_apart_by_the_next_ones_lose_no_link(spark, monkeypatch, percent, hot):
+    monkeypatch.setattr(jaccard_join, "HOT_COMPONENTS", hot)
+    rnd = random.Random(percent)
+    texts = [" ".join(rnd.choices("abcdefg", k=rnd.randrange(1, 40))) for _ in range(220)]
+    for _ in range(80):
+        own = rnd.choice(texts).split()
+        own.insert(rnd.randrange(len(own) + 1), rnd.choice("abcdefg"))
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    rnd.shuffle(rows)
+    assert sorted(tuple(r) for r in jaccard_components(table(spark, rows), 3, percent).collect()) == brute_components(rows, 3, percent)
+
+
+def test_sizes_that_cannot_link_make_no_candidates(spark, monkeypatch):
+    """20,000 texts of seven words from seven, and one token that all of 3,000 longer texts hold among their first."""
+    held = {}
+
+    def counted(df, name, real=jaccard_join.cut):
+        held[name] = real(df, name)
+        return held[name]
+
+    monkeypatch.setattr(jaccard_join, "cut", counted)
+    rnd = random.Random(4)
+    rows = [(i, " ".join(rnd.choices("abcdefg", k=7))) for i in range(20_000)]
+    found = jaccard_components(table(spark, rows), 3, 90)
+    assert found.count() == 20_000 and held["blocks"].count() == 0 and held["asked"].count() == 0
+    rows = [(i, " ".join(rnd.choices("abcdefg", k=21))) for i in range(3000)]
+    jaccard_components(table(spark, rows), 3, 90).count()
+    assert held["asked"].count() < 10 * len(rows)
+
+
 def test_components_of_an_empty_table(spark):
     assert jaccard_components(table(spark, []), 3, 90).count() == 0
 

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.graph import components
 from tidemark.llm.texts import (
@@ -43,6 +43,8 @@ CHUNK = 1 << 14
 _SHIFT = U8(64 - BUCKET_BITS)
 #: Bounds of what one opened group holds: tokens and classes.
 GROUP_TOKENS, GROUP_CLASSES = 200_000, 512
+#: A token of more components than this is told apart by the next tokens of its classes, FINER times at most.
+HOT_COMPONENTS, FINER = 32, 2
 #: Tokens of whole groups that are solved at once.
 SOLVED_TOKENS = 500_000
 
@@ -141,7 +143,7 @@ def _least(percent: int, n: np.ndarray) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
-    """doc_id, size, signature and histogram of the set, and its prefix in the common order."""
+    """doc_id, size, signature and histogram of the set, and its prefix in the common order with FINER tokens more."""
 
     def make(part: Slice) -> list[pa.Array]:
         weight = counts.value
@@ -153,7 +155,7 @@ def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
             one.append(a)
             two.append(b)
             if len(s):
-                keep = len(s) - _least(percent, len(s)) + 1
+                keep = len(s) - _least(percent, len(s)) + 1 + FINER
                 prefixes.append(s[np.lexsort((s, weight[(s >> _SHIFT).astype(np.int64)]))[:keep]])
             else:
                 prefixes.append(s)
@@ -165,6 +167,52 @@ def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
     return annotate(docs.select("doc_id", "text"), ["doc_id"], fields, make)
 
 
+def could_link(n: Column, m: Column, percent: int) -> Column:
+    """Whether two different sets of these sizes can be similar enough: at most the smaller one is shared, and of equal ones all
+    but a token."""
+    low, high, equal = F.least(n, m), F.greatest(n, m), (n == m).cast("int")
+    return 100 * (low - equal) >= percent * (high + equal)
+
+
+def _slack(percent: int) -> Column:
+    """Tokens that a set of n may have beyond what any similar one shares."""
+    return F.expr(f"cast(n - (n * {percent} + 99) div 100 as int)")
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Rows whose token is in two components or more."""
+    mixed = placed.groupBy("_k.token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select(F.struct("token").alias("_k"))
+    return placed.join(mixed, "_k", "left_semi")
+
+
+def finer(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """`placed` (_k, node, n, pos, ...) with tokens of many components replaced by the first two, then three, shared ones.
+
+    Two similar sets that share a key's tokens first share another one among the next few: where the key's last token is at place
+    `last` and it holds `depth` tokens, at slack + depth at the latest. So a hot token, whose classes would meet all its
+    groups, becomes keys that few share, and rows grow with the slack, not with the token's classes. Sets so small that fewer
+    tokens make them similar keep the coarse key beside the finer ones."""
+    done, rest = None, placed.withColumn("last", F.col("pos"))
+    for depth in range(1, FINER + 1):
+        hot = rest.groupBy("_k.token").agg(F.approx_count_distinct("component", 0.1).alias("c")).where(F.col("c") > HOT_COMPONENTS)
+        hot = cut(hot.select(F.struct("token").alias("_k")), "hot")
+        if hot.isEmpty():
+            break
+        small = rest.join(hot, "_k", "left_semi").where(F.expr(f"(n * {percent} + 99) div 100 <= {depth}"))
+        kept = rest.join(hot, "_k", "left_anti").union(small)
+        done = kept if done is None else done.union(kept)
+        more = rest.join(hot, "_k", "left_semi").join(classes.select("node", "prefix"), "node")
+        after = F.slice("prefix", F.col("last") + 2, F.greatest(_slack(percent) + depth - F.col("last"), F.lit(0)))
+        more = more.select(*rest.columns, F.posexplode(after).alias("_i", "_next"))
+        place = F.col("last") + 1 + F.col("_i")
+        more = more.select(*[
+            {"_k": F.struct(F.xxhash64("_k.token", "_next").alias("token")).alias("_k"), "pos": (place - depth).alias("pos"), "last": place.alias("last")}.get(c, F.col(c))
+            for c in rest.columns])
+        rest = cut(_mixed(more), "finer")
+    found = rest if done is None else done.union(rest)
+    return found.drop("last")
+
+
 def _links(percent: int):
     """Links inside groups: rows (g, node, asks, tokens) sorted by g and node; every row with asks is held against the others.
     A class that is linked to others gives one row: itself and the smallest class that its group's links reach."""
@@ -292,12 +340,14 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     classes = sets.where("n > 0").groupBy("one", "two", "n").agg(F.min("doc_id").alias("doc_id"), F.first("hist").alias("hist"), F.first("prefix").alias("prefix"))
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    tokens = classes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
+    # A set that no other size fits has no partner.
+    some = classes.where(100 * F.col("n") >= percent * (F.col("n") + 1))
+    tokens = some.select("node", "n", F.posexplode(F.slice("prefix", F.lit(1), _slack(percent) + 1)).alias("pos", "token"))
     shared = tokens.groupBy("token").agg(
         F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(F.col("n") - F.col("pos")).alias("reach"))
     # Where just two classes share a token, their sizes and places already say whether it can link them.
-    can = (100 * F.col("lo") >= percent * F.col("hi")) & (F.col("reach") * (100 + percent) >= percent * (F.col("lo") + F.col("hi")))
-    shared = shared.where((F.col("c") > 2) | ((F.col("c") == 2) & can))
+    can = could_link(F.col("lo"), F.col("hi"), percent) & (F.col("reach") * (100 + percent) >= percent * (F.col("lo") + F.col("hi")))
+    shared = shared.where(((F.col("c") > 2) & ((F.col("lo") < F.col("hi")) | could_link(F.col("lo"), F.col("hi"), percent))) | ((F.col("c") == 2) & can))
     # The join's keys are no columns of the aggregate, so that it has shuffles of its own, whose hot tokens AQE can split.
     key = F.col("token").bitwiseXOR(F.lit(1)).alias("_k")
     blocks = tokens.select(key, "node", "n", "pos").join(shared.select(key), "_k", "left_semi")
@@ -307,7 +357,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     hubs = blocks.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("h"))
     hubs = hubs.select(F.struct("token").alias("_k"), F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.pos").alias("hub_pos"))
     reach = F.least(F.col("n") - F.col("pos"), F.col("hub_n") - F.col("hub_pos"))
-    fits = (reach * (100 + percent) >= percent * (F.col("n") + F.col("hub_n"))) & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+    fits = (reach * (100 + percent) >= percent * (F.col("n") + F.col("hub_n"))) & ((F.col("node") == F.col("hub")) | could_link(F.col("n"), F.col("hub_n"), percent))
     home = blocks.withColumn("_k", F.struct("token")).join(hubs, "_k").where(fits).groupBy("node", "n", "hub").agg(F.count("*").alias("c"))
     home = home.groupBy("node", "n").agg(F.max(F.struct("c", (-F.col("hub")).alias("h"))).alias("best")).select("node", "n", (-F.col("best.h")).alias("home"))
     apart = may_link(home.where("node <> home").withColumnRenamed("home", "other"), classes, percent).select("node", "n", F.col("other").alias("home"))
@@ -327,8 +377,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     grouped = _parts(labelled, "component", 3).withColumn("group", F.xxhash64("component", "part"))
     grouped = cut(grouped.select("node", "component", F.col("of").alias("members"), "group"), "grouped")
     placed = cut(blocks.join(grouped, "node").withColumn("_k", F.struct("token")).drop("token"), "placed")
-    mixed = placed.groupBy("_k.token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select(F.struct("token").alias("_k"))
-    placed = placed.join(mixed, "_k", "left_semi")
+    placed = finer(cut(_mixed(placed), "mixed"), classes, percent)
     matrix = placed.groupBy("_k.token", F.col("group").alias("g"), F.col("component").alias("of"), F.col("members").alias("size")).agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("reach"))
     matrix = matrix.withColumn("_k", F.struct("token")).drop("token")
@@ -336,6 +385,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     meets = (
         (F.struct("members", "component") < F.struct("size", "of"))
         & (F.col("hi") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("lo") * percent)
+        & ((F.col("lo") < F.col("n")) | (F.col("hi") > F.col("n")) | could_link(F.col("n"), F.col("n"), percent))
         & ((F.col("n") - F.col("pos")) * (100 + percent) >= need) & (F.col("reach") * (100 + percent) >= need))
     asked = cut(placed.join(matrix, "_k").where(meets).select("node", "n", "g", F.col("of").alias("other"), "size").distinct(), "asked")
     # A group of one class is a component of one, and so named by it.
