@@ -7,8 +7,9 @@ secret scan        replaces secrets in the text
 packing            deals the documents' tokens over sequences
 
 All but the last return the columns of `docs`. Defined results for unusual input are the operators' own; beyond them:
-where no row is labelled with a language only texts without a letter are dropped; of repeated rows one stays; rows
-without a doc_id are no duplicates of anything and stay.
+where no row is labelled with a language only texts without a letter are dropped; of equal rows one stays, and of near copies
+the one with the smallest doc_id (of one id, the smallest hash of its text); a row without a doc_id comes after all others;
+very long texts are worked on whole, in one task each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -47,11 +48,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_components(docs.where(F.col("doc_id").isNotNull()), n=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
-    stays = found.where("doc_id = component_id").select("doc_id").distinct()
-    # The join has brought equal ids together; repeated rows are dropped there.
-    kept = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    """Rows are told apart by doc_id and text, so each row of an id that several texts have is judged by itself; the first of a
+    group stays, rows without an id coming last."""
+    key = [F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("id"), F.xxhash64("text").alias("h")]
+    found = jaccard_components(docs.select(F.struct(*key).alias("doc_id"), "text"), n=SHINGLE_WORDS, percent=SIMILARITY_PERCENT)
+    p = _prefix(docs, "_near_")
+    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias(f"{p}key")).distinct()
+    once = docs.withColumn(f"{p}key", F.struct(*key)).dropDuplicates([f"{p}key"])  # repeated rows are dropped before they are shuffled
+    return once.join(stays, f"{p}key", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

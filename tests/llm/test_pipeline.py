@@ -37,6 +37,15 @@ def test_stages_keep_columns_and_clean_documents(spark, tmp_path):
     assert fit_secrets(docs.limit(0)) is None
 
 
+def test_near_copies_are_dropped_by_row(spark, tmp_path):
+    """An id with several texts is judged text by text, rows without an id come last, and repeated rows stay once."""
+    rnd = random.Random(8)
+    one, other, third = (" ".join(rnd.choices([f"w{i}" for i in range(300)], k=60)) for _ in range(3))
+    rows = [(3, one, "en"), (5, other, "en"), (5, one + " end", "en"), (5, other, "en"), (None, other + " x", "en"), (None, third, "en"), (None, third, "en"), (7, None, "en"), (8, "", "en")]
+    left = P.drop_near_duplicates(spark, docs_of(spark, rows), str(tmp_path))
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted([(3, one), (5, other), (None, third), (7, None), (8, "")], key=repr)
+
+
 def test_stages_take_empty_tables_and_unlabelled_texts(spark, tmp_path):
     spark.createDataFrame([(1, "x")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     docs = docs_of(spark, [(1, "words", None), (2, "1", None)])
