@@ -43,8 +43,9 @@ CHUNK = 1 << 14
 _SHIFT = U8(64 - BUCKET_BITS)
 #: Bounds of what one opened group holds: tokens and classes.
 GROUP_TOKENS, GROUP_CLASSES = 200_000, 512
-#: A token of more components than this is told apart by the next tokens of its classes, FINER times at most.
-HOT_COMPONENTS, FINER = 32, 2
+#: A token of more components than this is told apart by the next tokens of its classes, FINER times at most, where that makes
+#: no more than FINER_ROWS rows of one on average: so always fewer than the pairs that it saves.
+HOT_COMPONENTS, FINER, FINER_ROWS = 32, 2, 8
 #: Tokens of whole groups that are solved at once.
 SOLVED_TOKENS = 500_000
 
@@ -189,12 +190,14 @@ def finer(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """`placed` (_k, node, n, pos, ...) with tokens of many components replaced by the first two, then three, shared ones.
 
     Two similar sets that share a key's tokens first share another one among the next few: where the key's last token is at place
-    `last` and it holds `depth` tokens, at slack + depth at the latest. So a hot token, whose classes would meet all its
-    groups, becomes keys that few share, and rows grow with the slack, not with the token's classes. Sets so small that fewer
-    tokens make them similar keep the coarse key beside the finer ones."""
+    `last` and it holds `depth` tokens, at slack + depth at the latest. So a hot token of short sets, whose classes would meet
+    all its groups, becomes keys that few share. (In long sets places tell more, and the next tokens are many.) Sets so small
+    that fewer tokens make them similar keep the coarse key beside the finer ones."""
     done, rest = None, placed.withColumn("last", F.col("pos"))
     for depth in range(1, FINER + 1):
-        hot = rest.groupBy("_k.token").agg(F.approx_count_distinct("component", 0.1).alias("c")).where(F.col("c") > HOT_COMPONENTS)
+        ahead = F.greatest(_slack(percent) + depth - F.col("last"), F.lit(0))
+        hot = rest.groupBy("_k.token").agg(F.approx_count_distinct("component", 0.1).alias("c"), F.avg(ahead).alias("rows"))
+        hot = hot.where((F.col("c") > HOT_COMPONENTS) & (F.col("rows") <= FINER_ROWS))
         hot = cut(hot.select(F.struct("token").alias("_k")), "hot")
         if hot.isEmpty():
             break
@@ -202,7 +205,7 @@ def finer(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         kept = rest.join(hot, "_k", "left_anti").union(small)
         done = kept if done is None else done.union(kept)
         more = rest.join(hot, "_k", "left_semi").join(classes.select("node", "prefix"), "node")
-        after = F.slice("prefix", F.col("last") + 2, F.greatest(_slack(percent) + depth - F.col("last"), F.lit(0)))
+        after = F.slice("prefix", F.col("last") + 2, ahead)
         more = more.select(*rest.columns, F.posexplode(after).alias("_i", "_next"))
         place = F.col("last") + 1 + F.col("_i")
         more = more.select(*[
