@@ -138,7 +138,7 @@ def invalid_rows(spark, sf_dir):
 
 @query
 def current_invalid_rows(spark, sf_dir):
-    return quality.current_invalid_rows(_checked(spark, sf_dir))
+    return quality.current_invalid_rows(cut_all(_checked(spark, sf_dir)))
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.contract import CLOSED_VALUES, NATURAL_KEY, REQUIRED, SOURCES
 from tidemark.functions.casts import try_iso_date
-from tidemark.operators.staging import canonical_text, has_key, latest, with_problems
+from tidemark.operators.staging import canonical_text, has_key, with_problems
 
 OUT = ["tenant_id", "source", "batch_file_id", "batch_no", "line_no", "column_name", "raw_value", "problem"]
 # Where a closed column's mapped value lands in staging.
@@ -53,15 +53,15 @@ def invalid_rows(lines: dict[str, DataFrame]) -> DataFrame:
 def current_invalid_rows(lines: dict[str, DataFrame]) -> DataFrame:
     """Invalid rows that still reach the marts: the line its key kept, or a line without a key.
 
-    The problems travel with the line through de-duplication. A line without a key competes with none.
+    Each key's newest line is an aggregate that carries the line's problems, so map tasks combine their own lines and
+    send one a key, however often it repeats. A line without a key competes with none: it is a group of its own.
     """
     parts = []
     for source, df in lines.items():
-        bad = df.filter("problems IS NOT NULL")
-        # Only lines that share their key with a bad one are ranked; bad lines are few.
-        keys = ["tenant_id", *NATURAL_KEY[source]]
-        rivals = df.filter("_keyed").join(bad.filter("_keyed").select(*keys).distinct(), keys, "left_semi")
-        parts += [_listed(latest(rivals, NATURAL_KEY[source]), source), _listed(bad.filter("NOT _keyed"), source)]
+        alone = F.when(~F.col("_keyed"), F.struct("batch_file_id", "line_no")).alias("_alone")
+        newest = F.max_by(F.struct("batch_file_id", "batch_no", "line_no", "problems"), F.struct("batch_no", "line_no"))
+        kept = df.groupBy("tenant_id", *NATURAL_KEY[source], alone).agg(newest.alias("_line")).select("tenant_id", "_line.*")
+        parts.append(_listed(kept, source))
     return _union(parts)
 
 
