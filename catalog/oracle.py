@@ -459,3 +459,69 @@ ORACLE["load_raw"] = _BATCHES + """kept AS (SELECT tenant_id, batch_no, o_orderk
   UNION ALL SELECT tenant_id, 9, o_orderkey, price FROM o WHERE batch_no = 1 AND o_orderkey % 5 = 0)
 SELECT tenant_id, batch_no::INT AS batch_no, (1 + row_number() OVER (PARTITION BY tenant_id, batch_no ORDER BY o_orderkey))::INT AS line_no,
   o_orderkey::VARCHAR AS order_id, price::VARCHAR AS gross FROM kept"""
+
+# --- runs over derived files (catalog/runs.py) ---------------------------------------------------------
+
+_ARRIVALS = """WITH o AS (SELECT 't' || (o_orderkey % 2) AS tenant_id, (year(o_orderdate::DATE) - 1994)::INT AS batch_no, o_orderkey,
+    o_orderdate::DATE AS day, o_totalprice::DECIMAL(18,2) AS price FROM orders),
+e AS (SELECT 't' || (user_id % 2) AS tenant_id, ((dayofmonth(ts) - 1) // 6 + 1)::INT AS batch_no, event_id FROM events),
+f AS (
+  SELECT tenant_id, 'orders' AS source, batch_no, batch_no = 5 AS late, 0 AS broken, count(*) AS n, 1 AS key_sets,
+    CASE WHEN tenant_id = 't1' THEN 'total' ELSE '' END AS aliases FROM o GROUP BY ALL
+  UNION ALL SELECT tenant_id, 'orders', 9, true, 0, count(*), 1, CASE WHEN tenant_id = 't1' THEN 'total' ELSE '' END
+  FROM o WHERE batch_no = 1 AND o_orderkey % 5 = 0 GROUP BY tenant_id
+  UNION ALL SELECT tenant_id, 'email_events', batch_no, batch_no IN (4, 5),
+    count(*) FILTER (tenant_id = 't1' AND batch_no = 4 AND event_id % 100 = 0), count(*), count(DISTINCT event_id % 2),
+    CASE WHEN count(*) FILTER (event_id % 2 = 0) > 0 THEN 'event' ELSE '' END FROM e GROUP BY tenant_id, batch_no),
+"""
+_ATTEMPTS = _ARRIVALS + """x AS (SELECT *, broken > 0 AS bad FROM f)
+SELECT tenant_id, source, batch_no::INT AS batch_no, CASE WHEN bad THEN 'quarantined' ELSE 'loaded' END AS status,
+  CASE WHEN NOT bad THEN n END::BIGINT AS row_count, CASE WHEN NOT bad THEN n END::BIGINT AS lines, CASE WHEN NOT bad THEN key_sets END::BIGINT AS key_sets,
+  CASE WHEN bad THEN '' ELSE aliases END AS aliases,
+  CASE WHEN bad THEN rtrim(repeat('not_an_object,', least(broken, 20)::INT), ',') || CASE WHEN broken > 20 THEN ',truncated' ELSE '' END END AS codes
+FROM x"""
+ORACLE["load_ledger"] = _ATTEMPTS
+ORACLE["load_stream"] = _ATTEMPTS + " WHERE source = 'orders'"
+ORACLE["load_summary"] = _ARRIVALS + """listed AS (
+  SELECT 't' || t AS tenant_id, 'orders' AS source, unnest([1, 2, 3, 4, 5, 6, 7, 9]) AS batch_no FROM range(2) r(t)
+  UNION ALL SELECT 't' || t, 'email_events', unnest([1, 2, 3, 4, 5]) FROM range(2) r(t)),
+said AS (
+  SELECT 1 AS load, tenant_id, source, CASE WHEN n IS NULL OR late THEN 'missing' WHEN broken > 0 THEN 'quarantined' ELSE 'loaded' END AS status
+  FROM listed LEFT JOIN f USING (tenant_id, source, batch_no)
+  UNION ALL SELECT 2, tenant_id, source, CASE WHEN n IS NULL THEN 'missing' WHEN broken > 0 THEN 'quarantined' WHEN late THEN 'loaded' ELSE 'skipped' END
+  FROM listed LEFT JOIN f USING (tenant_id, source, batch_no))
+SELECT load::INT AS load, tenant_id, source, status, count(*) AS files FROM said GROUP BY ALL"""
+_REPORTS = """WITH o AS (SELECT 't' || (o_orderkey % 2) AS tenant_id, (year(o_orderdate::DATE) - 1994)::INT AS batch_no, o_orderkey,
+    o_orderdate::DATE AS day, o_totalprice::DECIMAL(18,2) AS price FROM orders),
+live AS (SELECT tenant_id, day, count(*) AS n, sum(price) AS gross FROM o WHERE batch_no <> 5 GROUP BY ALL),
+p AS (SELECT * FROM live WHERE day NOT BETWEEN DATE '1995-01-01' AND DATE '1995-01-31'),
+c AS (
+  SELECT tenant_id, CASE WHEN fixed AND o_orderkey % 10 = 0 THEN day + 1 ELSE day END AS day, count(*) AS n,
+    sum(CASE WHEN fixed THEN price + 1 ELSE price END) AS gross, bool_or(fixed) AS has_fixed
+  FROM (SELECT *, batch_no = 1 AND o_orderkey % 5 = 0 AS fixed FROM o) GROUP BY ALL),
+both_runs AS (
+  SELECT coalesce(p.tenant_id, c.tenant_id) AS tenant_id, coalesce(p.day, c.day) AS day, p.n AS n1, p.gross AS gross1, c.n AS n2, c.gross AS gross2, has_fixed,
+    CASE WHEN p.day IS NULL THEN 'new' WHEN c.day IS NULL THEN 'tombstone' WHEN p.n = c.n AND p.gross = c.gross THEN 'unchanged' ELSE 'restated' END AS action
+  FROM p FULL JOIN c ON p.tenant_id = c.tenant_id AND p.day = c.day)
+"""
+ORACLE["publish_run"] = _REPORTS + """, said AS (
+  SELECT 1 AS run, tenant_id, true AS recorded, count(*) FILTER (day NOT BETWEEN DATE '1995-01-01' AND DATE '1995-01-31') AS published, 0 AS restated, 0 AS unchanged,
+    count(*) FILTER (day BETWEEN DATE '1995-01-01' AND DATE '1995-01-31') AS withheld FROM live GROUP BY tenant_id
+  UNION ALL SELECT 2, tenant_id, true, count(*) FILTER (action <> 'unchanged'), count(*) FILTER (action IN ('restated', 'tombstone')),
+    count(*) FILTER (action = 'unchanged'), 0 FROM both_runs GROUP BY tenant_id
+  UNION ALL SELECT 3, tenant_id, false, 0, 0, count(*), 0 FROM c GROUP BY tenant_id)
+SELECT run::INT AS run, tenant_id, recorded, published::BIGINT AS published, restated::BIGINT AS restated, unchanged::BIGINT AS unchanged, withheld::BIGINT AS withheld,
+  2::BIGINT AS runs FROM said"""
+ORACLE["publish_history"] = _REPORTS + """, why AS (SELECT tenant_id, day, unnest(CASE WHEN action = 'restated' AND has_fixed THEN [9] ELSE [5, 9] END) AS batch_no
+  FROM both_runs WHERE action IN ('restated', 'tombstone'))
+SELECT tenant_id, day, 1::INT AS version, 1::INT AS run, n::INT AS orders, gross::DOUBLE AS gross, NULL::DOUBLE AS gross_before, NULL::INT AS batch_no FROM p
+UNION ALL SELECT tenant_id, day, 1, 2, n2::INT, gross2::DOUBLE, NULL, NULL FROM both_runs WHERE action = 'new'
+UNION ALL SELECT b.tenant_id, b.day, 2, 2, n2::INT, gross2::DOUBLE, gross1::DOUBLE, batch_no::INT FROM both_runs b JOIN why w ON w.tenant_id = b.tenant_id AND w.day = b.day"""
+ORACLE["publish_withheld"] = _REPORTS + """SELECT tenant_id, 'daily_revenue' AS mart, 'orders' AS source, 9::INT AS batch_no, 'not_received' AS status, day
+FROM live WHERE day BETWEEN DATE '1995-01-01' AND DATE '1995-01-31'
+UNION ALL SELECT DISTINCT tenant_id, 'daily_revenue', 'orders', 5, 'not_received', NULL::DATE FROM live"""
+_SCOPED = """WITH o AS (SELECT o_orderkey % 2 AS t, year(o_orderdate::DATE) - 1994 AS batch_no FROM orders
+  UNION ALL SELECT o_orderkey % 2, 8 FROM orders WHERE o_orderstatus = 'P')
+"""
+ORACLE["scoped_read"] = _SCOPED + """SELECT 't1' AS reader, 't1' AS tenant_id, (2000 + batch_no)::BIGINT AS batch_file_id, count(*) AS lines FROM o WHERE t = 1 GROUP BY ALL"""
+ORACLE["scoped_write"] = _SCOPED + """SELECT 't0' AS tenant_id, (1000 + batch_no)::BIGINT AS batch_file_id, count(*) AS lines, true AS refused FROM o WHERE t = 0 GROUP BY ALL"""
