@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.contract import CLOSED_VALUES, ISO_DATE, MAPPED_COLUMNS, SOURCES
@@ -212,7 +213,9 @@ def validate(spark: SparkSession, root: str, ids: list[str] | None = None, manif
     try:
         entries = cut(scan_manifest(spark, where), "entries")
         problems = cut(manifest_problems(entries), "manifest_problems")
-    except Exception as error:  # a manifest that is no JSON, or not there at all
+    except PySparkException as error:  # a manifest that is no JSON, or not there at all; any other failure is ours
+        if not any(kind in str(error) for kind in ("PATH_NOT_FOUND", "MALFORMED_RECORD_IN_PARSING")):
+            raise
         code, (severity, template) = "unreadable", ISSUES["unreadable"]
         kind = "no readable JSON" if "PATH_NOT_FOUND" not in str(error) else "not found"
         one = small_frame(spark, [(scope, template % (scope, kind))], "scope string, text string")
