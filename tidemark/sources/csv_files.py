@@ -36,11 +36,20 @@ def check_lines(lines: DataFrame) -> DataFrame:
 
 
 def _multi_line(checked: DataFrame) -> DataFrame:
-    """Lines of records that span lines, with the line their record starts on."""
-    lines = checked.filter("open_at_start OR open_at_end")
-    so_far = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.last(F.when(~F.col("open_at_start"), F.col("line_no")), ignorenulls=True).over(so_far)
-    return lines.withColumn("record", start)
+    """Lines of records that span lines, with the line their record starts on.
+
+    A segmented scan: each block's last record start is carried to the blocks after it, one row per block, and
+    lines are put in order inside their block only. A file of nothing but such lines spreads over all its blocks.
+    """
+    lines = checked.filter("open_at_start OR open_at_end").withColumn(
+        "_start", F.when(~F.col("open_at_start"), F.col("line_no")))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = lines.groupBy("file", "block").agg(F.max("_start").alias("_last")).select(
+        "file", "block", F.max("_last").over(earlier).alias("_carried"))
+    so_far = Window.partitionBy("file", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    # Line numbers go up, so the greatest start so far is the last one.
+    return lines.join(carried, ["file", "block"]).withColumn(
+        "record", F.coalesce(F.max("_start").over(so_far), "_carried")).drop("_start", "_carried")
 
 
 def record_shapes(checked: DataFrame) -> DataFrame:

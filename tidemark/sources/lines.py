@@ -102,7 +102,7 @@ def lines_of(texts: DataFrame, file: str, text: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Numbered:
-    lines: DataFrame  # file, line_no, text, open_at_start, quotes
+    lines: DataFrame  # file, block, line_no, text, open_at_start, quotes
     files: DataFrame  # file, utf8, last_line, quotes
 
 
@@ -151,5 +151,5 @@ def number_lines(lines: DataFrame) -> Numbered:
     text = F.regexp_replace("text", r"\r\z", "")
     text = F.when(F.col("line_no") == 1, F.regexp_replace(text, "^" + BOM, "")).otherwise(text)
     numbered = even.unionByName(odd).select(
-        "file", "line_no", text.alias("text"), (F.col("_before") % 2 == 1).alias("open_at_start"), "quotes")
+        "file", "block", "line_no", text.alias("text"), (F.col("_before") % 2 == 1).alias("open_at_start"), "quotes")
     return Numbered(numbered, files)
