@@ -324,7 +324,8 @@ def _customer_years(spark, sf_dir):
 
 @query
 def batch_gap(spark, sf_dir):
-    return names.batch_gaps(_customer_years(spark, sf_dir), ["tenant_id", "source"])
+    by = ["tenant_id", "source"]
+    return names.skipped_numbers(names.batch_gaps(_customer_years(spark, sf_dir), by), by)
 
 
 @query

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import casts, names
 from tidemark.operators.skew import skewed_left_join
+from tidemark.sources import csv_files
+from tidemark.sources.lines import number_lines
 
 
 def distance(a, b):
@@ -70,4 +72,53 @@ def test_impossible_days_bound_windows_as_text_does(spark):
 def test_batch_ranges_and_gaps(spark):
     df = spark.createDataFrame([("a", b) for b in (1, 3, 4, 5, 5)] + [("b", 4)], "k string, batch_no int")
     assert {r.k: r.batches for r in names.batch_ranges(df, ["k"]).collect()} == {"a": "batches 1, 3-5", "b": "batch 4"}
-    assert sorted((r.k, r.missing) for r in names.batch_gaps(df, ["k"]).collect()) == [("a", 2), ("b", 1), ("b", 2), ("b", 3)]
+    gaps = names.batch_gaps(df, ["k"])
+    assert sorted((r.k, r.first, r.last) for r in gaps.selectExpr("k", "first", "last").collect()) == [("a", 2, 2), ("b", 1, 3)]
+    assert sorted((r.k, r.missing) for r in names.skipped_numbers(gaps, ["k"]).collect()) == [("a", 2), ("b", 1), ("b", 2), ("b", 3)]
+    assert sorted((r.k, r.n, r.batches) for r in names.gap_texts(gaps, ["k"]).collect()) == [("a", 1, "2"), ("b", 3, "1, 2, 3")]
+
+
+def test_gaps_of_any_length(spark):
+    """Numbers up to the largest int, gaps of one chunk and one more, repeated and unordered numbers, and no rows at all."""
+    top, chunk = 2**31 - 1, names.CHUNK
+    rows = [("far", 1), ("far", top), ("chunk", 2 * chunk + 3), ("chunk", chunk + 1), ("chunk", chunk + 1), ("edge", 102), ("edge", 1)]
+    gaps = names.batch_gaps(spark.createDataFrame(rows, "k string, batch_no int"), ["k"])
+    assert {r.k: (r.n, r.batches) for r in names.gap_texts(gaps, ["k"]).collect()} == {
+        "far": (top - 2, f"2-{top - 1}"), "chunk": (2 * chunk + 1, f"1-{chunk}, {chunk + 2}-{2 * chunk + 2}"),
+        "edge": (100, ", ".join(map(str, range(2, 102))))}
+    got = [r.missing for r in names.skipped_numbers(gaps.filter("k = 'chunk'"), ["k"]).collect()]
+    assert sorted(got) == [n for n in range(1, 2 * chunk + 3) if n != chunk + 1]
+    assert names.skipped_numbers(gaps.filter("k = 'far'"), ["k"]).filter("missing > 3").limit(2).count() == 2
+    assert names.gap_texts(gaps.limit(0), ["k"]).isEmpty()
+
+
+def test_records_over_blocks_start_where_a_plain_walk_says(spark):
+    """Records across any number of blocks: whole, in files that never close a quote, and in files side by side."""
+    rng = random.Random(3)
+    files = {
+        f"f{f}": ["".join(rng.choice(['"', '"', "x", ","]) for _ in range(rng.randint(0, 4))) for _ in range(rng.randint(1, 60))]
+        for f in range(12)}
+    files["swallowed"] = ['a,"'] + ["b,c"] * 500
+    # Blocks of one to nine lines, handed over in any order.
+    rows = []
+    for name, texts in files.items():
+        block = 0
+        for pos, text in enumerate(texts):
+            block = pos if rng.random() < 0.2 else block
+            rows.append((name, block * 100, pos + 7, text, -1))
+    rng.shuffle(rows)
+    lines = spark.createDataFrame(rows, "file string, block bigint, pos bigint, text string, size bigint").repartition(5)
+    checked = csv_files.check_lines(number_lines(lines).lines)
+    got = {(r.file, r.record): r.end_line for r in csv_files.record_shapes(checked).collect()}
+    texts = {(r.file, r.line_no): r.text for r in csv_files.record_texts(checked).collect()}
+    want, want_texts = {}, {}
+    for name, lines_ in files.items():
+        last = max((n for n, t in enumerate(lines_, 1) if t), default=0)
+        start, inside = 1, False
+        for n, text in enumerate(lines_[:last], 1):
+            start = start if inside else n
+            inside ^= text.count('"') % 2 == 1
+            want[name, start] = n
+            want_texts.setdefault((name, start), []).append(text)
+    assert got == want and texts == {k: "\n".join(v) for k, v in want_texts.items()}
+    assert got["swallowed", 1] == 501

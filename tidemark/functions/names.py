@@ -20,12 +20,39 @@ def batch_ranges(df: DataFrame, keys: list[str], batch: str = "batch_no") -> Dat
         *keys, F.concat(F.when(F.col("n") == 1, F.lit("batch ")).otherwise(F.lit("batches ")), text).alias("batches"))
 
 
+#: Numbers that are put into one array at a time, and the longest gap whose numbers a message writes out.
+CHUNK, WRITTEN_OUT = 10_000, 100
+
+
 def batch_gaps(df: DataFrame, keys: list[str], batch: str = "batch_no") -> DataFrame:
-    """The batch numbers from 1 up to a key's highest that it skips, one row each."""
-    present = df.select(*keys, F.col(batch).cast("int").alias("missing")).distinct()
-    in_order = Window.partitionBy(*keys).orderBy("missing")
-    before = present.withColumn("previous", F.lag("missing", 1, 0).over(in_order)).filter("missing > previous + 1")
-    return before.select(*keys, F.explode(F.sequence(F.col("previous") + 1, F.col("missing") - 1)).alias("missing"))
+    """The runs of batch numbers from 1 up to a key's highest that it skips: one row (first, last) a run.
+
+    There are no more runs than numbers that are there, however far apart these are.
+    """
+    present = df.select(*keys, F.col(batch).cast("int").alias("b")).distinct()
+    before = present.withColumn("previous", F.lag("b", 1, 0).over(Window.partitionBy(*keys).orderBy("b")))
+    return before.filter("b > previous + 1").select(
+        *keys, (F.col("previous") + 1).alias("first"), (F.col("b") - 1).alias("last"))
+
+
+def skipped_numbers(gaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Every number of the gaps, one row each; no array holds a whole gap."""
+    starts = gaps.select(*keys, "last", F.explode(F.sequence("first", "last", F.lit(CHUNK))).alias("start"))
+    # Not start + CHUNK first: that could pass the largest int.
+    end = F.col("start") + F.least(F.lit(CHUNK - 1), F.col("last") - F.col("start"))
+    return starts.select(*keys, F.explode(F.sequence("start", end)).alias("missing"))
+
+
+def gap_texts(gaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key how many numbers are skipped, `n`, and which: 1, 3, 4. A gap of more than WRITTEN_OUT is given as 7-900."""
+    numbers = F.when(
+        F.col("last") - F.col("first") < WRITTEN_OUT,
+        F.array_join(F.sequence("first", "last"), ", "),
+    ).otherwise(F.concat_ws("-", "first", "last"))
+    listed = gaps.groupBy(*keys).agg(
+        F.sum(F.col("last").cast("bigint") - F.col("first") + 1).alias("n"),
+        F.array_sort(F.collect_list(F.struct("first", numbers.alias("text")))).alias("runs"))
+    return listed.select(*keys, "n", F.array_join(F.col("runs.text"), ", ").alias("batches"))
 
 
 def _without_one(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.contract import CLOSED_VALUES, ISO_DATE, MAPPED_COLUMNS, SOURCES
-from tidemark.functions.names import batch_gaps, best_match, near_misses
+from tidemark.functions.names import batch_gaps, best_match, gap_texts, near_misses
 from tidemark.operators import onboarding
 from tidemark.operators.headers import header_rules
 from tidemark.operators.health import no_manifest_entries, plural, position, source_not_configured
@@ -103,15 +103,15 @@ def _entry_issues(entries: DataFrame, configured: DataFrame) -> list[DataFrame]:
         F.struct(F.lit("covers_to").alias("field"), F.col("covers_to").alias("text")))).alias("d"))
     bad = ~F.coalesce(F.col("d.text").rlike(ISO_DATE) & F.col("d.text").try_cast("date").isNotNull(), F.lit(False))
     src = position("source", SOURCES)
-    gaps = batch_gaps(entries, ["tenant_id", "source"]).groupBy("tenant_id", "source").agg(
-        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("missing")).alias("missing"))
+    by = ["tenant_id", "source"]
+    gaps = gap_texts(batch_gaps(entries, by), by)
     return [
         _issue(dates.filter(bad), "invalid_date", 2, [F.col("source"), _padded(F.col("batch_no")), F.col("d.field")],
                F.col("source"), F.col("batch_no"), F.col("d.field"), F.col("d.text")),
         _issue(no_manifest_entries(entries, configured), "no_manifest_entries", 3, [src, F.lit(0)], F.col("source")),
         _issue(source_not_configured(entries, configured), "source_not_configured", 3, [src, F.lit(0)], F.col("source")),
         _issue(gaps, "batch_gap", 3, [src, F.lit(1)], F.col("source"),
-               F.when(F.col("n") == 1, F.lit("batch")).otherwise(F.lit("batches")), F.array_join("missing", ", ")),
+               F.when(F.col("n") == 1, F.lit("batch")).otherwise(F.lit("batches")), F.col("batches")),
     ]
 
 
