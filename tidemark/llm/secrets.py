@@ -10,14 +10,22 @@ The field learns from the base spans of a bounded sample: about `SAMPLE_DOCS` te
 with base spans as make about `BASE_DOCS` of these (all, where there are fewer), of each the
 surroundings of `NEAR` spans and `FAR` other runs of `RUN_TOKENS` tokens spread over the text.
 
+So that it does not learn the patterns alone, it also sees `VARIED` rewritten runs of that sample (`variants`): values that
+copy only the length of a base value, drawn from other alphabets, named and introduced in other ways; and beside them
+harmless values (the run's own words, numbers, dates, versions, paths) behind the same names. A found span that opens right
+after a quote runs on to the closing quote where no white space comes before it.
+
 Defined results: a null or empty text has no spans; where nothing can be learned (no base span in the table) only base
-spans are found; repeated rows repeat their result; an empty table gives an empty result; only `doc_id` and `text` are
-read.
+spans are found; a very long text is searched whole, in one piece; repeated rows repeat their result, rows without a doc_id
+are searched like others; of equally good taggings Viterbi takes the one with more outside; an empty table gives an empty
+result; only `doc_id` and `text` are read.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,14 +46,27 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
 SAMPLE_DOCS, BASE_DOCS, NEAR, FAR, RUN_TOKENS = 2000, 200, 4, 1, 48
+VARIED, VARIED_TOKENS, LONG_WORD = 5000, 16, 64
 BUCKET_BITS = 16
 OUT, BEGIN, IN = 0, 1, 2
-FEATURES, EXACT = 13, [0, 1, 2, 7, 8, 10]
+FEATURES, EXACT = 16, [0, 1, 2, 7, 8, 10]
+
+# Stems of words that name a credential, as a lexicon feature, and what rewritten runs are made of.
+CUES = [b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"bearer", b"cred"]
+CUE_REACH = 4
+NAMES = ["password", "passwd", "pwd", "secret", "token", "api key", "apikey", "access key", "auth key", "credential", "passphrase"]
+OWNERS = ["", "", "", "my ", "the ", "admin ", "db_", "app-", "SERVICE_", "user.", "x_"]
+LINKS = ["=", ": ", " = ", ":", " := ", " ", " was ", " => ", "\t", ", ", " to "]
+AROUND = [("", ""), ("", ""), ('"', '"'), ("'", "'"), ("`", "`"), ("[", "]"), ("", ";"), ("", ".")]
+ALPHABETS = [
+    string.digits + "abcdef", string.digits + "ABCDEF", string.ascii_letters + string.digits, string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits,
+    string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "-_", string.ascii_letters + string.digits + "~!@#$%^&*-"]
 
 _TOKEN = byte_class([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF), (0x2B, 0x2B), (0x2D, 0x2F), (0x5F, 0x5F)])
 _HEX = byte_class([(0x30, 0x39), (0x61, 0x66)])
 _CLASSES = [byte_class([(0x30, 0x39)]), byte_class([(0x41, 0x5A)]), byte_class([(0x61, 0x7A)]), byte_class([(0x80, 0xFF)]), _HEX]
 _ASSIGNS = byte_class([(0x3A, 0x3A), (0x3D, 0x3D)])
+_SPACES = byte_class([(0x20, 0x20), (0x09, 0x0D)])
 _SIGNS = byte_class([(0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)])
 
 
@@ -93,6 +114,21 @@ def _bucket(h: np.ndarray, salt: int) -> np.ndarray:
     return (mix(h.astype(U8) * U8(0x9E3779B97F4A7C15) + U8(salt)) >> U8(64 - BUCKET_BITS)).astype(np.uint16)
 
 
+def _named(part: Slice, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The tokens that hold one of CUES, as numbers."""
+    raw, found = ASCII_LOWER[part.data].tobytes(), []
+    for stem in CUES:
+        at = raw.find(stem)
+        while at >= 0:
+            found.append((at, at + len(stem)))
+            at = raw.find(stem, at + 1)
+    if not found or not len(starts):
+        return np.zeros(0, np.int64)
+    lo, hi = np.array(found).T
+    own = np.searchsorted(starts, lo, "right") - 1
+    return np.unique(own[(own >= 0) & (ends[own] >= hi)])
+
+
 def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends, first tokens and the feature buckets (FEATURES a token) of a slice."""
     data = part.data
@@ -126,7 +162,19 @@ def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarr
     # Coarser than the shape, for lengths and mixtures that the sample lacks.
     mixture = ((shape[:, None] >> np.array([8, 6, 4])) % 4 > 0) @ np.array([1, 2, 4]) * 4 + np.minimum(turns // 2, 3)
     coarse = mixture * 8 + np.digitize(n, [4, 8, 12, 16, 32])
-    columns = [s, s * U8(16) + turns.astype(U8), lower, before, after, left, last_sign, head, tail * U8(8) + np.minimum(n, 7).astype(U8), mix(before ^ coarse.astype(U8)), files[own].astype(U8) * U8(1 << 20) + s, mixture, coarse]
+    # How far back (up to CUE_REACH tokens, 0: the token itself) a word names a credential, and what lies between two tokens.
+    cue = np.full(len(starts) + CUE_REACH, CUE_REACH + 1, dtype=np.int64)
+    named = _named(part, starts, ends)
+    for back in range(CUE_REACH, -1, -1):
+        cue[named + back] = back
+    cue = np.where(cue[: len(starts)] <= np.arange(len(starts)) - first[own], cue[: len(starts)], CUE_REACH + 1)
+    gap = np.full(len(starts), 3, dtype=np.int64)
+    gap[1:] = np.minimum(starts[1:] - ends[:-1], 3)
+    spaces = np.concatenate([[0], np.cumsum(_SPACES[data], dtype=np.int32)])
+    spaced = np.ones(len(starts), dtype=np.int64)
+    spaced[1:] = spaces[starts[1:]] > spaces[ends[:-1]]
+    spaced[begins], gap[begins] = 1, 3
+    columns = [s, s * U8(16) + turns.astype(U8), lower, before, after, left, last_sign, head, tail * U8(8) + np.minimum(n, 7).astype(U8), mix(before ^ coarse.astype(U8)), files[own].astype(U8) * U8(1 << 20) + s, mixture, coarse, cue * 256 + coarse, (cue * 256 + coarse) * 8 + gap * 2 + spaced, (gap * 2 + spaced) * 256 + coarse]
     out = np.empty((len(starts), FEATURES), dtype=np.uint16)  # BUCKET_BITS
     for k, column in enumerate(columns):
         out[:, k] = _bucket(np.asarray(column).astype(U8), k + 1)
@@ -181,12 +229,64 @@ def _training_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(codes, pa.int64())], names=["text", "file"])
 
 
-def _gold(part: Slice, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> np.ndarray:
+def _value(rnd: random.Random, size: int) -> str:
+    """A value of `size` characters of one alphabet, at times with a prefix of its own or in groups."""
+    letters = rnd.choice(ALPHABETS)
+    value = "".join(rnd.choices(letters, k=size))
+    if rnd.random() < 0.2:
+        value = "".join(rnd.choices(string.ascii_lowercase, k=rnd.randint(2, 4))) + rnd.choice("_-") + value
+    elif rnd.random() < 0.2:
+        group = rnd.randint(4, 8)
+        value = "-".join(value[i : i + group] for i in range(0, size, group))
+    return value
+
+
+def _harmless(rnd: random.Random, tokens: list[str]) -> str:
+    """What stands where a value could and is none: the run's own words, alone or joined, numbers, dates, versions."""
+    words = [rnd.choice(tokens) for _ in range(rnd.randint(1, 3))]
+    number, day = rnd.randrange(10 ** rnd.randint(1, 7)), f"{rnd.randint(1900, 2040)}-{rnd.randint(1, 12):02}-{rnd.randint(1, 28):02}"
+    joined = [" ".join(words), " ".join(words), "-".join(words), "_".join(words), "/".join(words), "".join(w.title() for w in words), ".".join(words), words[0].upper(), words[0] + str(number), f"{words[0]}.{number}"]
+    plain = [str(number), f"{number:,}", f"{number / 100}", day, f"{day}T{rnd.randint(0, 23):02}:{rnd.randint(0, 59):02}", f"v{rnd.randint(0, 30)}.{rnd.randint(0, 30)}.{number % 100}"]
+    plain += [f"{plain[-1]}-{words[0]}", f"{words[0]}-{number}.{words[-1][:3]}"]
+    return rnd.choice(joined if rnd.random() < 0.5 else plain)
+
+
+def variants(runs: list[tuple[str, int]], count: int = VARIED) -> list[tuple[str, int, list[tuple[int, int]]]]:
+    """`count` pieces of runs (text, file) with rewritten secrets or harmless values put between two of their tokens, and
+    where the secrets lie. Sizes are those of the runs' base values; half of the pieces hold a secret, all by one seed."""
+    sizes = [end - value for text, _ in runs for _, end, _, value in base_spans(text)]
+    rnd, out = random.Random(len(runs)), []
+    while sizes and len(out) < count:
+        text, file = rnd.choice(runs)
+        spans = base_spans(text)
+        pieces = [t for t in text.split() if len(t) <= LONG_WORD]
+        tokens = [t for t in pieces if t.isalpha()] or ["word"]
+        if spans:  # words only: what is left of a base span would be taken for harmless
+            pieces = tokens
+        near = rnd.randrange(len(pieces) + 1)
+        before, after = pieces[max(0, near - VARIED_TOKENS // 2) : near], pieces[near : near + VARIED_TOKENS // 2]
+        name = rnd.choice(NAMES)
+        name = rnd.choice([name, name, name.upper(), name.replace(" ", "_"), name.title()])
+        a, b = rnd.choice(AROUND)
+        lead = rnd.choice(OWNERS) + name + rnd.choice(LINKS) + a
+        secret = rnd.random() < 0.5
+        if rnd.random() < (0.15 if secret else 0.5):
+            lead = a
+        value = _value(rnd, max(8, min(48, rnd.choice(sizes) + rnd.randint(-6, 6)))) if secret else _harmless(rnd, tokens)
+        head = "".join(t + " " for t in before) + lead
+        out.append((head + value + b + "".join(" " + t for t in after), file, [(len(head), len(head) + len(value))] if secret else []))
+    return out
+
+
+def _gold(part: Slice, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, spans: list[list[tuple[int, int]]]) -> np.ndarray:
+    """The tag of each token, from the spans of each text in code points."""
     gold = np.zeros(len(starts), dtype=np.int64)
-    for i in np.flatnonzero(_worth_a_search(part)):
+    for i, own in enumerate(spans):
+        if not own:
+            continue
         a, b = int(first[i]), int(first[i + 1])
         byte_of = np.flatnonzero(np.append((part.data[part.off[i] : part.off[i + 1]] & 0xC0) != 0x80, True))
-        for _, end, _, value in base_spans(part.text(i).decode()):
+        for value, end in own:
             lo, hi = part.off[i] + byte_of[value], part.off[i] + byte_of[end]
             at = np.flatnonzero((ends[a:b] > lo) & (starts[a:b] < hi)) + a
             gold[at] = np.where(gold[at] == BEGIN, BEGIN, IN)
@@ -208,9 +308,10 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30, base_
     runs = sorted(zip(taken.column("text").to_pylist(), taken.column("file").to_pylist()))
     if not runs:
         return None
-    part = next(slices(pa.array([t for t, _ in runs]), limit=1 << 62))
-    starts, ends, first, feature = token_features(part, np.array([f for _, f in runs]))
-    gold = _gold(part, starts, ends, first)
+    examples = [(text, file, [(value, end) for _, end, _, value in base_spans(text)]) for text, file in runs] + variants(runs)
+    part = next(slices(pa.array([e[0] for e in examples]), limit=1 << 62))
+    starts, ends, first, feature = token_features(part, np.array([e[1] for e in examples]))
+    gold = _gold(part, starts, ends, first, [e[2] for e in examples])
     if not gold.any():
         return None
     # Once more without what tells single tokens apart, so that contexts and coarse shapes carry weight of their own.
@@ -234,6 +335,16 @@ def _beside(a: int, b: int, spans: list[tuple[int, int]]) -> list[tuple[int, int
     return [*left, (a, b)] if a < b else left
 
 
+_QUOTES = {ord(q): re.compile(rb"[^\x20\x09-\x0D" + q.encode() + rb"]*" + q.encode()) for q in "\"'`"}
+
+
+def _closing(part: Slice, i: int, start: int, end: int) -> int:
+    """The end of a span of text i: that of its last token, or its closing quote if one opened right before it."""
+    quote = _QUOTES.get(int(part.data[start - 1])) if start > part.off[i] else None
+    held = quote and quote.match(part.data[end : part.off[i + 1]])
+    return end + held.end() - 1 if held else end
+
+
 def _spans_of(part: Slice, model: Model | None) -> list[list[tuple[int, int, str]]]:
     found: list[list[tuple[int, int, str]]] = [[] for _ in range(len(part))]
     for i in np.flatnonzero(_worth_a_search(part)):
@@ -253,7 +364,7 @@ def _spans_of(part: Slice, model: Model | None) -> list[list[tuple[int, int, str
             last = h
             while last + 1 < first[i + 1] and tags[last + 1] == IN:
                 last += 1
-            a, b = int(point[starts[h] - part.off[i]]), int(point[ends[last] - part.off[i]])
+            a, b = int(point[starts[h] - part.off[i]]), int(point[_closing(part, i, int(starts[h]), int(ends[last])) - part.off[i]])
             pieces = _beside(a, b, base)
             if pieces != [(a, b)]:
                 own = part.text(i).decode()
