@@ -46,7 +46,7 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
 SAMPLE_DOCS, BASE_DOCS, NEAR, FAR, RUN_TOKENS = 2000, 200, 4, 1, 48
-VARIED, VARIED_TOKENS, LONG_WORD = 5000, 16, 64
+VARIED, VARIED_TOKENS, LONG_WORD = 7000, 16, 64
 BUCKET_BITS = 16
 OUT, BEGIN, IN = 0, 1, 2
 FEATURES, EXACT = 16, [0, 1, 2, 7, 8, 10]
@@ -247,8 +247,10 @@ def _harmless(rnd: random.Random, tokens: list[str]) -> str:
     number, day = rnd.randrange(10 ** rnd.randint(1, 7)), f"{rnd.randint(1900, 2040)}-{rnd.randint(1, 12):02}-{rnd.randint(1, 28):02}"
     joined = [" ".join(words), " ".join(words), "-".join(words), "_".join(words), "/".join(words), "".join(w.title() for w in words), ".".join(words), words[0].upper(), words[0] + str(number), f"{words[0]}.{number}"]
     plain = [str(number), f"{number:,}", f"{number / 100}", day, f"{day}T{rnd.randint(0, 23):02}:{rnd.randint(0, 59):02}", f"v{rnd.randint(0, 30)}.{rnd.randint(0, 30)}.{number % 100}"]
-    plain += [f"{plain[-1]}-{words[0]}", f"{words[0]}-{number}.{words[-1][:3]}"]
-    return rnd.choice(joined if rnd.random() < 0.5 else plain)
+    code = "".join(rnd.choices(string.ascii_uppercase, k=rnd.randint(1, 4)))
+    plain += [f"{code}{number % 1000}", f"{code}-{number}", f"{code}_{day.replace('-', '')}_{number}.{words[-1][:3]}", f"{words[0]}_{day}.{words[-1][:3]}", f"{number % 100}{code[0].lower()}"]
+    plain += [f"{plain[5]}-{words[0]}", f"{words[0]}-{number}.{words[-1][:3]}"]
+    return rnd.choice(joined if rnd.random() < 0.4 else plain)
 
 
 def variants(runs: list[tuple[str, int]], count: int = VARIED) -> list[tuple[str, int, list[tuple[int, int]]]]:
