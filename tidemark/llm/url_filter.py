@@ -2,12 +2,13 @@
 
 All of a url's work is in DataFrame functions. The model is trained on the driver from a small labelled url table, of
 which at most about `SAMPLE_URLS` rows a verdict (chosen by a hash of the url) are taken. Weights are one literal array,
-so scoring neither joins nor shuffles. `seed_urls` makes a table to start from: names of unwanted and of ordinary
-sites in a few shapes of address, the same shapes for both, so that only the names tell them apart.
+so scoring neither joins nor shuffles. `seed_urls` makes a table to start from by rules: site names of three kinds (unwanted
+subjects, ordinary subjects, and made-up names of syllables, which are ordinary) with additions before and after, in many hosts,
+endings and paths. Names are dealt to folds, so that a model can be judged on names it has not seen.
 
 Defined results: a null url, or one without `://`, has an empty host and path, so no rule fits and the model's intercept
 decides; where nothing is labelled, or with one verdict only, the verdict is that one (allow if none); a score of
-exactly one half allows; repeated rows repeat their result; an empty table gives an empty result; only `page_id` and
+exactly one half allows; a very long url is judged whole, its n-grams in one array; rows without a page_id are judged like others; repeated rows repeat their result; an empty table gives an empty result; only `page_id` and
 `url` are read.
 """
 
@@ -18,20 +19,25 @@ import json
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SAMPLE_URLS = 1500
+SAMPLE_URLS, SEED_URLS, FOLDS = 2000, 6000, 5
 BUCKETS, GRAMS = 1 << 12, (3, 4)
 ROUNDS, RATE, DECAY = 200, 0.5, 1e-3
 
-# Fixed values of the seed table: names of unwanted and ordinary sites, and shapes of addresses.
+# Fixed values of the seed table: subjects of sites, what stands beside them, and parts of addresses. A third of the rows is
+# unwanted, a third ordinary by subject, a third ordinary with a made-up name.
 UNWANTED = [
-    "casino", "poker-win", "free-bets", "slots", "jackpot", "cheap-pills", "pharmacy-online", "adult", "xxx-cams", "escort",
-    "spam-farm", "link-farm", "ads-track", "adserver", "click-track", "popup-ads", "malware", "phishing", "warez", "crack-keys"]
+    "casino", "poker", "bets", "slots", "jackpot", "roulette", "pills", "viagra", "adult", "xxx", "camgirls", "escort", "porn", "linkfarm", "adserver",
+    "clicktrack", "popup", "malware", "phishing", "warez", "cracks", "keygen", "torrents", "payday", "replica", "lottery", "hookup", "fakeid", "steroids", "spam"]
 ORDINARY = [
     "news", "weather", "wiki", "docs", "library", "museum", "school", "university", "science", "history", "garden", "recipes", "travel",
     "cycling", "football", "music", "theatre", "health", "hospital", "council", "forum", "research", "software", "photography", "railway",
-    "astronomy", "chemistry", "journal", "letters", "market", "dictionary", "therein", "stationery", "something", "another", "nothing", "withstand",
-    "heron", "merchant", "thousand"]
-SHAPES = ["https://www.{}.example.com/en/1201", "http://{}.example.net/de/77.html", "https://blog.{}.example.org/fr/5"]
+    "astronomy", "chemistry", "journal", "letters", "dictionary", "bakery", "archive", "gallery", "parish", "harbour"]
+SYLLABLES = ["ba", "cor", "den", "el", "fi", "gra", "hol", "in", "jas", "ka", "lem", "mo", "nor", "or", "pi", "qua", "ri", "sol", "ter", "un", "vel", "win", "yar", "zan"]
+UNWANTED_EXTRAS = ["", "", "free-", "-online", "cheap-", "-win", "best", "-bonus", "hot", "24", "-deals", "777"]
+ORDINARY_EXTRAS = ["", "", "the", "-city", "my", "-club", "old", "-weekly", "open", "-guide", "-society", "21"]
+HOSTS = ["www.{}", "{}", "blog.{}", "m.{}", "shop.{}"]
+ENDINGS = [".com", ".org", ".net", ".info", ".example.com", ".example.org", ".co.uk", ".de", ".fr"]
+PATHS = ["/", "/en/{}", "/de/{}.html", "/fr/{}", "/{}/index.html", "/article/{}", "", "/a/b/{}?page=2"]
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -51,10 +57,26 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return name, verdict
 
 
-def seed_urls(spark: SparkSession) -> DataFrame:
-    """(url, verdict) of the seed table."""
-    rows = [(shape.format(name), verdict) for verdict, names in (("block", UNWANTED), ("allow", ORDINARY)) for name in names for shape in SHAPES]
-    return spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{url}', '{verdict}')" for url, verdict in rows) + " AS t(url, verdict)")
+def seed_urls(spark: SparkSession, rows: int = SEED_URLS) -> DataFrame:
+    """(url, verdict, name, fold) of the seed table: `rows` rows, of which each part is chosen by a hash of the row's number.
+    name: what the site is about; all rows of a name are in one fold."""
+
+    def pick(salt: int, size: int) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(size)).cast("int")
+
+    def one_of(values: list[str], salt: int) -> Column:
+        return F.get(F.array(*map(F.lit, values)), pick(salt, len(values)))
+
+    kind = pick(0, 3)
+    made_up = F.concat(*(one_of(SYLLABLES, salt) for salt in (1, 2)), one_of(["", *SYLLABLES], 3))
+    named = spark.range(rows).withColumn("name", F.when(kind == 0, one_of(UNWANTED, 4)).when(kind == 1, one_of(ORDINARY, 5)).otherwise(made_up))
+    extra = F.when(kind == 0, one_of(UNWANTED_EXTRAS, 6)).otherwise(one_of(ORDINARY_EXTRAS, 6))
+    site = F.when(extra.startswith("-") | extra.rlike("^[0-9]"), F.concat("name", extra)).otherwise(F.concat(extra, "name"))
+    host = F.concat(F.replace(one_of(HOSTS, 7), F.lit("{}"), site), one_of(ENDINGS, 8))
+    path = F.replace(one_of(PATHS, 9), F.lit("{}"), pick(10, 2000).cast("string"))
+    url = F.concat(F.when(pick(11, 2) == 0, "http://").otherwise("https://"), host, path)
+    return named.select(
+        url.alias("url"), F.when(kind == 0, "block").otherwise("allow").alias("verdict"), "name", F.pmod(F.xxhash64("name", F.lit(12)), F.lit(FOLDS)).cast("int").alias("fold"))
 
 
 def _gram_bucket(salt: int, value: Column, n: int):
