@@ -51,14 +51,17 @@ def parse_csv(files: DataFrame, lines: DataFrame, rules: DataFrame) -> Parsed:
     """`files` has (file, tenant_id, source); `lines` is the physical lines of exactly those files."""
     numbered = number_lines(lines)
     checked = cut(csv_files.check_lines(numbered.lines), "checked")
-    shapes = csv_files.record_shapes(checked)
+    shapes = cut(csv_files.record_shapes(checked), "shapes")  # read three times; records over lines are found once
     shape = csv_files.shape_reasons(shapes)
     counts = shapes.groupBy("file").agg((F.count(F.lit(1)) - 1).alias("row_count"))
     with_stats, early = _file_problem(files, numbered.files)
     sound = with_stats.filter(early.isNull()).select("file").join(shape, "file", "left_anti")
     # Records are only put together where the whole file has the right shape.
-    texts = csv_files.record_texts(checked.join(sound, "file", "left_semi"))
-    headers = csv_files.headers(texts)
+    fit = checked.join(sound, "file", "left_semi")
+    texts = csv_files.record_texts(fit)
+    # A header is put together from the lines of the first record, not from a pass over all records.
+    first = shapes.filter("record = 1").select("file", F.col("end_line").alias("_end"))
+    headers = cut(csv_files.headers(csv_files.record_texts(fit.join(first, "file").filter("line_no <= _end").drop("_end"))), "headers")
     resolved = resolve_headers(files.select("file", "tenant_id", "source").join(headers, "file"), rules)
     per_file = (
         with_stats.join(shape, "file", "left").join(counts, "file", "left")
