@@ -90,6 +90,20 @@ def viterbi(emission: np.ndarray, first: np.ndarray, transition: np.ndarray, sta
     return best
 
 
+#: Rows and places that are worked on at once while fitting, so that its memory is that of its input and little more.
+BLOCK = 1 << 16
+
+
+def _blocks(first: np.ndarray) -> list[tuple[int, int]]:
+    """Neighbouring chains of about BLOCK places together (one chain at least)."""
+    cuts, at = [], 0
+    while at < len(first) - 1:
+        stop = max(at + 1, int(np.searchsorted(first, first[at] + BLOCK, "right")) - 1)
+        cuts.append((at, stop))
+        at = stop
+    return cuts
+
+
 class Model:
     """Weights of hashed features, transitions and starts, fitted by gradient steps scaled per weight (Adagrad)."""
 
@@ -100,12 +114,34 @@ class Model:
 
     def emissions(self, feature: np.ndarray, edges: np.ndarray) -> np.ndarray:
         """Sums of weights; row i has the features edges[i]..edges[i+1]-1 (one at least)."""
-        return np.add.reduceat(self.weights[feature], edges[:-1], axis=0).astype(np.float64)
+        out = np.empty((len(edges) - 1, self.weights.shape[1]))
+        for lo in range(0, len(out), BLOCK):
+            own = edges[lo : lo + BLOCK + 1]
+            out[lo : lo + BLOCK] = np.add.reduceat(self.weights[feature[own[0] : own[-1]]], own[:-1] - own[0], axis=0)
+        return out
+
+    def _errors(self, emission: np.ndarray, row: np.ndarray, first: np.ndarray, gold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the labels `gold` have beyond the model's probabilities at every place, and the expected transitions."""
+        wrong, expected = np.zeros((len(gold), self.weights.shape[1])), np.zeros_like(self.transition)
+        for a, b in _blocks(first):
+            lo, hi = first[a], first[b]
+            gamma, moves = marginals(emission[row[lo:hi]], first[a : b + 1] - lo, self.transition, self.start, pairs=True)
+            wrong[lo:hi] = -gamma
+            expected += moves
+        wrong[np.arange(len(gold)), gold] += 1
+        return wrong, expected
+
+    def _by_feature(self, feature: np.ndarray, edges: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Sums over the rows that have a feature."""
+        total = np.zeros(len(self.weights))
+        for lo in range(0, len(value), BLOCK):
+            own = edges[lo : lo + BLOCK + 1]
+            total += np.bincount(feature[own[0] : own[-1]], np.repeat(value[lo : lo + BLOCK], np.diff(own)), minlength=len(total))
+        return total
 
     def fit(self, feature: np.ndarray, edges: np.ndarray, row: np.ndarray, first: np.ndarray, gold: np.ndarray, rounds: int = 30, rate: float = 0.5, decay: float = 1e-4) -> None:
         """Maximise the likelihood of the labels `gold`. row: which feature row each place has."""
         labels = self.weights.shape[1]
-        hot = np.eye(labels)[gold]
         inside = np.ones(len(gold), dtype=bool)
         inside[first[:-1][first[:-1] < len(gold)]] = False
         at = np.flatnonzero(inside)
@@ -113,14 +149,12 @@ class Model:
         np.add.at(seen, (gold[at - 1], gold[at]), 1)
         begins = first[:-1][np.diff(first) > 0]
         square = [np.full(x.shape, 1e-8) for x in (self.weights, self.transition, self.start)]
-        lengths = np.diff(edges)
         scale = max(1, len(gold))
         for _ in range(rounds):
-            gamma, expected = marginals(self.emissions(feature, edges)[row], first, self.transition, self.start, pairs=True)
-            wrong = hot - gamma
-            spread = (np.repeat(np.bincount(row, wrong[:, k], minlength=len(lengths)), lengths) for k in range(labels))
+            wrong, expected = self._errors(self.emissions(feature, edges), row, first, gold)
+            spread = (np.bincount(row, wrong[:, k], minlength=len(edges) - 1) for k in range(labels))
             grads = [
-                np.stack([np.bincount(feature, x, minlength=len(self.weights)) for x in spread], axis=1) / scale - decay / scale * self.weights,
+                np.stack([self._by_feature(feature, edges, x) for x in spread], axis=1) / scale - decay / scale * self.weights,
                 (seen - expected) / scale, wrong[begins].sum(axis=0) / scale]
             for value, grad, total in zip((self.weights, self.transition, self.start), grads, square):
                 total += grad * grad

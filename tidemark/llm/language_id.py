@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.crf import Model, marginals
-from tidemark.llm.texts import NARROW_BYTES, U8, Slice, annotate, byte_class, map_batches, mix, ranges, run_hashes, slices, words
+from tidemark.llm.texts import NARROW_BYTES, U8, Slice, annotate, byte_class, give_back, map_batches, mix, ranges, run_hashes, slices, words
 
 SAMPLE_DOCS, SEGMENTS, SEGMENT_WORDS = 300, 4, 40
 BUCKET_BITS = 17
@@ -189,6 +189,8 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30) -
     model.lexicon_codes = 1 + 3 * top + (rate > 0.6) + (rate > 0.9)
     _, _, _, _, kind, feature, edges = model.words(part)
     model.model.fit(feature, edges, kind, first[::3] if first[::3][-1] == first[-1] else np.append(first[::3], first[-1]), gold, rounds)
+    del part, kind, feature, edges, gold
+    give_back()
     return model
 
 

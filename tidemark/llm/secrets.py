@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.crf import Model, viterbi
 from tidemark.llm.texts import (
-    NARROW_BYTES, ASCII_LOWER, U8, Slice, annotate, byte_class, fresh, map_batches, mix, run_hashes, slices, words)
+    NARROW_BYTES, ASCII_LOWER, U8, Slice, annotate, byte_class, fresh, give_back, map_batches, mix, run_hashes, slices, words)
 
 # The kinds in their order, their patterns and least lengths (of group 2, or of the match).
 KINDS = ["assign", "access", "hex"]
@@ -297,6 +297,19 @@ def _gold(part: Slice, starts: np.ndarray, ends: np.ndarray, first: np.ndarray,
     return gold
 
 
+def _learned_from(examples: list[tuple[str, int, list[tuple[int, int]]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features and tags of all tokens of the examples (text, file, spans), and the first token of each; made slice by slice."""
+    features, golds, begins, n = [np.zeros((0, FEATURES), np.uint16)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], 0
+    for part in slices(pa.array([e[0] for e in examples]), limit=NARROW_BYTES):
+        own = examples[part.lo : part.hi]
+        starts, ends, first, feature = token_features(part, np.array([e[1] for e in own]))
+        golds.append(_gold(part, starts, ends, first, [e[2] for e in own]))
+        features.append(feature)
+        begins.append(first[1:] + n)
+        n += len(starts)
+    return np.concatenate(features), np.concatenate(golds), np.concatenate(begins)
+
+
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30, base_docs: int = BASE_DOCS) -> Model | None:
     """The field learned from a bounded sample of `docs` (doc_id, text); None where it holds no base span."""
     rows = docs.where(F.col("text").isNotNull())
@@ -311,9 +324,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30, base_
     if not runs:
         return None
     examples = [(text, file, [(value, end) for _, end, _, value in base_spans(text)]) for text, file in runs] + variants(runs)
-    part = next(slices(pa.array([e[0] for e in examples]), limit=1 << 62))
-    starts, ends, first, feature = token_features(part, np.array([e[1] for e in examples]))
-    gold = _gold(part, starts, ends, first, [e[2] for e in examples])
+    feature, gold, first = _learned_from(examples)
+    del taken, runs, examples
     if not gold.any():
         return None
     # Once more without what tells single tokens apart, so that contexts and coarse shapes carry weight of their own.
@@ -323,6 +335,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, rounds: int = 30, base_
     model = Model(1 << BUCKET_BITS, 3)
     model.fit(feature.reshape(-1), np.arange(len(gold) + 1) * FEATURES, np.arange(len(gold)), first, gold, rounds)
     model.transition[OUT, IN] = model.start[IN] = -30.0  # inside follows begin or inside only
+    del feature, gold, first, blunt
+    give_back()
     return model
 
 
