@@ -180,10 +180,15 @@ def _slack(percent: int) -> Column:
     return F.expr(f"cast(n - (n * {percent} + 99) div 100 as int)")
 
 
-def _mixed(placed: DataFrame) -> DataFrame:
-    """Rows whose token is in two components or more."""
-    mixed = placed.groupBy("_k.token").agg(F.min("component").alias("_a"), F.max("component").alias("_b")).where("_a < _b").select(F.struct("token").alias("_k"))
-    return placed.join(mixed, "_k", "left_semi")
+def _mixed(placed: DataFrame, percent: int) -> DataFrame:
+    """Rows whose token is in two components or more and can be the first one that their set shares with a similar one: so
+    few tokens come before it that what is left can reach the overlap with the smallest fitting set of the token."""
+    each = placed.groupBy("_k.token").agg(
+        F.min("component").alias("_a"), F.max("component").alias("_b"), F.min("n").alias("_lo"), F.max(F.col("n") - F.col("pos")).alias("_reach"))
+    each = each.where("_a < _b").select(F.struct("token").alias("_k"), "_lo", "_reach")
+    need = percent * (F.col("n") + F.greatest("_lo", F.ceil(F.col("n") * percent / 100)))
+    can = (F.least(F.col("n") - F.col("pos"), "_reach") * (100 + percent)) >= need
+    return placed.join(each, "_k").where(can).select(*placed.columns)
 
 
 def finer(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -202,8 +207,8 @@ def finer(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         if hot.isEmpty():
             break
         small = rest.join(hot, "_k", "left_semi").where(F.expr(f"(n * {percent} + 99) div 100 <= {depth}"))
-        kept = rest.join(hot, "_k", "left_anti").union(small)
-        done = kept if done is None else done.union(kept)
+        kept = rest.join(hot, "_k", "left_anti").unionByName(small)
+        done = kept if done is None else done.unionByName(kept)
         more = rest.join(hot, "_k", "left_semi").join(classes.select("node", "prefix"), "node")
         after = F.slice("prefix", F.col("last") + 2, ahead)
         more = more.select(*rest.columns, F.posexplode(after).alias("_i", "_next"))
@@ -211,8 +216,8 @@ def finer(placed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         more = more.select(*[
             {"_k": F.struct(F.xxhash64("_k.token", "_next").alias("token")).alias("_k"), "pos": (place - depth).alias("pos"), "last": place.alias("last")}.get(c, F.col(c))
             for c in rest.columns])
-        rest = cut(_mixed(more), "finer")
-    found = rest if done is None else done.union(rest)
+        rest = cut(_mixed(more, percent), "finer")
+    found = rest if done is None else done.unionByName(rest)
     return found.drop("last")
 
 
@@ -356,8 +361,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     blocks = tokens.select(key, "node", "n", "pos").join(shared.select(key), "_k", "left_semi")
     blocks = cut(blocks.select(F.col("_k").bitwiseXOR(F.lit(1)).alias("token"), "node", "n", "pos"), "blocks")
 
-    # Each class goes to the class that shares most with it among the first ones of its tokens.
-    hubs = blocks.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("h"))
+    # Each class goes to the class that shares most with it among those where its tokens come earliest. Of many copies of one
+    # text, each with edits of its own, that is the one with the fewest rare tokens before them: the plainest, which the others
+    # link with even where they do not link one another.
+    hubs = blocks.groupBy("token").agg(F.min(F.struct("pos", "node", "n")).alias("h"))
     hubs = hubs.select(F.struct("token").alias("_k"), F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.pos").alias("hub_pos"))
     reach = F.least(F.col("n") - F.col("pos"), F.col("hub_n") - F.col("hub_pos"))
     fits = (reach * (100 + percent) >= percent * (F.col("n") + F.col("hub_n"))) & ((F.col("node") == F.col("hub")) | could_link(F.col("n"), F.col("hub_n"), percent))
@@ -380,7 +387,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFr
     grouped = _parts(labelled, "component", 3).withColumn("group", F.xxhash64("component", "part"))
     grouped = cut(grouped.select("node", "component", F.col("of").alias("members"), "group"), "grouped")
     placed = cut(blocks.join(grouped, "node").withColumn("_k", F.struct("token")).drop("token"), "placed")
-    placed = finer(cut(_mixed(placed), "mixed"), classes, percent)
+    placed = finer(cut(_mixed(placed, percent), "mixed"), classes, percent)
     matrix = placed.groupBy("_k.token", F.col("group").alias("g"), F.col("component").alias("of"), F.col("members").alias("size")).agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("reach"))
     matrix = matrix.withColumn("_k", F.struct("token")).drop("token")
