@@ -41,20 +41,17 @@ def _staged(spark: SparkSession, sf_dir: str, source: str, ledger: DataFrame | N
     return staging.STAGING[source](d.RAW[source](spark, sf_dir), lg, vm, d.WIDTH)
 
 
-def _refunds(spark: SparkSession, sf_dir: str, orders: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Refunds against orders that are staged already, one row a key."""
-    keys = orders.select("tenant_id", "order_id")
-    return staging.refunds(d.raw_refunds(spark, sf_dir), ledger, d.value_map(spark), d.WIDTH, known_orders=keys)
-
-
 def _staged_for_marts(spark: SparkSession, sf_dir: str, ledgers: dict[str, DataFrame]) -> dict[str, dict[str, DataFrame]]:
-    """All staging relations of each ledger; those that feed two marts are computed once, side by side."""
-    twice = cut_all({f"{run}_{s}": _staged(spark, sf_dir, s, lg) for run, lg in ledgers.items() for s in ("orders", "ad_spend")})
-    return {
-        run: {
-            "orders": twice[f"{run}_orders"], "ad_spend": twice[f"{run}_ad_spend"], "email_events": _staged(spark, sf_dir, "email_events", lg),
-            "refunds": _refunds(spark, sf_dir, twice[f"{run}_orders"], lg)}
-        for run, lg in ledgers.items()}
+    """What marts read of the staging relations of each ledger; lines are read once for all of them."""
+    runs, lg, vm = list(ledgers), staging.ledger_of_runs(ledgers), d.value_map(spark)
+    lg = cut(lg, "ledger")
+    drop = {"orders": [], "email_events": ["event_id"], "ad_spend": ["campaign_id"]}
+    staged = cut_all({
+        s: staging.STAGING[s](d.RAW[s](spark, sf_dir), lg, vm, d.WIDTH, runs=runs).drop("batch_no", "line_no", *unread)
+        for s, unread in drop.items()})
+    known = staged["orders"].select("tenant_id", "order_id", *runs)
+    staged["refunds"] = cut(staging.refunds(d.raw_refunds(spark, sf_dir), lg, vm, d.WIDTH, known, runs).drop("refund_id"), "refunds")
+    return {run: staging.of_run(staged, run, runs) for run in runs}
 
 
 def _cut_staged(spark: SparkSession, sf_dir: str, ledger: DataFrame | None = None) -> dict[str, DataFrame]:
