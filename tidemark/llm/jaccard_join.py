@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.graph import components
 from tidemark.llm.texts import (
-    ASCII_LOWER, PLAIN_WORD, U8, Slice, annotate, as_signed, gram_hashes, lists, map_batches, mix, ranges, run_hashes, slices, words)
+    ASCII_LOWER, NARROW_BYTES, PLAIN_WORD, U8, Slice, annotate, as_signed, gram_hashes, lists, map_batches, mix, ranges, run_hashes, slices, words)
 from tidemark.session import cut
 
 BUCKET_BITS = 22
@@ -85,7 +85,7 @@ def bucket_counts(docs: DataFrame, n: int) -> np.ndarray:
         total = np.zeros(BUCKETS, dtype=np.uint32)
         seen = False
         for batch in batches:
-            for part in slices(batch.column(0)):
+            for part in slices(batch.column(0), NARROW_BYTES):
                 np.add.at(total, (np.concatenate(shingle_sets(part, n)) >> _SHIFT).astype(np.int64), np.uint32(1))
                 seen = True
         for k in range(BUCKETS // CHUNK if seen else 0):
@@ -165,7 +165,7 @@ def set_table(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
             pa.array(hists, pa.binary()), lists(np.array([len(p) for p in prefixes]), pa.array(as_signed(np.concatenate(prefixes)), pa.int64()))]
 
     fields = T.StructType.fromDDL("n long, one long, two long, hist binary, prefix array<long>")
-    return annotate(docs.select("doc_id", "text"), ["doc_id"], fields, make)
+    return annotate(docs.select("doc_id", "text"), ["doc_id"], fields, make, limit=NARROW_BYTES)
 
 
 def could_link(n: Column, m: Column, percent: int) -> Column:
@@ -320,7 +320,7 @@ def open_groups(docs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, pe
     wanted = cut(rows.join(classes.select("node", "doc_id", "one", "two"), "node").select("g", "node", F.col("asks").cast("int").alias("asks"), "doc_id", "one", "two"), "wanted")
     if wanted.isEmpty():
         return wanted.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    made = annotate(docs, ["doc_id"], T.StructType.fromDDL("one long, two long, tokens array<long>"), make, among=wanted.select("doc_id"))
+    made = annotate(docs, ["doc_id"], T.StructType.fromDDL("one long, two long, tokens array<long>"), make, among=wanted.select("doc_id"), limit=NARROW_BYTES)
     # A class of rows without a doc_id is met by them.
     asked = wanted.select("g", "node", "asks", F.col("one").alias("_one"), F.col("two").alias("_two"), F.col("doc_id").alias("_id"))
     same = (F.col("one") == F.col("_one")) & (F.col("two") == F.col("_two")) & F.col("doc_id").eqNullSafe(F.col("_id"))

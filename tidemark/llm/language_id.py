@@ -145,7 +145,7 @@ def _segments(size: int, number: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            for part in slices(batch.column(0)):
+            for part in slices(batch.column(0), NARROW_BYTES):
                 starts, ends, first = words(part, _INSIDE)
                 lang, text = [], []
                 for i in range(len(part)):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.texts import map_batches, slices
+from tidemark.llm.texts import NARROW_BYTES, map_batches, slices
 from tidemark.llm.tokens import encoder
 from tidemark.session import cut, small_frame
 
@@ -142,7 +142,7 @@ def _pieces(path: str, end_id: int, capacity: int):
         task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            for part in slices(batch.column(0)):
+            for part in slices(batch.column(0), NARROW_BYTES):
                 ids, count = encoder(path).encode(part)
                 at = np.concatenate([[0], np.cumsum(count)])
                 rows, piece, start, length, crc, rank = [], [], [], [], [], []

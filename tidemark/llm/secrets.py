@@ -197,7 +197,7 @@ def _points(part: Slice, i: int) -> np.ndarray:
 def _with_base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The number of texts and of those with a base span, slice by slice."""
     for batch in batches:
-        for part in slices(batch.column(0)):
+        for part in slices(batch.column(0), NARROW_BYTES):
             held = sum(1 for i in np.flatnonzero(_worth_a_search(part)) if base_spans(part.text(i).decode()))
             yield pa.RecordBatch.from_arrays([pa.array([len(part)], pa.int64()), pa.array([held], pa.int64())], names=["n", "base"])
 
@@ -206,7 +206,7 @@ def _training_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Runs of tokens of each text; of those marked in the second column only where they hold a base span."""
     for batch in batches:
         extra = batch.column(1).to_pylist()
-        for part in slices(batch.column(0)):
+        for part in slices(batch.column(0), NARROW_BYTES):
             starts, ends, first = words(part, _TOKEN)
             files, search = file_code(part), _worth_a_search(part)
             texts, codes = [], []

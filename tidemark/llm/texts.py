@@ -183,6 +183,8 @@ def annotate(docs: DataFrame, keep: list[str], fields: T.StructType, fn: Callabl
     arrow = to_arrow_schema(schema)
     made = list(arrow)[len(keep) :]
     marks = id_marks(among) if among is not None else None
+    rest = [c for c in keep if c != text]  # the texts are sent once
+    at = [1 + rest.index(c) if c != text else 0 for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,10 +193,10 @@ def annotate(docs: DataFrame, keep: list[str], fields: T.StructType, fn: Callabl
             for part in slices(batch.column(0), limit):
                 new = fn(part)
                 new = [a if a.type == f.type else a.cast(f.type) for a, f in zip(new, made, strict=True)]
-                old = [c.slice(part.lo, len(part)) for c in batch.columns[1 : len(keep) + 1]]
+                old = [batch.column(k).slice(part.lo, len(part)) for k in at]
                 yield pa.RecordBatch.from_arrays(old + new, names=arrow.names)
 
-    columns = [docs[text].alias("_text"), *[docs[c] for c in keep]]
+    columns = [docs[text].alias("_text"), *[docs[c] for c in rest]]
     return map_batches(docs.select(*columns, *([marks.place(docs[among.columns[0]])] if marks else [])), run, schema)
 
 

@@ -78,6 +78,10 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFram
 
 
 _shipped: set[str] = set()
+#: Bytes of an Arrow batch. A task holds one several times, off the heap of its JVM and in its Python worker.
+BATCH_BYTES = 2 << 20
+#: Rows that Spark's Parquet reader holds of a column at once (4,096 by default: with long texts tens of MB of heap a task).
+READ_ROWS = 512
 
 
 def ship(spark: SparkSession) -> None:
@@ -85,6 +89,10 @@ def ship(spark: SparkSession) -> None:
     # Texts are long: a batch of Spark's default number of rows can hold gigabytes.
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if spark.conf.get("spark.sql.parquet.columnarReaderBatchSize", None) is None:
+        spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
