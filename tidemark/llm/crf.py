@@ -58,8 +58,54 @@ def marginals(emission: np.ndarray, first: np.ndarray, transition: np.ndarray, s
     return (gamma, expected) if pairs else gamma
 
 
+#: How much more than the bound a place must speak for label 0, so that rounding decides nothing.
+SLACK = 1e-6
+
+
+def settled(emission: np.ndarray, first: np.ndarray, transition: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Places that have label 0 in every best sequence, whatever the other places have: their emissions speak for it by more
+    than any label's best way there and on can gain. Places that are not marked may have it too."""
+    with np.errstate(invalid="ignore"):  # what is not a number settles nothing
+        came = np.maximum((transition - transition[:, :1]).max(axis=0), start - start[0])
+        # What label k at a place may gain over label l by what follows.
+        on = (transition[:, None, :] - transition[None, :, :]).max(axis=2)
+        e = np.ascontiguousarray(emission.T)
+        sure = np.ones(len(emission), dtype=bool)
+        last = first[1:][np.diff(first) > 0] - 1
+        for k in range(1, len(e)):
+            # The same over label 0, now with the emissions of the next place: its best label against the best known reply.
+            gain = np.zeros(len(emission))
+            gain[:-1] = -np.inf
+            for j, ahead in enumerate(e):
+                least = np.full(max(len(emission) - 1, 0), transition[k, j] - transition[0, j])
+                for i, reply in enumerate(e):
+                    if i != j:
+                        np.minimum(least, ahead[1:] - reply[1:] + (transition[k, j] - transition[0, i] + on[j, i]), out=least)
+                np.maximum(gain[:-1], least, out=gain[:-1])
+            gain[last] = 0
+            sure &= e[0] - e[k] > gain + came[k] + SLACK
+    return sure
+
+
 def viterbi(emission: np.ndarray, first: np.ndarray, transition: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """The best label sequence of every chain."""
+    """The best label sequence of every chain. Settled places part the chains, so only stretches between them are gone through."""
+    sure = settled(emission, first, transition, start)
+    begins = np.zeros(len(emission), dtype=bool)
+    begins[first[:-1][np.diff(first) > 0]] = True
+    taken = ~sure  # and the neighbours in their chain, which hold a stretch at both ends
+    taken[:-1] |= ~sure[1:] & ~begins[1:]
+    taken[1:] |= ~sure[:-1] & ~begins[1:]
+    at = np.flatnonzero(taken)
+    own = emission[at]
+    own[sure[at], 1:] = -np.inf
+    heads = begins[at] | (np.diff(at, prepend=-2) > 1)
+    best = np.zeros(len(emission), dtype=np.int8)
+    best[at] = _decoded(own, np.append(np.flatnonzero(heads), len(at)), transition, start)
+    return best
+
+
+def _decoded(emission: np.ndarray, first: np.ndarray, transition: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The best label sequence of every chain, place by place."""
     steps = Steps(first)
     best = np.zeros(len(emission), dtype=np.int8)
     came = np.zeros(emission.shape, dtype=np.int8)

@@ -68,6 +68,9 @@ _CLASSES = [byte_class([(0x30, 0x39)]), byte_class([(0x41, 0x5A)]), byte_class([
 _ASSIGNS = byte_class([(0x3A, 0x3A), (0x3D, 0x3D)])
 _SPACES = byte_class([(0x20, 0x20), (0x09, 0x0D)])
 _SIGNS = byte_class([(0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)])
+_KIND = np.array([1, 2, 3, 4], np.int8) @ np.array(_CLASSES[:4], np.int8)
+# Two classes in the halves of one number, so that one running sum counts both (a text has less than 2**32 bytes).
+_PAIRS = [a.astype(U8) | b.astype(U8) << U8(32) for a, b in ((_CLASSES[0], _CLASSES[1]), (_CLASSES[2], _CLASSES[3]), (_HEX, _SPACES))]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -78,12 +81,15 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
+def _counts(part: Slice, table: np.ndarray) -> np.ndarray:
+    """How many bytes of a class each text has."""
+    return np.diff(np.searchsorted(np.flatnonzero(table[part.data]), part.off))
+
+
 def _worth_a_search(part: Slice) -> np.ndarray:
     """Texts that may hold a base match: with an assignment sign, a long run of hex digits, or the access prefix."""
     off = part.off
-    held = np.zeros(len(part), dtype=bool)
-    assigns = np.concatenate([[0], np.cumsum(_ASSIGNS[part.data])])
-    held |= assigns[off[1:]] > assigns[off[:-1]]
+    held = _counts(part, _ASSIGNS) > 0
     starts, ends, first = words(part, _HEX)
     long_runs = np.concatenate([[0], np.cumsum(ends - starts >= LEAST["hex"])])
     held |= long_runs[first[1:]] > long_runs[first[:-1]]
@@ -105,8 +111,7 @@ def file_code(part: Slice) -> np.ndarray:
     size = np.maximum(np.diff(part.off), 1)
     code = np.zeros(len(part), dtype=np.int64)
     for table in (_SIGNS, _CLASSES[0], _ASSIGNS):
-        total = np.concatenate([[0], np.cumsum(table[part.data])])
-        code = code * 8 + _level((total[part.off[1:]] - total[part.off[:-1]]) / size)
+        code = code * 8 + _level(_counts(part, table) / size)
     return code
 
 
@@ -136,13 +141,15 @@ def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarr
     n = ends - starts
     own = np.repeat(np.arange(len(part)), np.diff(first))
     shape = np.minimum(np.where(n < 12, n, 12 + np.log2(np.maximum(n, 1)).astype(np.int64)), 31)
-    for table in _CLASSES:
-        total = np.concatenate([[0], np.cumsum(table[data], dtype=np.int32)])
-        share = (total[ends] - total[starts]) / np.maximum(n, 1)
-        shape = shape * 4 + (share > 0) + (share > 0.3) + (share == 1)
-    kind = np.zeros(len(data), dtype=np.int8)
-    for k, table in enumerate(_CLASSES[:4]):
-        kind[table[data]] = k + 1
+    held = []
+    total = np.zeros(len(data) + 1, dtype=U8)
+    for pair in _PAIRS:
+        np.cumsum(pair[data], out=total[1:])
+        both = total[ends] - total[starts]
+        held += [(both & U8(0xFFFFFFFF)).astype(np.int64), (both >> U8(32)).astype(np.int64)]
+    for count in held[: len(_CLASSES)]:  # none, some, more than 3 of 10, all
+        shape = shape * 4 + (count > 0) + (10 * count > 3 * n) + (count == n)
+    kind = _KIND[data]
     turn = np.concatenate([[0, 0], np.cumsum(kind[1:] != kind[:-1], dtype=np.int32)])
     turns = np.minimum(turn[ends] - turn[starts + 1], 15) if len(starts) else n
     lower = run_hashes(ASCII_LOWER[data], starts, ends)
@@ -160,7 +167,7 @@ def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarr
     tail = eight[np.maximum(ends - 2, starts) + 2] & U8(0xFFFF)
     s = shape.astype(U8)
     # Coarser than the shape, for lengths and mixtures that the sample lacks.
-    mixture = ((shape[:, None] >> np.array([8, 6, 4])) % 4 > 0) @ np.array([1, 2, 4]) * 4 + np.minimum(turns // 2, 3)
+    mixture = ((shape >> 8) % 4 > 0) * 4 + ((shape >> 6) % 4 > 0) * 8 + ((shape >> 4) % 4 > 0) * 16 + np.minimum(turns // 2, 3)
     coarse = mixture * 8 + np.digitize(n, [4, 8, 12, 16, 32])
     # How far back (up to CUE_REACH tokens, 0: the token itself) a word names a credential, and what lies between two tokens.
     cue = np.full(len(starts) + CUE_REACH, CUE_REACH + 1, dtype=np.int64)
@@ -170,9 +177,8 @@ def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarr
     cue = np.where(cue[: len(starts)] <= np.arange(len(starts)) - first[own], cue[: len(starts)], CUE_REACH + 1)
     gap = np.full(len(starts), 3, dtype=np.int64)
     gap[1:] = np.minimum(starts[1:] - ends[:-1], 3)
-    spaces = np.concatenate([[0], np.cumsum(_SPACES[data], dtype=np.int32)])
     spaced = np.ones(len(starts), dtype=np.int64)
-    spaced[1:] = spaces[starts[1:]] > spaces[ends[:-1]]
+    spaced[1:] = total[starts[1:]] - total[ends[:-1]] >> U8(32) > 0  # the last pair's: white space
     spaced[begins], gap[begins] = 1, 3
     columns = [s, s * U8(16) + turns.astype(U8), lower, before, after, left, last_sign, head, tail * U8(8) + np.minimum(n, 7).astype(U8), mix(before ^ coarse.astype(U8)), files[own].astype(U8) * U8(1 << 20) + s, mixture, coarse, cue * 256 + coarse, (cue * 256 + coarse) * 8 + gap * 2 + spaced, (gap * 2 + spaced) * 256 + coarse]
     out = np.empty((len(starts), FEATURES), dtype=np.uint16)  # BUCKET_BITS
@@ -182,9 +188,9 @@ def token_features(part: Slice, files: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def emissions(model: Model, feature: np.ndarray) -> np.ndarray:
-    total = model.weights[feature[:, 0]].astype(np.float64)
+    total = np.take(model.weights, feature[:, 0], axis=0).astype(np.float64)
     for k in range(1, FEATURES):
-        total += model.weights[feature[:, k]]
+        total += np.take(model.weights, feature[:, k], axis=0)
     return total
 
 
